@@ -39,6 +39,7 @@ def mutually_exclusive_ranges(
 ) -> Check:
     """Ranges with lower >= upper, a NULL bound, or a clash with the next range of the group.
 
+    The bounds are column names or SQL expressions, such as a stand-in for an open end.
     Violations: group columns, lower_bound, upper_bound, next_lower_bound, n_rows.
     """
     if gaps not in GAP_RULES:
@@ -50,7 +51,7 @@ def mutually_exclusive_ranges(
         return ~(F.coalesce(sound, F.lit(False)) & F.coalesce(GAP_RULES[gaps](up, following), F.lit(True)))
 
     def find(df: DataFrame) -> DataFrame:
-        bounds = [F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound")]
+        bounds = [F.expr(lower).alias("lower_bound"), F.expr(upper).alias("upper_bound")]
         ranges = df.groupBy(*partition_by, *bounds).agg(F.count("*").alias("copies"))
         # the sort runs backwards, so the "previous" row is the next range
         following = F.col("_prev_lower_bound")

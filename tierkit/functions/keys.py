@@ -21,4 +21,4 @@ def surrogate_key(*fields: Column | str, nulls_as_empty: bool = False) -> Column
         raise ValueError("surrogate_key needs at least one field")
     stand_in = F.lit("" if nulls_as_empty else NULL_MARK)
     texts = [F.coalesce(as_column(f).cast("string"), stand_in) for f in fields]
-    return F.md5(F.concat_ws(SEPARATOR, *texts))
+    return F.md5(texts[0] if len(texts) == 1 else F.concat_ws(SEPARATOR, *texts))

@@ -51,12 +51,11 @@ def filtered_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def single_value(df: DataFrame, default=None) -> Column:
-    """First column of a one-row query as a scalar subquery, usable inside any expression.
+    """First row's first column of a query as a scalar subquery, usable in any expression.
 
-    More than one row is an error at run time rather than a silent pick; no row gives
-    the default.
+    Order the query if it has more rows than one; without a row the default stands in.
     """
-    value = df.select(df.columns[0]).scalar()
+    value = df.select(df.columns[0]).limit(1).scalar()
     return value if default is None else F.coalesce(value, F.lit(default))
 
 

@@ -90,9 +90,16 @@ def dim_order_status(t: Tables) -> DataFrame:
 
 
 def fact_sales(t: Tables) -> DataFrame:
-    """One row per order line; a hot order is split across tasks by adaptive skew-join handling."""
+    """One row per order line; a hot order is split across tasks by adaptive skew-join handling.
+
+    Keys of the order are hashed before the join, once per order; those of the line after it,
+    so the shuffle carries the natural keys only.
+    """
     order = t["orders"].select(
         F.col("o_orderkey").alias("orderkey"),
+        surrogate_key("o_custkey").alias("customer_id_wid"),
+        surrogate_key("o_orderstatus").alias("order_status_id_wid"),
+        surrogate_key(F.col("o_orderdate").cast("date")).alias("order_date_id_wid"),
         F.col("o_custkey").alias("customerid"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_orderdate").cast("date").alias("orderdate"),
@@ -107,18 +114,12 @@ def fact_sales(t: Tables) -> DataFrame:
         F.col("l_quantity").alias("orderqty"),
         (F.col("l_extendedprice") * F.col("l_quantity")).alias("revenue"),
     )
-    keys = {
-        "sales_id_wid": ("orderkey", "linenumber"),
-        "product_id_wid": ("productid",),
-        "customer_id_wid": ("customerid",),
-        "supplier_id_wid": ("supplierid",),
-        "order_status_id_wid": ("order_status",),
-        "order_date_id_wid": ("orderdate",),
+    line_keys = {
+        "sales_id_wid": surrogate_key("orderkey", "linenumber"),
+        "product_id_wid": surrogate_key("productid"),
+        "supplier_id_wid": surrogate_key("supplierid"),
     }
-    hashed = {name: surrogate_key(*fields) for name, fields in keys.items()}
-    return line.join(order, "orderkey").select(
-        *[hashed[c].alias(c) if c in hashed else F.col(c) for c in FACT_COLUMNS]
-    )
+    return line.join(order, "orderkey").withColumns(line_keys).select(*FACT_COLUMNS)
 
 
 def revenue_by_status(t: Tables) -> DataFrame:

@@ -163,31 +163,36 @@ def dim_date(silver: Tables) -> DataFrame:
 
 
 def fact_sales(silver: Tables) -> DataFrame:
-    """One row per order line. ``totaldue`` belongs to the order and repeats on its lines."""
+    """One row per order line. ``totaldue`` belongs to the order and repeats on its lines.
+
+    Keys of the order are hashed before the join, once per order; those of the line after it,
+    so the shuffle carries the natural keys only.
+    """
     header = silver["silver_sales_salesorderheader"].select(
-        "salesorderid",
-        "customerid",
+        *("salesorderid", "customerid", "shiptoaddressid", "totaldue"),
         whole_key("creditcardid").alias("creditcardid"),
-        "shiptoaddressid",
         F.col("status").cast("bigint").alias("order_status"),
         F.col("orderdate").cast("date").alias("orderdate"),
-        "totaldue",
     )
+    header_keys = {
+        "customer_id_wid": surrogate_key("customerid"),
+        "credit_card_id_wid": surrogate_key("creditcardid"),
+        "ship_address_id_wid": surrogate_key("shiptoaddressid"),
+        "order_status_id_wid": surrogate_key("order_status"),
+        "order_date_id_wid": surrogate_key("orderdate"),
+    }
     line = silver["silver_sales_salesorderdetail"].select(
         *("salesorderid", "salesorderdetailid", "productid", "unitprice", "orderqty"),
         (F.col("unitprice") * F.col("orderqty")).alias("revenue"),
     )
-    keys = {
-        "sales_id_wid": ("salesorderid", "salesorderdetailid"),
-        "product_id_wid": ("productid",),
-        "customer_id_wid": ("customerid",),
-        "credit_card_id_wid": ("creditcardid",),
-        "ship_address_id_wid": ("shiptoaddressid",),
-        "order_status_id_wid": ("order_status",),
-        "order_date_id_wid": ("orderdate",),
+    line_keys = {
+        "sales_id_wid": surrogate_key("salesorderid", "salesorderdetailid"),
+        "product_id_wid": surrogate_key("productid"),
     }
-    return line.join(header, "salesorderid").select(
-        *[surrogate_key(*fields).alias(name) for name, fields in keys.items()],
+    joined = line.join(header.withColumns(header_keys), "salesorderid").withColumns(line_keys)
+    return joined.select(
+        *line_keys,
+        *header_keys,
         *("salesorderid", "salesorderdetailid", "productid", "customerid", "creditcardid", "shiptoaddressid"),
         *("order_status", "orderdate", "unitprice", "orderqty", "revenue", "totaldue"),
     )

@@ -25,16 +25,17 @@ def relations_by_pattern(
     Temporary views have no schema: they are named alone and match the schema pattern ``%``.
     """
     schema_like, table_like, hidden = _ilike(schema_pattern), _ilike(table_pattern), _ilike(exclude)
-    found = {}
-    databases = [d.name for d in spark.catalog.listDatabases() if schema_like.fullmatch(d.name)]
-    for database in databases:
-        for t in spark.catalog.listTables(database):
-            if t.isTemporary and schema_pattern != "%":
-                continue
-            if table_like.fullmatch(t.name) and not hidden.fullmatch(t.name):
-                full = t.name if t.isTemporary else f"{database}.{t.name}"
-                found[full] = TABLE_KINDS.get(t.tableType, t.tableType.lower())
-    return dict(sorted(found.items()))
+    names = set()
+    for database in spark.catalog.listDatabases():
+        if schema_like.fullmatch(database.name):
+            for t in spark.sql(f"SHOW TABLES IN `{database.name}`").collect():
+                if table_like.fullmatch(t.tableName) and not hidden.fullmatch(t.tableName):
+                    if not t.isTemporary:
+                        names.add(f"{database.name}.{t.tableName}")
+                    elif schema_pattern == "%":
+                        names.add(t.tableName)
+    kinds = {name: spark.catalog.getTable(name).tableType for name in sorted(names)}
+    return {name: TABLE_KINDS.get(kind, kind.lower()) for name, kind in kinds.items()}
 
 
 def relations_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "") -> dict[str, str]:
