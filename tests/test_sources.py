@@ -1,3 +1,4 @@
+import os
 import time
 import uuid
 
@@ -27,6 +28,7 @@ from tierkit.sources import (
     union_tables_matching,
     write_layer,
 )
+from tierkit.sources.layers import table_location
 from tierkit.sources.extract import bounds_query, read_options, table_list_query
 
 
@@ -118,6 +120,24 @@ class TestLayers:
         out = replace_table_as(spark.table(name).withColumn("id", F.col("id") * 10), name)
         assert rows(out) == [(20,), (30,)]
 
+    def test_refresh_drops_the_previous_folder_only(self, spark, layers, rows):
+        name = f"{layers['gold']}.counts"
+        materialize_table(spark.range(1), f"{name}_more")
+        first = materialize_table(spark.range(2), name).inputFiles()
+        folder = table_location(spark, name)
+        materialize_table(spark.range(3).withColumn("x", F.lit(1)), name)
+        assert table_location(spark, name) != folder
+        assert not any(os.path.exists(f.removeprefix("file://")) for f in first)
+        assert rows(spark.table(name)) == [(0, 1), (1, 1), (2, 1)]
+        assert spark.table(f"{name}_more").count() == 1
+
+    def test_failed_refresh_leaves_the_table(self, spark, layers, rows):
+        name = f"{layers['gold']}.counts"
+        materialize_table(spark.range(2), name)
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            materialize_table(spark.range(1).select(F.raise_error(F.lit("no")).alias("id")), name)
+        assert rows(spark.table(name)) == [(0,), (1,)]
+
     def test_view(self, spark):
         assert materialize_view(spark.range(3), f"v{uuid.uuid4().hex}").count() == 3
 
@@ -168,7 +188,7 @@ class TestCatalog:
 
     def test_pattern_and_prefix(self, spark, events):
         by_pattern = relations_by_pattern(spark, events.upper(), "DATA_EVENTS_%", exclude="%02")
-        assert by_pattern == {f"{events}.data_events_201801{d}": "table" for d in ("01", "03")}
+        assert by_pattern == {f"{events}.data_events_201801{d}": "external" for d in ("01", "03")}
         assert len(relations_by_prefix(spark, events, "data_events_")) == 3
         assert relations_by_prefix(spark, events, "nothing") == {}
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -45,17 +46,39 @@ def materialize_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """Folder of a table, None when there is no such table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
 def materialize_table(df: DataFrame, table: str) -> DataFrame:
-    """Write beside the table, then swap, so a model may read its own previous version."""
+    """Write to a folder of its own, point the table there, then drop the previous folder.
+
+    A model may so read its own previous version, a failed write leaves the table as it was,
+    and nothing is renamed, which object stores do by copying.
+    """
     spark = df.sparkSession
-    staged = f"{table}__staged"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    df.write.format("parquet").option("compression", "snappy").saveAsTable(staged)
+    database, _, name = table.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    versions = f"{home}/{name}__v_"
+    folder = f"{versions}{uuid.uuid4().hex}"
+    write_layer(df, folder)
+    previous = table_location(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    spark.sql(f"CREATE TABLE {table} USING PARQUET LOCATION '{folder}'")
+    if previous and previous.startswith(versions):
+        _delete_folder(spark, previous)
     return spark.table(table)
 
 
+def _delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def replace_table_as(source: DataFrame, table: str, where: str | None = None) -> DataFrame:
     """CREATE OR REPLACE ... AS SELECT, with an optional cleaning predicate."""
     return materialize_table(source if where is None else source.filter(where), table)

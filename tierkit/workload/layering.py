@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierkit.session import shared_dir
 from tierkit.sources import (
     coerce_bronze,
     create_layers,
@@ -21,13 +18,7 @@ from tierkit.sources import (
     write_layer,
 )
 from tierkit.sources.layers import bronze_path, scan_parquet
-from tierkit.workload.registry import Tables, query
-
-
-def _fresh(t: Tables) -> tuple[str, str]:
-    """A root folder and a name prefix of this run's own."""
-    tag = f"run_{uuid.uuid4().hex[:12]}_"
-    return f"{shared_dir(t.spark)}/{tag}", tag
+from tierkit.workload.registry import Tables, fresh_root, query
 
 
 @query(
@@ -48,7 +39,7 @@ def coerced_orders(t: Tables) -> DataFrame:
         F.struct(F.col("o_orderstatus").alias("status")).alias("detail"),
         (F.col("o_orderkey") % 2 == 0).alias("even"),
     )
-    path = bronze_path(_fresh(t)[0], "shop", "Sales", "Orders")
+    path = bronze_path(fresh_root(t)[0], "shop", "Sales", "Orders")
     write_layer(coerce_bronze(raw), path)
     return scan_parquet(t.spark, path)
 
@@ -61,7 +52,7 @@ def coerced_orders(t: Tables) -> DataFrame:
     """,
 )
 def promoted_orders(t: Tables) -> DataFrame:
-    root, tag = _fresh(t)
+    root, tag = fresh_root(t)
     layers = create_layers(t.spark, root, tag)
     path = bronze_path(root, "shop", "Sales", "Orders")
     write_layer(coerce_bronze(t["orders"]), path)
@@ -79,7 +70,7 @@ def promoted_orders(t: Tables) -> DataFrame:
 )
 def replaced_customers(t: Tables) -> DataFrame:
     """A table replaced by a query over its own previous version."""
-    root, tag = _fresh(t)
+    root, tag = fresh_root(t)
     table = f"{create_layers(t.spark, root, tag)['gold']}.customers"
     before = replace_table_as(t["customer"].select("c_custkey", "c_acctbal", "c_mktsegment"), table, where="c_acctbal >= 0")
     return replace_table_as(before.select("c_custkey", "c_acctbal", F.upper("c_mktsegment").alias("segment")), table)
@@ -90,7 +81,7 @@ def replaced_customers(t: Tables) -> DataFrame:
     "SELECT s_nationkey, count(*) AS n_suppliers, max(s_acctbal) AS richest FROM supplier GROUP BY 1",
 )
 def external_suppliers(t: Tables) -> DataFrame:
-    root, tag = _fresh(t)
+    root, tag = fresh_root(t)
     path = bronze_path(root, "shop", "Purchasing", "Supplier")
     write_layer(t["supplier"], path)
     bronze = create_layers(t.spark, root, tag)["bronze"]
@@ -109,7 +100,7 @@ def external_suppliers(t: Tables) -> DataFrame:
 )
 def empty_orders(t: Tables) -> DataFrame:
     """A table without rows keeps its columns."""
-    path = bronze_path(_fresh(t)[0], "shop", "Sales", "Returns")
+    path = bronze_path(fresh_root(t)[0], "shop", "Sales", "Returns")
     write_layer(t["orders"].filter("o_totalprice < 0"), path)
     empty = scan_parquet(t.spark, path)
     return empty.agg(F.lit(",".join(empty.columns)).alias("columns"), F.count("*").alias("n_rows"))
@@ -123,7 +114,7 @@ def empty_orders(t: Tables) -> DataFrame:
     """,
 )
 def seeded_customers(t: Tables) -> DataFrame:
-    path = f"{_fresh(t)[0]}/seeds/customers"
+    path = f"{fresh_root(t)[0]}/seeds/customers"
     segment = F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.col("c_mktsegment"))
     rows = t["customer"].select("c_custkey", segment.alias("segment"), F.col("c_acctbal").alias("balance"))
     rows.write.option("header", True).option("emptyValue", "").csv(path)
@@ -135,7 +126,7 @@ def seeded_customers(t: Tables) -> DataFrame:
     "SELECT l_returnflag, count(*) AS n_lines FROM lineitem WHERE l_quantity > 25 GROUP BY 1",
 )
 def viewed_lines(t: Tables) -> DataFrame:
-    view = materialize_view(t["lineitem"].filter("l_quantity > 25"), f"{_fresh(t)[1]}lines")
+    view = materialize_view(t["lineitem"].filter("l_quantity > 25"), f"{fresh_root(t)[1]}lines")
     return view.groupBy("l_returnflag").agg(F.count("*").alias("n_lines"))
 
 
@@ -158,7 +149,7 @@ def sampled_orders(t: Tables) -> DataFrame:
 )
 def matching_events(t: Tables) -> DataFrame:
     """One view per kind of event, found by name and united; only views carry a value column."""
-    _, tag = _fresh(t)
+    _, tag = fresh_root(t)
     for kind in ("click", "view", "signup", "purchase", "error"):
         rows = t["events"].filter(F.col("event_type") == kind)
         materialize_view(rows.select("event_id", "user_id", *(["value"] if kind == "view" else [])), f"{tag}events_{kind}")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tierkit.functions.keys import NULL_MARK
+from tierkit.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +48,12 @@ def query(name: str, sql: str):
     return register
 
 
+def fresh_root(tables: Tables) -> tuple[str, str]:
+    """A folder and a name prefix of this run's own, for queries that write."""
+    tag = f"run_{uuid.uuid4().hex[:12]}_"
+    return f"{shared_dir(tables.spark)}/{tag}", tag
+
+
 def key_sql(*fields: str) -> str:
     """SQL text of a surrogate key."""
     texts = ", ".join(f"coalesce(cast({f} AS VARCHAR), '{NULL_MARK}')" for f in fields)

@@ -9,7 +9,8 @@ from tierkit.checks import run_checks
 from tierkit.functions import surrogate_key
 from tierkit.operators import date_bounds, date_spine
 from tierkit.plans import build_models, retail_star
-from tierkit.workload.registry import Tables, key_sql, query
+from tierkit.sources import create_layers
+from tierkit.workload.registry import Tables, fresh_root, key_sql, query
 
 STATUS_CASE = (
     "CASE o_orderstatus WHEN 'O' THEN 'Open' WHEN 'F' THEN 'Finished' WHEN 'P' THEN 'Pending' ELSE 'Unknown' END"
@@ -205,5 +206,7 @@ def _suite_sql() -> str:
 
 @query("star_suite", _suite_sql())
 def star_suite(t: Tables) -> DataFrame:
-    gold = build_models(t, retail_star.MODELS)
+    """The star written as gold tables, then all its checks in one job over those."""
+    root, tag = fresh_root(t)
+    gold = build_models(t, retail_star.MODELS, create_layers(t.spark, root, tag)["gold"])
     return run_checks(retail_star.star_checks(gold)).select("check", "failures", "status")
