@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierkit.sources.layers import materialize_table
+
 
 class ChecksFailed(Exception):
     """At least one check ended in an error."""
@@ -53,39 +55,37 @@ def row_check(name: str, bad: Column) -> Check:
     return Check(name, lambda df: df.filter(bad), tally=F.count_if(bad))
 
 
+def _verdict(check: Check, count: str) -> Column:
+    """One metrics row from the column that holds a check's number of failures."""
+    error = F.expr(f"{count} {check.error_if}") & F.lit(check.severity == "error")
+    warn = F.expr(f"{count} {check.warn_if}")
+    return F.struct(
+        F.lit(check.name).alias("check"),
+        F.col(count).alias("failures"),
+        warn.alias("should_warn"),
+        error.alias("should_error"),
+        F.when(error, "error").when(warn, "warn").otherwise("pass").alias("status"),
+    )
+
+
 def run_checks(plan: Iterable[tuple[DataFrame, Check]]) -> DataFrame:
     """One row per check: check, failures, should_warn, should_error, status."""
-    plan = list(plan)
-    scans: dict[tuple, list[tuple[int, Check]]] = {}
-    tables: dict[tuple, DataFrame] = {}
-    parts = []
-    for i, (df, check) in enumerate(plan):
+    scans: dict[tuple, tuple[DataFrame, list[Check]]] = {}
+    counted: list[tuple[DataFrame, list[Check]]] = []
+    for df, check in plan:
         if check.tally is None:
-            parts.append(check.violations(df).agg(F.expr(check.fail_calc).alias("n")).select(F.lit(i).alias("i"), "n"))
+            counted.append((check.violations(df).agg(_as_count(F.expr(check.fail_calc), 0)), [check]))
         else:
-            key = (id(df), check.where)
-            tables[key] = df if check.where is None else df.filter(check.where)
-            scans.setdefault(key, []).append((i, check))
-    for key, checks in scans.items():
-        sums = tables[key].agg(*[c.tally.cast("bigint").alias(f"n{i}") for i, c in checks])
-        cells = [F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n")) for i, _ in checks]
-        parts.append(sums.select(F.inline(F.array(*cells))))
-    counted = reduce(
-        DataFrame.union,
-        [p.select("i", F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("failures")) for p in parts],
-    )
+            source = df if check.where is None else df.filter(check.where)
+            scans.setdefault((id(df), check.where), (source, []))[1].append(check)
+    for df, checks in scans.values():
+        counted.append((df.agg(*[_as_count(c.tally, i) for i, c in enumerate(checks)]), checks))
+    rows = [df.select(F.inline(F.array(*[_verdict(c, f"n{i}") for i, c in enumerate(cs)]))) for df, cs in counted]
+    return reduce(DataFrame.union, rows)
 
-    def per_check(value: Callable[[Check], Column]) -> Column:
-        return F.element_at(F.array(*[value(c) for _, c in plan]), F.col("i") + 1)
 
-    judged = counted.select(
-        per_check(lambda c: F.lit(c.name)).alias("check"),
-        "failures",
-        per_check(lambda c: F.expr(f"failures {c.warn_if}")).alias("should_warn"),
-        per_check(lambda c: F.expr(f"failures {c.error_if}") & F.lit(c.severity == "error")).alias("should_error"),
-    )
-    status = F.when(F.col("should_error"), "error").when(F.col("should_warn"), "warn").otherwise("pass")
-    return judged.withColumn("status", status)
+def _as_count(value: Column, i: int) -> Column:
+    return F.coalesce(value.cast("bigint"), F.lit(0)).alias(f"n{i}")
 
 
 def gate(metrics: DataFrame) -> list:
@@ -97,6 +97,6 @@ def gate(metrics: DataFrame) -> list:
     return rows
 
 
-def store_failures(df: DataFrame, check: Check, table: str) -> None:
-    """Keep the violations of a check as a table."""
-    check.violations(df).write.mode("overwrite").format("parquet").saveAsTable(table)
+def store_failures(df: DataFrame, check: Check, table: str) -> DataFrame:
+    """Keep the violations of a check as a table, in place of those of the run before."""
+    return materialize_table(check.violations(df), table)
