@@ -113,7 +113,7 @@ def counted(df):
 
 GROUPS = st.one_of(st.none(), st.integers(0, 3))
 BOUND = st.one_of(st.none(), st.integers(0, 12))
-QUIET = dict(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+QUIET = dict(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 @settings(**QUIET)

@@ -1,5 +1,4 @@
 import os
-import time
 import uuid
 
 import pytest
@@ -20,6 +19,7 @@ from tierkit.sources import (
     promote_many,
     promote_to_silver,
     read_seed,
+    register_external,
     relations_by_pattern,
     relations_by_prefix,
     replace_table_as,
@@ -28,7 +28,8 @@ from tierkit.sources import (
     union_tables_matching,
     write_layer,
 )
-from tierkit.sources.layers import table_location
+from tierkit.sources.layers import run_concurrently, table_location
+from tierkit.sources import extract
 from tierkit.sources.extract import bounds_query, read_options, table_list_query
 
 
@@ -141,25 +142,29 @@ class TestLayers:
     def test_view(self, spark):
         assert materialize_view(spark.range(3), f"v{uuid.uuid4().hex}").count() == 3
 
-    def test_promote_many_tries_again(self, spark):
+    def test_work_is_tried_again(self):
         calls = []
 
-        def promote(schema, table):
-            calls.append((schema, table))
-            if table == "B" and calls.count((schema, table)) < 3:
+        def work(name):
+            calls.append(name)
+            if name == "b" and calls.count("b") < 3:
                 raise RuntimeError("not yet")
-            return spark.range(1)
+            return name.upper()
 
-        assert len(promote_many([("S", "A"), ("S", "B")], promote, pause=0.0)) == 2
-        assert calls.count(("S", "B")) == 3
+        assert run_concurrently(work, [("a",), ("b",)], tries=3, pause=0.0) == ["A", "B"]
+        assert calls.count("b") == 3
+        with pytest.raises(RuntimeError, match="not yet"):
+            calls.clear()
+            run_concurrently(work, [("b",)], tries=2, pause=0.0)
 
-        def never(schema, table):
-            raise RuntimeError("never")
-
-        started = time.time()
-        with pytest.raises(RuntimeError, match="never"):
-            promote_many([("S", "A")], never, pause=0.01)
-        assert time.time() - started < 5
+    def test_register_and_promote_many(self, spark, tmp_path, layers):
+        tables = [("Sales", "Store"), ("Person", "Address")]
+        for n, (schema, name) in enumerate(tables, 1):
+            write_layer(spark.range(n), bronze_path(str(tmp_path), "shop", schema, name))
+        external = register_external(spark, str(tmp_path), "shop", tables, layers["bronze"])
+        assert {n: df.count() for n, df in external.items()} == {"sales_store": 1, "person_address": 2}
+        silver = promote_many(spark, str(tmp_path), "shop", tables, layers["silver"])
+        assert {n: df.count() for n, df in silver.items()} == {"silver_sales_store": 1, "silver_person_address": 2}
 
 
 class TestSeeds:
@@ -202,13 +207,13 @@ class TestExtract:
         spark.conf.set("spark.tierkit.jdbc.user", "reader")
         spark.conf.set("spark.tierkit.jdbc.password", "secret")
         try:
-            source = JdbcSource("jdbc:sqlserver://db;databaseName=shop", "shop", driver="a.b.Driver")
+            source = JdbcSource("jdbc:postgresql://db/shop", "shop", driver="a.b.Driver")
             options = read_options(source, spark, "Sales", "Store", Split("StoreID", 1, 900, 8))
         finally:
             spark.conf.unset("spark.tierkit.jdbc.user")
             spark.conf.unset("spark.tierkit.jdbc.password")
         assert options == {
-            "url": "jdbc:sqlserver://db;databaseName=shop",
+            "url": "jdbc:postgresql://db/shop",
             "driver": "a.b.Driver",
             "fetchsize": "100000",
             "user": "reader",
@@ -227,6 +232,29 @@ class TestExtract:
         assert bounds_query("Sales", "Store", "ID") == "SELECT MIN(ID) AS lower_bound, MAX(ID) AS upper_bound FROM Sales.Store"
 
 
+    def test_every_table_is_landed(self, spark, tmp_path, monkeypatch):
+        """The database is stood in for by DataFrames; no server is reached."""
+        data = {("Sales", "Store"): spark.range(3), ("HR", "Staff"): spark.sql("select X'01' as badge, 1.50 as pay")}
+        listed = spark.createDataFrame(list(data), "TABLE_SCHEMA string, TABLE_NAME string")
+        splits = []
+
+        def read_table(spark, source, schema, table, split):
+            splits.append((table, split))
+            return data[schema, table]
+
+        monkeypatch.setattr(extract, "list_tables", lambda spark, source: listed)
+        monkeypatch.setattr(extract, "find_split", lambda spark, source, schema, table, column, n: Split(column, 0, 2, n))
+        monkeypatch.setattr(extract, "read_table", read_table)
+        source = JdbcSource("jdbc:postgresql://db/shop", "shop")
+        tables = extract.extract_database(spark, source, str(tmp_path), {"Sales.Store": "id"}, partitions=2)
+        assert tables == [("HR", "Staff"), ("Sales", "Store")]
+        assert sorted(splits, key=str) == [("Staff", None), ("Store", Split("id", 0, 2, 2))]
+        assert scan_parquet(spark, bronze_path(str(tmp_path), "shop", "HR", "Staff")).first().asDict() == {
+            "badge": "AQ==",
+            "pay": "1.50",
+        }
+
+
 class TestSharedDir:
     def test_reads_the_session(self, spark):
         assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -70,6 +70,7 @@ def _verdict(check: Check, count: str) -> Column:
 
 def run_checks(plan: Iterable[tuple[DataFrame, Check]]) -> DataFrame:
     """One row per check: check, failures, should_warn, should_error, status."""
+    plan = list(plan)
     scans: dict[tuple, tuple[DataFrame, list[Check]]] = {}
     counted: list[tuple[DataFrame, list[Check]]] = []
     for df, check in plan:

@@ -1,35 +1,18 @@
-"""The daily run: promote raw tables, build the models, check them, stop on an error."""
+"""The daily run: land, promote, build the models, check them, stop on an error."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tierkit.checks import Check, gate, run_checks
-from tierkit.sources.layers import bronze_path, create_layers, materialize_table, promote_many, promote_to_silver
+from tierkit.sources.extract import JdbcSource, extract_database
+from tierkit.sources.layers import create_layers, materialize_table, promote_many, run_concurrently
 
 Model = Callable[[Mapping[str, DataFrame]], DataFrame]
 
 
-def promote_tables(
-    spark: SparkSession,
-    root: str,
-    source_database: str,
-    tables: Sequence[tuple[str, str]],
-    silver: str,
-    threads: int = 4,
-) -> dict[str, DataFrame]:
-    """Raw directories to silver tables; returns them by table name."""
-
-    def promote(schema: str, table: str) -> DataFrame:
-        return promote_to_silver(spark, bronze_path(root, source_database, schema, table), silver, schema, table)
-
-    frames = promote_many(tables, promote, threads)
-    return {f"silver_{s.lower()}_{t.lower()}": df for (s, t), df in zip(tables, frames)}
-
-
 def build_models(
     inputs: Mapping[str, DataFrame],
     models: Mapping[str, Model],
@@ -40,9 +23,8 @@ def build_models(
     frames = {name: model(inputs) for name, model in models.items()}
     if database is None:
         return frames
-    with ThreadPoolExecutor(threads) as pool:
-        tables = pool.map(lambda m: materialize_table(m[1], f"{database}.{m[0]}"), frames.items())
-        return dict(zip(frames, tables))
+    writes = [(df, f"{database}.{name}") for name, df in frames.items()]
+    return dict(zip(frames, run_concurrently(materialize_table, writes, threads)))
 
 
 def run_daily(
@@ -53,9 +35,15 @@ def run_daily(
     models: Mapping[str, Model],
     checks: Callable[[Mapping[str, DataFrame]], list[tuple[DataFrame, Check]]],
     prefix: str = "",
+    source: JdbcSource | None = None,
 ) -> list:
-    """Raw to silver to gold to checks; returns the check results or raises ``ChecksFailed``."""
+    """Raw to silver to gold to checks; returns the check results or raises ``ChecksFailed``.
+
+    With a ``source`` its tables are landed first; without one the raw files are there already.
+    """
     layers = create_layers(spark, root, prefix)
-    silver = promote_tables(spark, root, source_database, tables, layers["silver"])
+    if source is not None:
+        extract_database(spark, source, root)
+    silver = promote_many(spark, root, source_database, tables, layers["silver"])
     gold = build_models(silver, models, layers["gold"])
     return gate(run_checks(checks(gold)))

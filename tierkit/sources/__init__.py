@@ -11,6 +11,7 @@ from tierkit.sources.layers import (
     materialize_view,
     promote_many,
     promote_to_silver,
+    register_external,
     replace_table_as,
     scan_parquet,
     write_layer,
@@ -31,6 +32,7 @@ __all__ = [
     "promote_to_silver",
     "read_seed",
     "read_table",
+    "register_external",
     "relations_by_pattern",
     "relations_by_prefix",
     "replace_table_as",

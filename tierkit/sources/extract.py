@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tierkit.sources.coerce import coerce_bronze
-from tierkit.sources.layers import bronze_path, write_layer
+from tierkit.sources.layers import bronze_path, run_concurrently, write_layer
 
 # Schemas that hold the server's own tables.
 SYSTEM_SCHEMAS = ("sys", "INFORMATION_SCHEMA")
@@ -97,19 +97,23 @@ def extract_database(
     root: str,
     split_columns: dict[str, str] | None = None,
     partitions: int = 32,
-) -> list[str]:
+    threads: int = 4,
+) -> list[tuple[str, str]]:
     """Land every base table under ``root``; rows stream from database to Parquet on executors.
 
-    ``split_columns`` maps ``schema.table`` to the column a big table is cut by.
+    ``split_columns`` maps ``schema.table`` to the column a big table is read in parallel by.
+    Returns the (schema, table) pairs written.
     """
-    written = []
-    for schema, table in sorted(map(tuple, list_tables(spark, source).collect())):
+
+    def land(schema: str, table: str) -> None:
         column = (split_columns or {}).get(f"{schema}.{table}")
         split = find_split(spark, source, schema, table, column, partitions) if column else None
-        path = bronze_path(root, source.database, schema, table)
-        write_layer(coerce_bronze(read_table(spark, source, schema, table, split)), path)
-        written.append(path)
-    return written
+        rows = coerce_bronze(read_table(spark, source, schema, table, split))
+        write_layer(rows, bronze_path(root, source.database, schema, table))
+
+    tables = sorted(map(tuple, list_tables(spark, source).collect()))
+    run_concurrently(land, tables, threads)
+    return tables
 
 
 def sample_table(df: DataFrame, n: int = 100) -> DataFrame:

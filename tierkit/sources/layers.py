@@ -98,23 +98,55 @@ def promote_to_silver(
     return materialize_table(raw if clean is None else clean(raw), name)
 
 
-def promote_many(
-    tables: Iterable[tuple[str, str]],
-    promote: Callable[[str, str], DataFrame],
+def run_concurrently(
+    work: Callable,
+    items: Iterable[tuple],
     threads: int = 4,
-    tries: int = 3,
+    tries: int = 1,
     pause: float = 5.0,
-) -> list[DataFrame]:
-    """Promote a list of (schema, table), a few at a time; each gets ``tries`` with a growing pause."""
+) -> list:
+    """``work(*item)`` for every item, a few Spark jobs at a time, with growing pauses between tries."""
 
-    def attempt(schema: str, table: str) -> DataFrame:
+    def attempt(item: tuple):
         for n in range(1, tries + 1):
             try:
-                return promote(schema, table)
+                return work(*item)
             except Exception:
                 if n == tries:
                     raise
                 time.sleep(min(pause * n, 20.0))
 
     with ThreadPoolExecutor(threads) as pool:
-        return list(pool.map(lambda t: attempt(*t), tables))
+        return list(pool.map(attempt, items))
+
+
+def register_external(
+    spark: SparkSession, root: str, source_database: str, tables: Iterable[tuple[str, str]], database: str
+) -> dict[str, DataFrame]:
+    """Name raw directories ``<database>.<schema>_<table>``, without copying them."""
+    return {
+        f"{schema}_{table}".lower(): external_table(
+            spark, f"{database}.{schema}_{table}".lower(), bronze_path(root, source_database, schema, table)
+        )
+        for schema, table in tables
+    }
+
+
+def promote_many(
+    spark: SparkSession,
+    root: str,
+    source_database: str,
+    tables: Iterable[tuple[str, str]],
+    database: str,
+    threads: int = 4,
+    tries: int = 3,
+    pause: float = 5.0,
+) -> dict[str, DataFrame]:
+    """Promote a list of (schema, table); returns the silver tables by name."""
+    tables = list(tables)
+
+    def promote(schema: str, table: str) -> DataFrame:
+        return promote_to_silver(spark, bronze_path(root, source_database, schema, table), database, schema, table)
+
+    frames = run_concurrently(promote, tables, threads, tries, pause)
+    return {f"silver_{s}_{t}".lower(): df for (s, t), df in zip(tables, frames)}
