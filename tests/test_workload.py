@@ -45,3 +45,18 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_union_filters_inside_the_branches(spark):
     plan = QUERIES["union_superset"](spark, FOLDER)._jdf.queryExecution().toString()
     assert "GreaterThan(c_acctbal,1000.0)" in plan and "GreaterThan(s_acctbal,1000.0)" in plan
+
+
+FOLDED_FIRST = [
+    *("chk_unique", "chk_unique_combo", "chk_accepted_values", "chk_equal_rowcount", "chk_fewer_rows"),
+    *("chk_equality", "chk_equality_multiset", "chk_cardinality", "chk_at_least_one", "chk_null_proportion"),
+    *("dedup_latest", "dedup_lines", "unpivot_measures", "column_values", "histogram", "url_host"),
+]
+
+
+@pytest.mark.parametrize("name", FOLDED_FIRST)
+def test_rows_fold_before_every_shuffle(spark, name):
+    """A key with a third of all rows must not travel row by row."""
+    lines = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [after for line, after in zip(lines, lines[1:]) if "Exchange hashpartitioning" in line]
+    assert below and all("Aggregate(" in line or "WindowGroupLimit" in line for line in below)

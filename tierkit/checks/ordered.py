@@ -71,7 +71,11 @@ def mutually_exclusive_ranges(
             *partition_by,
             "lower_bound",
             "upper_bound",
-            _entries("next_lower_bound", (bad_copy & (own > 0), F.col("lower_bound"), own), (bad_last & ~alike, following, F.lit(1))),
+            _entries(
+                "next_lower_bound",
+                (bad_copy & (own > 0), F.col("lower_bound"), own),
+                (bad_last & ~alike, following, F.lit(1)),
+            ),
         )
 
     return Check(f"mutually_exclusive_ranges_{lower}_{upper}", find, fail_calc="sum(n_rows)")

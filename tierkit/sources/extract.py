@@ -67,7 +67,9 @@ def bounds_query(schema: str, table: str, column: str) -> str:
     return f"SELECT MIN({column}) AS lower_bound, MAX({column}) AS upper_bound FROM {schema}.{table}"
 
 
-def read_options(source: JdbcSource, spark: SparkSession, schema: str, table: str, split: Split | None) -> dict[str, str]:
+def read_options(
+    source: JdbcSource, spark: SparkSession, schema: str, table: str, split: Split | None
+) -> dict[str, str]:
     options = {**source.options(spark), "dbtable": f"{schema}.{table}"}
     return options if split is None else {**options, **split.options()}
 

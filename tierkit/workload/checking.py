@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierkit import checks as q
 from tierkit.functions import url_parameter
+from tierkit.operators import single_value
 from tierkit.workload.registry import Tables, query
 
 
@@ -370,6 +371,22 @@ def assert_equal(t: Tables) -> DataFrame:
     return q.assert_equal("actual", "expected").violations(lines).select("l_orderkey", "l_linenumber")
 
 
+@query(
+    "chk_columns_match",
+    """
+    SELECT column_name, problem, n_rows
+    FROM (VALUES ('L_COMMENT', 'missing'), ('L_TAX', 'extra'), ('L_SHIPDATE', 'extra')) AS v(column_name, problem),
+         (SELECT count(*) AS n_rows FROM lineitem)
+    """,
+)
+def columns_match_set(t: Tables) -> DataFrame:
+    """Columns missing or extra, with the number of rows concerned."""
+    lines = t["lineitem"]
+    expected = [c for c in lines.columns if c not in ("l_tax", "l_shipdate")] + ["l_comment"]
+    found = q.columns_match_set(expected).violations(lines)
+    return found.withColumn("n_rows", single_value(lines.agg(F.count("*"))))
+
+
 @query(
     "chk_suite",
     """
