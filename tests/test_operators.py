@@ -226,6 +226,8 @@ class TestProfile:
         assert rows(letters.filter(F.col("field") == highest).select("side").distinct()) == [("left",), ("right",)]
         nothing = single_value(letters.filter("field = 'z'").select("field"), default="none")
         assert rows(spark.range(1).select(nothing)) == [("none",)]
+        null = single_value(spark.sql("select cast(null as string) as a, 1 as b"), default="none")
+        assert rows(spark.range(1).select(null)) == [(None,)]
         first = single_value(letters.orderBy(F.desc("field"), F.desc("side")).select("side", "field"))
         assert rows(spark.range(1).select(first)) == [("right",)]
 

@@ -30,7 +30,7 @@ from tierkit.sources import (
 )
 from tierkit.sources.layers import run_concurrently, table_location
 from tierkit.sources import extract
-from tierkit.sources.extract import bounds_query, read_options, table_list_query
+from tierkit.sources.extract import bounds_query, read_options, split_column_query, table_list_query
 
 
 @pytest.fixture
@@ -229,6 +229,7 @@ class TestExtract:
     def test_queries(self):
         assert "NOT IN ('sys', 'INFORMATION_SCHEMA')" in table_list_query()
         assert "TABLE_TYPE = 'BASE TABLE'" in table_list_query()
+        assert "ORDINAL_POSITION = 1" in split_column_query() and "'bigint'" in split_column_query()
         assert bounds_query("Sales", "Store", "ID") == "SELECT MIN(ID) AS lower_bound, MAX(ID) AS upper_bound FROM Sales.Store"
 
 
@@ -243,12 +244,14 @@ class TestExtract:
             return data[schema, table]
 
         monkeypatch.setattr(extract, "list_tables", lambda spark, source: listed)
+        keys = spark.createDataFrame([("HR", "Staff", "pay")], "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string")
+        monkeypatch.setattr(extract, "list_split_columns", lambda spark, source: keys)
         monkeypatch.setattr(extract, "find_split", lambda spark, source, schema, table, column, n: Split(column, 0, 2, n))
         monkeypatch.setattr(extract, "read_table", read_table)
         source = JdbcSource("jdbc:postgresql://db/shop", "shop")
         tables = extract.extract_database(spark, source, str(tmp_path), {"Sales.Store": "id"}, partitions=2)
         assert tables == [("HR", "Staff"), ("Sales", "Store")]
-        assert sorted(splits, key=str) == [("Staff", None), ("Store", Split("id", 0, 2, 2))]
+        assert sorted(splits, key=str) == [("Staff", Split("pay", 0, 2, 2)), ("Store", Split("id", 0, 2, 2))]
         assert scan_parquet(spark, bronze_path(str(tmp_path), "shop", "HR", "Staff")).first().asDict() == {
             "badge": "AQ==",
             "pay": "1.50",

@@ -55,8 +55,11 @@ def single_value(df: DataFrame, default=None) -> Column:
 
     Order the query if it has more rows than one; without a row the default stands in.
     """
-    value = df.select(df.columns[0]).limit(1).scalar()
-    return value if default is None else F.coalesce(value, F.lit(default))
+    first = df.select(F.col(f"`{df.columns[0]}`").alias("value")).limit(1)
+    if default is None:
+        return first.scalar()
+    found = F.when(F.count("*") == 0, F.lit(default)).otherwise(F.first("value"))
+    return first.agg(found.alias("value")).scalar()
 
 
 def result_arrays(df: DataFrame, order_by: Sequence[str], max_rows: int = 10_000) -> DataFrame:

@@ -13,6 +13,9 @@ from tierkit.sources.layers import bronze_path, run_concurrently, write_layer
 # Schemas that hold the server's own tables.
 SYSTEM_SCHEMAS = ("sys", "INFORMATION_SCHEMA")
 
+# Column types a table can be cut by into ranges.
+SPLIT_TYPES = ("int", "integer", "bigint", "smallint", "date", "datetime", "timestamp")
+
 
 @dataclass(frozen=True)
 class JdbcSource:
@@ -63,6 +66,20 @@ def table_list_query(exclude_schemas: Sequence[str] = SYSTEM_SCHEMAS) -> str:
     )
 
 
+def split_column_query() -> str:
+    """SQL that lists, per table, the leading primary-key column if it can be cut into ranges."""
+    kinds = ", ".join(f"'{t}'" for t in SPLIT_TYPES)
+    return (
+        "SELECT k.TABLE_SCHEMA, k.TABLE_NAME, k.COLUMN_NAME "
+        "FROM INFORMATION_SCHEMA.TABLE_CONSTRAINTS t "
+        "JOIN INFORMATION_SCHEMA.KEY_COLUMN_USAGE k "
+        "ON k.CONSTRAINT_SCHEMA = t.CONSTRAINT_SCHEMA AND k.CONSTRAINT_NAME = t.CONSTRAINT_NAME "
+        "JOIN INFORMATION_SCHEMA.COLUMNS c ON c.TABLE_SCHEMA = k.TABLE_SCHEMA "
+        "AND c.TABLE_NAME = k.TABLE_NAME AND c.COLUMN_NAME = k.COLUMN_NAME "
+        f"WHERE t.CONSTRAINT_TYPE = 'PRIMARY KEY' AND k.ORDINAL_POSITION = 1 AND c.DATA_TYPE IN ({kinds})"
+    )
+
+
 def bounds_query(schema: str, table: str, column: str) -> str:
     return f"SELECT MIN({column}) AS lower_bound, MAX({column}) AS upper_bound FROM {schema}.{table}"
 
@@ -78,6 +95,10 @@ def list_tables(spark: SparkSession, source: JdbcSource) -> DataFrame:
     return spark.read.format("jdbc").options(**source.options(spark), query=table_list_query()).load()
 
 
+def list_split_columns(spark: SparkSession, source: JdbcSource) -> DataFrame:
+    return spark.read.format("jdbc").options(**source.options(spark), query=split_column_query()).load()
+
+
 def find_split(
     spark: SparkSession, source: JdbcSource, schema: str, table: str, column: str, partitions: int
 ) -> Split | None:
@@ -103,12 +124,13 @@ def extract_database(
 ) -> list[tuple[str, str]]:
     """Land every base table under ``root``; rows stream from database to Parquet on executors.
 
-    ``split_columns`` maps ``schema.table`` to the column a big table is read in parallel by.
-    Returns the (schema, table) pairs written.
+    A table is read in parallel by its leading key column, or by the one ``split_columns`` names
+    for ``schema.table``. Returns the (schema, table) pairs written.
     """
+    columns = {f"{s}.{t}": c for s, t, c in list_split_columns(spark, source).collect()} | (split_columns or {})
 
     def land(schema: str, table: str) -> None:
-        column = (split_columns or {}).get(f"{schema}.{table}")
+        column = columns.get(f"{schema}.{table}")
         split = find_split(spark, source, schema, table, column, partitions) if column else None
         rows = coerce_bronze(read_table(spark, source, schema, table, split))
         write_layer(rows, bronze_path(root, source.database, schema, table))
