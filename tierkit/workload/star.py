@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tierkit.checks import run_checks
 from tierkit.functions import surrogate_key
 from tierkit.operators import date_bounds, date_spine
-from tierkit.plans import build_models, retail_star
-from tierkit.sources import create_layers
+from tierkit.plans import build_models, retail_star, run_daily
+from tierkit.sources import bronze_path, coerce_bronze, create_layers, write_layer
 from tierkit.workload.registry import Tables, fresh_root, key_sql, query
 
 STATUS_CASE = (
@@ -145,49 +145,22 @@ def _dimension_rows(table: str, key: str, label: str, rows: str) -> str:
     return "\n    UNION ALL ".join(parts)
 
 
-def _suite_sql() -> str:
-    k = key_sql
-    dimensions = [
-        (
-            "dim_product",
-            "product_id_wid",
-            "product_name",
-            f"SELECT {k('p_partkey')} AS product_id_wid, p_partkey AS integration_id, p_name AS product_name FROM part",
-        ),
-        (
-            "dim_address",
-            "address_id_wid",
-            "addressline1",
-            f"SELECT {k('s_suppkey')} AS address_id_wid, s_suppkey AS integration_id, s_name AS addressline1 FROM supplier",
-        ),
-        (
-            "dim_customer",
-            "customer_id_wid",
-            "fullname",
-            f"SELECT {k('c_custkey')} AS customer_id_wid, c_custkey AS integration_id, c_name AS fullname FROM customer",
-        ),
-        (
-            "dim_used_customer",
-            "customer_id_wid",
-            "segment",
-            f"SELECT {k('o_custkey')} AS customer_id_wid, o_custkey AS integration_id, c_mktsegment AS segment "
-            "FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL) "
-            "LEFT JOIN customer ON o_custkey = c_custkey",
-        ),
-        (
-            "dim_order_status",
-            "order_status_id_wid",
-            "order_status_name",
-            f"SELECT {k('o_orderstatus')} AS order_status_id_wid, o_orderstatus AS integration_id, "
-            f"{STATUS_CASE} AS order_status_name FROM (SELECT DISTINCT o_orderstatus FROM orders)",
-        ),
-    ]
-    dims = "\n    UNION ALL ".join(_dimension_rows(*d) for d in dimensions)
-    fact = "SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
-    return f"""
-    WITH fact AS ({fact}), counted AS (
-    {dims}
-    UNION ALL SELECT 'fact_sales.unique_combination_orderkey_linenumber', count(*) FROM
+DIMENSION_ROWS = {
+    "dim_product": f"SELECT {key_sql('p_partkey')} AS product_id_wid, p_partkey AS integration_id, p_name AS product_name "
+    "FROM part",
+    "dim_address": f"SELECT {key_sql('s_suppkey')} AS address_id_wid, s_suppkey AS integration_id, "
+    "s_name AS addressline1 FROM supplier",
+    "dim_customer": f"SELECT {key_sql('c_custkey')} AS customer_id_wid, c_custkey AS integration_id, c_name AS fullname "
+    "FROM customer",
+    "dim_used_customer": f"SELECT {key_sql('o_custkey')} AS customer_id_wid, o_custkey AS integration_id, "
+    "c_mktsegment AS segment FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL) "
+    "LEFT JOIN customer ON o_custkey = c_custkey",
+    "dim_order_status": f"SELECT {key_sql('o_orderstatus')} AS order_status_id_wid, o_orderstatus AS integration_id, "
+    f"{STATUS_CASE} AS order_status_name FROM (SELECT DISTINCT o_orderstatus FROM orders)",
+}
+
+FACT_COUNTS = """
+    SELECT 'fact_sales.unique_combination_orderkey_linenumber', count(*) FROM
         (SELECT l_orderkey, l_linenumber FROM fact GROUP BY ALL HAVING count(*) > 1)
     UNION ALL SELECT 'fact_sales.not_null_sales_id_wid', 0
     UNION ALL SELECT 'fact_sales.not_null_order_date_id_wid', 0
@@ -196,17 +169,42 @@ def _suite_sql() -> str:
     UNION ALL SELECT 'fact_sales.relationships_order_status_id_wid_order_status_id_wid', 0
     UNION ALL SELECT 'fact_sales.totaldue_not_negative', count(*) FROM fact WHERE o_totalprice < 0
     UNION ALL SELECT 'fact_sales.columns_match_set', 0
-    UNION ALL SELECT 'accepted_values_order_status_name', count(*) FROM
-        (SELECT DISTINCT {STATUS_CASE} AS label FROM orders) WHERE label NOT IN ('Open', 'Finished'))
+"""
+
+
+def _suite_sql(dimensions: list[str], others: str = "") -> str:
+    """SQL of the metrics: the checks of some dimensions, of the status labels, and more if given."""
+    dims = [_dimension_rows(d, *retail_star.KEY_AND_LABEL[d], DIMENSION_ROWS[d]) for d in dimensions]
+    labels = f"""SELECT 'accepted_values_order_status_name', count(*) FROM
+        (SELECT DISTINCT {STATUS_CASE} AS label FROM orders) WHERE label NOT IN ('Open', 'Finished')"""
+    counts = "\n    UNION ALL ".join([*dims, labels, *([others] if others else [])])
+    return f"""
+    WITH fact AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey), counted AS ({counts})
     SELECT "check", CAST(failures AS BIGINT) AS failures,
            CASE WHEN failures = 0 THEN 'pass' WHEN "check" LIKE 'accepted_values%' THEN 'warn' ELSE 'error' END AS status
     FROM counted
     """
 
 
-@query("star_suite", _suite_sql())
+@query("star_suite", _suite_sql(list(DIMENSION_ROWS), FACT_COUNTS))
 def star_suite(t: Tables) -> DataFrame:
     """The star written as gold tables, then all its checks in one job over those."""
     root, tag = fresh_root(t)
     gold = build_models(t, retail_star.MODELS, create_layers(t.spark, root, tag)["gold"])
     return run_checks(retail_star.star_checks(gold)).select("check", "failures", "status")
+
+
+@query("daily_build", _suite_sql(["dim_used_customer", "dim_order_status"]))
+def daily_build(t: Tables) -> DataFrame:
+    """Raw files to silver to two dimensions to their checks and the gate; one row per check."""
+    root, tag = fresh_root(t)
+    tables = [("Sales", "Orders"), ("Sales", "Customer")]
+    for schema, table in tables:
+        write_layer(coerce_bronze(t[table.lower()]), bronze_path(root, "shop", schema, table))
+
+    def over_silver(model):
+        return lambda silver: model({n: silver[f"silver_sales_{n}"] for n in ("orders", "customer")})
+
+    models = {n: over_silver(retail_star.MODELS[n]) for n in ("dim_used_customer", "dim_order_status")}
+    results = run_daily(t.spark, root, "shop", tables, models, retail_star.dimension_checks, prefix=tag)
+    return t.spark.createDataFrame(results).select("check", "failures", "status")
