@@ -20,10 +20,15 @@ def test_every_query_has_its_sql():
     assert entry_points.queries().keys() == entry_points.oracle_sql().keys() == QUERIES.keys()
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows_as_sql(spark, duck, name):
-    """Same rows, without a cross join or Python rows in the plan."""
+    """Same columns, types and rows, without a cross join or Python rows in the plan."""
     df = QUERIES[name](spark, FOLDER)
+    described = duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
+    assert {c: TYPES[kind] for c, kind in df.dtypes} == {row[0]: row[1] for row in described}
     plan = df._jdf.queryExecution().executedPlan().toString()
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "PythonUDF"):
         assert forbidden not in plan

@@ -6,6 +6,8 @@ import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from tierkit.functions.keys import NULL_MARK
 from tierkit.session import shared_dir
@@ -35,13 +37,19 @@ class Tables(Mapping):
         return len(self.NAMES)
 
 
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    """Dates shown as text: clients differ in what they make of a DATE, so reports avoid it."""
+    dates = [f.name for f in df.schema if isinstance(f.dataType, DateType)]
+    return df.withColumns({c: F.col(c).cast("string") for c in dates}) if dates else df
+
+
 def query(name: str, sql: str):
-    """Register ``fn(tables)`` under a name with its SQL twin."""
+    """Register ``fn(tables)`` under a name with its SQL twin, in which dates are VARCHAR."""
 
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: _dates_as_text(fn(Tables(spark, folder)))
         ORACLES[name] = sql
         return fn
 

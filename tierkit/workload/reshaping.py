@@ -104,7 +104,7 @@ def unpivot_text(t: Tables) -> DataFrame:
 @query(
     "dedup_latest",
     """
-    SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS orderdate, o_totalprice FROM orders
+    SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS orderdate, o_totalprice FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1
     """,
 )
@@ -122,7 +122,7 @@ LINE_ORDER = [
 @query(
     "dedup_lines",
     f"""
-    SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem
+    SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                                ORDER BY {', '.join(c + ' NULLS LAST' for c in LINE_ORDER)}) = 1
     """,
@@ -136,9 +136,9 @@ def dedup_lines(t: Tables) -> DataFrame:
     "pivot_status",
     """
     SELECT o_orderpriority,
-           sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS n_F,
-           sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS n_O,
-           sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS n_P
+           CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS n_F,
+           CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS n_O,
+           CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS BIGINT) AS n_P
     FROM orders GROUP BY 1
     """,
 )
@@ -190,7 +190,7 @@ def pivot_amounts(t: Tables) -> DataFrame:
                          AS DATE) AS date_day FROM orders),
          daily AS (SELECT CAST(o_orderdate AS DATE) AS d, sum(o_totalprice) AS total, count(*) AS n
                    FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)
-    SELECT date_day, coalesce(round(total, 2), 0) AS total, coalesce(n, 0) AS n_orders
+    SELECT CAST(date_day AS VARCHAR) AS date_day, coalesce(round(total, 2), 0) AS total, coalesce(n, 0) AS n_orders
     FROM days LEFT JOIN daily ON date_day = d
     """,
 )
@@ -209,7 +209,7 @@ def date_spine_day(t: Tables) -> DataFrame:
     """
     WITH months AS (SELECT CAST(unnest(range(date_trunc('month', min(o_orderdate)), max(o_orderdate) + INTERVAL 1 DAY,
                                 INTERVAL 1 MONTH)) AS DATE) AS date_month FROM orders)
-    SELECT date_month, count(o_orderkey) AS n_orders, count(DISTINCT o_custkey) AS n_customers
+    SELECT CAST(date_month AS VARCHAR) AS date_month, count(o_orderkey) AS n_orders, count(DISTINCT o_custkey) AS n_customers
     FROM months LEFT JOIN orders ON date_month = CAST(date_trunc('month', o_orderdate) AS DATE) GROUP BY 1
     """,
 )

@@ -26,7 +26,7 @@ query(
            {key_sql('o_orderstatus')} AS order_status_id_wid,
            {key_sql('CAST(o_orderdate AS DATE)')} AS order_date_id_wid,
            l_orderkey AS orderkey, l_linenumber AS linenumber, l_partkey AS productid,
-           o_custkey AS customerid, o_orderstatus AS order_status, CAST(o_orderdate AS DATE) AS orderdate,
+           o_custkey AS customerid, o_orderstatus AS order_status, strftime(o_orderdate, '%Y-%m-%d') AS orderdate,
            l_extendedprice AS unitprice, l_quantity AS orderqty,
            l_extendedprice * l_quantity AS revenue, o_totalprice AS totaldue
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -92,7 +92,7 @@ query(
 query(
     "order_totals",
     """
-    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
+    SELECT strftime(o_orderdate, '%Y-%m-01') AS order_month,
            round(sum(o_totalprice), 2) AS totaldue, count(*) AS n_orders
     FROM orders GROUP BY 1
     """,
@@ -102,7 +102,7 @@ query(
 @query(
     "dim_date",
     f"""
-    SELECT {key_sql('date_day')} AS date_id_wid, date_day AS integration_id
+    SELECT {key_sql('date_day')} AS date_id_wid, CAST(date_day AS VARCHAR) AS integration_id
     FROM (SELECT CAST(unnest(range(min(o_orderdate), max(o_orderdate) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE)
                  AS date_day FROM orders)
     """,
