@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierkit.llm import quality
+from tierkit.llm import curriculum, decontaminate, near, quality, shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,39 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_quality_rules")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(documents(spark, folder)).drop("class_distance", "word_distance")
+
+
+@query("op10_chosen_path")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(documents(spark, folder), shingle=4)
+
+
+@query("op1_cgk_decontamination")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+@query("op8_curriculum")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    planned = curriculum.plan(documents(spark, folder).select("doc_id", "source", "text"))
+    return planned.select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_size") * F.col("_copies")).alias("taken"),
+    )
+
+
+@query("op9_sampled_splitters")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    records = shards.keyed(documents(spark, folder).select("doc_id", "text")).drop("text")
+    return shards.place(records).select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_crc").alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("_shard").alias("shard"),
+        F.col("_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

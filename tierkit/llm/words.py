@@ -175,9 +175,9 @@ class Counter64:
 class Lookup:
     """Finds 64-bit hashes in a sorted table; most misses cost one look at a small bitmap."""
 
-    def __init__(self, keys: np.ndarray):
+    def __init__(self, keys: np.ndarray, spare_bits: int = 5):
         self.keys = np.sort(keys)
-        bits = max(12, int(len(keys)).bit_length() + 4)
+        bits = max(12, int(len(keys)).bit_length() + spare_bits)
         self.mask = np.uint64((1 << bits) - 1)
         self.maybe = np.zeros(1 << bits, bool)
         self.maybe[keys & self.mask] = True
