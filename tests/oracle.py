@@ -59,14 +59,15 @@ def difference(df, con, sql: str) -> str | None:
 
 if __name__ == "__main__":
     from tierkit.session import local_session
-    from tierkit.workload import ORACLES, QUERIES
+    import __spark_entry__
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0
-    for name in sys.argv[2:] or list(QUERIES):
+    for name in sys.argv[2:] or list(ORACLES):
         start = time.time()
         try:
             problem = difference(QUERIES[name](spark, folder), con, ORACLES[name])
