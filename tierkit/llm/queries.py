@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import curriculum, decontaminate, near, quality, shards, spans
+from tierkit.llm import curriculum, decontaminate, language, near, quality, shards, spans, suffix_tree
+from tierkit.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +95,16 @@ FROM words LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     kept = spans.remove_repeats(documents(spark, folder))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_suffix_tree")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.score(documents(spark, folder))
+
+
+@query("op2_cross_parsing")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    parser = language.learn(docs.filter(~held_out(4)))
+    predicted = language.identify(docs, parser)
+    return predicted.select("doc_id", held_out(4).alias("held_out"), "lang_pred", "score")

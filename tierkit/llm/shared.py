@@ -1,10 +1,10 @@
-"""Intermediate tables in the folder that the cluster shares, and components of links."""
+"""Intermediate tables in the folder that the cluster shares, folds, and components of links."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierkit.session import shared_dir
@@ -19,6 +19,12 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def held_out(parts: int, doc_id: str = "doc_id") -> Column:
+    """Whether crc32 of the ``doc_id`` as text leaves 2 by ``parts``."""
+    text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % parts == 2
+
+
 def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """``df`` stored, and marked for broadcast when it is no longer than ``most_rows``; a longer
     one is left to a shuffled join."""
