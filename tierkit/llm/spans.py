@@ -1,19 +1,21 @@
 """Substring dedup on a compacted de Bruijn graph of words.
 
 Every run of ``WINDOW`` words is an edge between its first and its last ``WINDOW - 1`` words. Edges
-that more than one document holds are repeated; where consecutive repeated edges run
-through the same documents the path does not branch, and it compacts into one span with its
-source coordinates: document, first word, words, and the first document that holds it.
-
-Most edges occur once, so they are not shuffled at all. Each window has an anchor, the
-least of the hashes of its ``ANCHOR``-word runs; equal windows have equal anchors. A first
-aggregate over the anchors, a fifth of the windows, finds those that two documents share,
-and only windows on shared anchors become edges. Two hashes, 96 bits, tell edges apart.
-The joins that follow keep the rows of each edge, or of each document, together; hot edges
-are folded before the aggregate, and adaptive execution splits them in the join.
-
-Up to ``SHARED_LIMIT`` shared anchors are sent to the tasks; beyond it they are joined to the
-documents by ``doc_id``.
+that more than one document holds are repeated.
+
+Each window has an anchor, the least of the hashes of its ``ANCHOR``-word runs; equal windows
+have equal anchors, and neighbouring windows mostly share theirs. The windows of a text on
+one anchor are a path of edges. A first aggregate over the anchors, a fifth of the windows,
+finds those that two documents share; all other edges occur once and are never shuffled.
+Where all paths on a shared anchor are the same words, the path does not branch and is
+compacted: one row stands for its edges. Only the edges on branching anchors are joined one
+by one, told apart by 96 bits. Neighbouring pieces of a text that the same documents hold
+then compact into one span with its source coordinates: document, first word, words, and
+the first document that holds it.
+
+Hot anchors and edges are folded before the aggregates, and adaptive execution splits them
+in the joins. Up to ``ANCHOR_LIMIT`` anchors are sent to the tasks; beyond it they are joined to
+the documents by ``doc_id``.
 
 Defined results: null and empty texts have no words; texts shorter than a window keep all
 words; a window that only one document repeats is not repeated; a row with a null ``doc_id``
@@ -24,8 +26,6 @@ table gives no rows; other columns are not looked at.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -36,7 +36,7 @@ from tierkit.llm.words import Lookup, Words, column, map_slices, mix
 
 WINDOW = 13
 ANCHOR = 5
-SHARED_LIMIT = 4_000_000
+ANCHOR_LIMIT = 4_000_000
 
 
 def _sliding(values: np.ndarray, size: int, fold) -> np.ndarray:
@@ -93,43 +93,37 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
     return map_slices(docs, work, "doc_id long, anchor long")
 
 
-def _edges(docs: DataFrame, shared: DataFrame, window: int, limit: int) -> DataFrame:
-    """``high, low, doc_id, place`` of the windows on shared anchors; ``place`` holds 31 bits that
-    tell texts of one ``doc_id`` apart above the 32 bits of the word's number."""
-    spark = docs.sparkSession
-    found = shared.limit(limit + 1).toArrow().column("anchor").to_numpy() if shared.limit(limit + 1).count() <= limit else None
-    if found is not None:
-        known = spark.sparkContext.broadcast(Lookup(found.view(np.uint64)))
-        given = docs
+def _on_anchors(docs: DataFrame, anchors: DataFrame, window: int, limit: int, pieces, schema: str) -> DataFrame:
+    """``pieces(graph, chosen windows)`` over the windows on ``anchors``, with ``doc_id`` and ``place``.
+
+    ``place`` holds 31 bits that tell texts of one ``doc_id`` apart above 32 bits for the number of
+    the first word.
+    """
+    few = anchors.limit(limit + 1).count() <= limit
+    if few:
+        found = anchors.toArrow().column("anchor").to_numpy().view(np.uint64)
+        known = docs.sparkSession.sparkContext.broadcast(Lookup(found))
     else:
-        known = None
-        own = _anchors(docs, window).join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("own"))
-        given = docs.join(own, "doc_id")
+        own = _anchors(docs, window).join(anchors, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("own"))
+        docs = docs.join(own, "doc_id")
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         g = Graph(part.column("text"), window)
-        doc = g.words.doc[g.at]
-        if known is not None:
+        if few:
             chosen = known.value.find(g.anchor)[0]
         else:
             own = part.column("own")
             number = np.repeat(np.arange(part.num_rows), own.value_lengths().to_numpy())
             keys = mix(own.flatten().to_numpy().view(np.uint64)) ^ mix(number.astype(np.uint64))
-            chosen = np.flatnonzero(np.isin(mix(g.anchor) ^ mix(doc.astype(np.uint64)), keys))
-        high, low = g.edges(chosen, window)
-        at, doc = g.at[chosen], doc[chosen]
+            chosen = np.flatnonzero(np.isin(mix(g.anchor) ^ mix(g.words.doc[g.at].astype(np.uint64)), keys))
+        at, columns = pieces(g, chosen)
+        doc = g.words.doc[at]
         tag = _tags(g.words)[doc] << np.uint64(32)
         place = tag | (at - g.words.first[doc]).astype(np.uint64)
-        return pa.RecordBatch.from_pydict(
-            {
-                "high": column(high),
-                "low": column(low),
-                "doc_id": part.column("doc_id").take(pa.array(doc)),
-                "place": column(place),
-            }
-        )
+        columns = {k: column(v) for k, v in (*columns.items(), ("place", place))}
+        return pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id").take(pa.array(doc)), **columns})
 
-    return map_slices(given, work, "high long, low int, doc_id long, place long")
+    return map_slices(docs, work, f"doc_id long, {schema}, place long")
 
 
 def _tags(w: Words) -> np.ndarray:
@@ -137,43 +131,73 @@ def _tags(w: Words) -> np.ndarray:
     return w.spans(w.bounds[:-1], w.bounds[1:]) >> np.uint64(33)
 
 
-def _occurrences(docs: DataFrame, window: int, limit: int) -> DataFrame:
-    """Occurrences of repeated edges, ``high, low, doc_id, place, first_doc, last_doc, n``."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    spread = lambda df, *keys: df.groupBy(*keys).agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-    shared = spread(_anchors(docs, window), "anchor").filter("first_doc < last_doc").select("anchor")
-    edges = _edges(docs, stored(shared, "anchors"), window, limit)
-    repeated = spread(edges, "high", "low").filter("first_doc < last_doc")
-    return edges.join(repeated, ["high", "low"])
+def _paths(docs: DataFrame, anchors: DataFrame, window: int, limit: int) -> DataFrame:
+    """``doc_id, anchor, path, edges, place``: the windows of a text on one anchor as one path."""
+
+    def pieces(g: Graph, chosen: np.ndarray):
+        at, anchor = g.at[chosen], g.anchor[chosen]
+        new = np.ones(len(at), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (np.diff(at) > 1) | (np.diff(g.words.doc[at]) > 0)
+        first, n = np.flatnonzero(new), np.diff(np.append(np.flatnonzero(new), len(at)))
+        return at[first], {
+            "anchor": anchor[first],
+            "path": g.words.phrases(g.hashes, at[first], at[first] + n + window - 1),
+            "edges": n.astype(np.int32),
+        }
+
+    return _on_anchors(docs, anchors, window, limit, pieces, "anchor long, path long, edges int")
+
+
+def _edges(docs: DataFrame, anchors: DataFrame, window: int, limit: int) -> DataFrame:
+    """``doc_id, high, low, place`` of single windows."""
+
+    def pieces(g: Graph, chosen: np.ndarray):
+        high, low = g.edges(chosen, window)
+        return g.at[chosen], {"high": high, "low": low}
+
+    return _on_anchors(docs, anchors, window, limit, pieces, "high long, low int")
+
+
+def _held(df: DataFrame, *keys: str) -> DataFrame:
+    """What more than one document holds, with the first and the last of them."""
+    documents = (F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+    paths = (F.min("path").alias("low_path"), F.max("path").alias("high_path")) if "path" in df.columns else ()
+    return df.groupBy(*keys).agg(*documents, *paths).filter("first_doc < last_doc")
 
 
 def repeated_spans(
-    docs: DataFrame, window: int = WINDOW, later_only: bool = False, limit: int = SHARED_LIMIT
+    docs: DataFrame, window: int = WINDOW, later_only: bool = False, limit: int = ANCHOR_LIMIT
 ) -> DataFrame:
     """``doc_id, tag, start, words, first_doc, last_doc``: the nonbranching repeated paths, at each
     place where they occur; ``later_only`` leaves out the first document of each.
 
-    Consecutive edges of a text belong to one path while the same first and last document
+    Neighbouring pieces of a text belong to one path while the same first and last document
     hold them. ``tag`` tells texts that share a ``doc_id`` apart.
     """
-    found = _occurrences(docs, window, limit)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
+    shared = stored(_held(_anchors(docs, window), "anchor").select("anchor"), "anchors")
+    paths = _paths(docs, shared, window, limit)
+    held = stored(_held(paths, "anchor"), "paths")
+    straight = paths.join(held.filter("low_path = high_path"), "anchor")
+    branching = held.filter("low_path <> high_path").select("anchor")
+    edges = _edges(docs, branching, window, limit)
+    single = edges.join(_held(edges, "high", "low"), ["high", "low"]).withColumn("edges", F.lit(1))
+    columns = ("doc_id", "place", "edges", "first_doc", "last_doc")
+    found = straight.select(*columns).union(single.select(*columns))
     if later_only:
         found = found.filter("doc_id > first_doc")
-    # a group is one document's edges, so it is bounded by the length of a text
+    # a group is one document's pieces, so it is bounded by the length of a text
     in_text = Window.partitionBy("doc_id").orderBy("place")
-    follows = (F.col("place") - 1).eqNullSafe(F.lag("place").over(in_text))
-    same = F.col("first_doc").eqNullSafe(F.lag("first_doc").over(in_text))
-    same &= F.col("last_doc").eqNullSafe(F.lag("last_doc").over(in_text))
-    begins = F.when(follows & same, 0).otherwise(1)
-    path = F.sum("begins").over(in_text.rowsBetween(Window.unboundedPreceding, 0))
-    paths = (
-        found.select("doc_id", "place", "first_doc", "last_doc")
-        .distinct()
-        .withColumn("begins", begins)
-        .withColumn("path", path)
-    )
-    spans = paths.groupBy("doc_id", "path").agg(
-        F.min("place").alias("place"), F.count("*").alias("edges"), F.min("first_doc").alias("first_doc"), F.min("last_doc").alias("last_doc")
+    follows = F.col("place").eqNullSafe(F.lag(F.col("place") + F.col("edges")).over(in_text))
+    for c in ("first_doc", "last_doc"):
+        follows &= F.col(c).eqNullSafe(F.lag(c).over(in_text))
+    number = F.sum("begins").over(in_text.rowsBetween(Window.unboundedPreceding, 0))
+    chained = found.distinct().withColumn("begins", F.when(follows, 0).otherwise(1)).withColumn("number", number)
+    spans = chained.groupBy("doc_id", "number").agg(
+        F.min("place").alias("place"),
+        F.sum("edges").alias("edges"),
+        F.min("first_doc").alias("first_doc"),
+        F.min("last_doc").alias("last_doc"),
     )
     return spans.select(
         "doc_id",
@@ -185,7 +209,7 @@ def repeated_spans(
     )
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, limit: int = SHARED_LIMIT) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, limit: int = ANCHOR_LIMIT) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` (binary: kept words joined by one space) of every row,
     without the words of windows that a document of smaller ``doc_id`` holds too."""
     later = repeated_spans(docs, window, later_only=True, limit=limit)

@@ -88,6 +88,13 @@ class Words:
             np.cumsum(BYTE_KEYS[self.data] * up[: len(self.data)], out=self._sums[1:])
         return mix((self._sums[end] - self._sums[start]) * down[start] + (end - start).astype(np.uint64))
 
+    def phrases(self, hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of the words of each range."""
+        up, down = _Powers.upto(len(hashes) + 1)
+        sums = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
+        return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
     @property
     def hash(self) -> np.ndarray:
         return self.spans(self.start, self.end)
