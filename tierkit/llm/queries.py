@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import curriculum, decontaminate, language, near, quality, shards, spans, suffix_tree
+from tierkit.llm import curriculum, decontaminate, language, near, quality, secrets, shards, spans, suffix_tree
 from tierkit.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     parser = language.learn(docs.filter(~held_out(4)))
     predicted = language.identify(docs, parser)
     return predicted.select("doc_id", held_out(4).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_secret_field")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(documents(spark, folder)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
