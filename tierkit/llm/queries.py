@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import curriculum, decontaminate, language, near, quality, secrets, shards, spans, suffix_tree
+from tierkit.llm import curriculum, decontaminate, language, near, personal, quality, secrets, shards, spans, suffix_tree
 from tierkit.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(documents(spark, folder)).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
     )
+
+
+@query("op6_personal_field")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.scan(documents(spark, folder)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
