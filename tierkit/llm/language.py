@@ -12,7 +12,8 @@ there are many languages. So the automata that are sent to the tasks have a fixe
 
 Texts are compared in lower case with every run of other characters than letters as one
 space. They are parsed whole, in stretches of ``STRETCH`` bytes at whose ends a phrase ends
-too, for all languages alike; the stretches of many texts advance together.
+too, for all languages alike; a byte that the sample lacks ends a phrase and begins the next.
+The stretches of many texts advance together.
 
 Defined results: a null text, an empty one and one without a letter are ``und`` with score 0;
 with no labelled text at all everything is ``und``; a label that is null is not learned from;
