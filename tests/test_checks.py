@@ -15,9 +15,9 @@ def failures(df, check):
 def people(table):
     return table(
         "id int, city string, n int, g string",
-        (1, "Barcelona", 5, "x"),
-        (2, "London", None, "x"),
-        (3, "Paris", 7, "y"),
+        (1, "Turku", 5, "x"),
+        (2, "Bergen", None, "x"),
+        (3, "Aarhus", 7, "y"),
         (4, None, None, "y"),
         (4, " ", 5, "z"),
     )
@@ -31,19 +31,19 @@ class TestRowChecks:
 
     def test_accepted_values(self, people):
         assert failures(people, q.accepted_values("g", ["x", "y", "z"])) == 0
-        assert failures(people, q.accepted_values("city", ["Barcelona", "London"])) == 2
+        assert failures(people, q.accepted_values("city", ["Turku", "Bergen"])) == 2
 
     def test_not_accepted_values(self, people, rows):
-        assert failures(people, q.not_accepted_values("city", ["Madrid", "Berlin"])) == 0
+        assert failures(people, q.not_accepted_values("city", ["Malmo", "Narvik"])) == 0
         check = q.not_accepted_values("g", ["x", "y", "w"])
         assert failures(people, check) == 2
         assert rows(check.violations(people)) == [("x", 2), ("y", 2)]
 
     def test_expression(self, table, people):
-        pairs = table("a double, b double", (0.0, 1.0), (1.0, 0.0), (0.5, 0.5))
-        assert failures(pairs, q.expression_is_true("a + b = 1")) == 0
-        assert failures(pairs, q.expression_is_true("a = 0.5").only("b = 0.5")) == 0
-        assert failures(pairs, q.expression_is_true(F.col("a") == 0.5)) == 2
+        pairs = table("net int, tax int", (80, 20), (95, 5), (60, 40), (100, 0))
+        assert failures(pairs, q.expression_is_true("net + tax = 100")) == 0
+        assert failures(pairs, q.expression_is_true("net = 95").only("tax between 1 and 10")) == 0
+        assert failures(pairs, q.expression_is_true(F.col("tax") * 2 <= 40)) == 1
         assert failures(people, q.expression_is_true("n > 4")) == 0
 
     def test_not_empty_string(self, table, people):
@@ -54,15 +54,16 @@ class TestRowChecks:
     @pytest.mark.parametrize(
         "bounds, expected",
         [
-            (dict(min_value=-1, max_value=11), 0),
-            (dict(min_value=-2, max_value=11.1, inclusive=False), 0),
-            (dict(min_value=-1, max_value=11, inclusive=False), 2),
-            (dict(min_value=0), 1),
-            (dict(max_value=10), 1),
+            (dict(min_value=3, max_value=60), 0),
+            (dict(min_value=2.5, max_value=60.5, inclusive=False), 0),
+            (dict(min_value=3, max_value=60, inclusive=False), 2),
+            (dict(min_value=17), 1),
+            (dict(max_value=59), 1),
+            (dict(max_value=17, inclusive=False), 2),
         ],
     )
     def test_accepted_range(self, table, bounds, expected):
-        assert failures(table("id int", -1, 11, None), q.accepted_range("id", **bounds)) == expected
+        assert failures(table("id int", 3, 17, 60, None), q.accepted_range("id", **bounds)) == expected
 
     def test_accepted_range_needs_a_bound(self, spark):
         with pytest.raises(ValueError):

@@ -22,34 +22,38 @@ def dates(df, *columns):
 
 
 class TestRanges:
-    def test_no_gaps(self, table):
-        df = table("a int, b int", (0, 1), (1, 2), (2, 4))
-        assert failures(df, mutually_exclusive_ranges("a", "b", gaps="not_allowed")) == 0
-        assert failures(df, mutually_exclusive_ranges("a", "b", gaps="required")) == 2
-        assert failures(df.filter("a <> 1"), mutually_exclusive_ranges("a", "b", gaps="not_allowed")) == 1
-
-    def test_gaps_by_group_with_an_open_end(self, table):
-        df = dates(
+    def test_shifts_of_one_machine(self, table):
+        """Shifts that follow at once: 6-14, 14-22, 22-30; without the second there is a gap of eight hours."""
+        shifts = table("starts int, ends int", (22, 30), (6, 14), (14, 22))
+        verdicts = {g: failures(shifts, mutually_exclusive_ranges("starts", "ends", gaps=g)) for g in ("allowed", "not_allowed", "required")}
+        assert verdicts == {"allowed": 0, "not_allowed": 0, "required": 2}
+        apart = shifts.filter("starts <> 14")
+        verdicts = {g: failures(apart, mutually_exclusive_ranges("starts", "ends", gaps=g)) for g in verdicts}
+        assert verdicts == {"allowed": 0, "not_allowed": 1, "required": 0}
+
+    def test_leases_by_flat_with_an_open_end(self, table):
+        leases = dates(
             table(
-                "id int, valid_from string, valid_to string",
-                (1, "2019-01-01", "2019-02-01"),
-                (1, "2019-03-03", "2019-04-01"),
-                (2, "2019-05-06", "2019-07-02"),
-                (2, "2019-07-03", None),
+                "flat string, moved_in string, moved_out string",
+                ("attic", "2011-07-15", "2013-02-28"),
+                ("attic", "2013-02-28", "2016-09-30"),
+                ("attic", "2016-11-01", None),
+                ("cellar", "2010-01-10", "2010-01-20"),
+                ("cellar", "2010-01-15", "2010-03-01"),
             ),
-            "valid_from",
-            "valid_to",
+            "moved_in",
+            "moved_out",
         )
-        ends = "coalesce(valid_to, date'2099-01-01')"
-        for gaps in ("allowed", "required"):
-            assert failures(df, mutually_exclusive_ranges("valid_from", ends, ["id"], gaps=gaps)) == 0
-        assert failures(df, mutually_exclusive_ranges("valid_from", ends, ["id"], gaps="not_allowed")) == 2
-        assert failures(df, mutually_exclusive_ranges("valid_from", "valid_to", ["id"])) == 1
+        until = "coalesce(moved_out, date'9999-12-31')"
+        found = {g: failures(leases, mutually_exclusive_ranges("moved_in", until, ["flat"], gaps=g)) for g in ("allowed", "not_allowed", "required")}
+        # the cellar overlaps in any case; the attic has a gap, and one lease that begins as another ends
+        assert found == {"allowed": 1, "not_allowed": 2, "required": 2}
+        assert failures(leases, mutually_exclusive_ranges("moved_in", "moved_out", ["flat"])) == 2
 
-    def test_zero_length(self, table):
-        df = table("a int, b int", (6, 7), (8, 10), (8, 8), (12, 15))
-        assert failures(df, mutually_exclusive_ranges("a", "b", zero_length_range_allowed=True)) == 0
-        assert failures(df, mutually_exclusive_ranges("a", "b")) == 1
+    def test_a_range_without_length(self, table):
+        moments = table("a double, b double", (-1.5, 0.0), (0.0, 0.0), (0.25, 9.0))
+        assert failures(moments, mutually_exclusive_ranges("a", "b", zero_length_range_allowed=True)) == 0
+        assert failures(moments, mutually_exclusive_ranges("a", "b")) == 1
 
     def test_unknown_gaps(self):
         with pytest.raises(ValueError):
@@ -57,18 +61,18 @@ class TestRanges:
 
 
 class TestSequences:
-    def test_even_numbers(self, table, rows):
-        df = table("g int, v int", (1, 2), (1, 4), (1, 6), (2, 8), (2, 10))
-        assert failures(df, sequential_values("v", interval=2)) == 0
-        assert failures(df, sequential_values("v", interval=2, group_by=["g"])) == 0
-        assert rows(sequential_values("v", 2).violations(df.filter("v <> 6"))) == [(8, 4, 1)]
-
-    def test_hours(self, table):
-        df = table("t string", "2021-01-01 00:00", "2021-01-01 01:00", "2021-01-01 02:00", "2021-01-01 03:00")
+    def test_steps_of_seven(self, table, rows):
+        df = table("shelf string, v int", ("low", -7), ("low", 0), ("high", 7), ("high", 14), ("low", 21))
+        assert failures(df, sequential_values("v", interval=7)) == 0
+        assert failures(df, sequential_values("v", interval=7, group_by=["shelf"])) == 1
+        assert rows(sequential_values("v", 7).violations(df.filter("v <> 14"))) == [(21, 7, 1)]
+
+    def test_half_days(self, table):
+        df = table("t string", "1999-12-31 12:00", "2000-01-01 00:00", "2000-01-01 12:00")
         for kind in ("timestamp", "timestamp_ntz"):
             typed = df.select(F.col("t").cast(kind))
-            assert failures(typed, sequential_values("t", 1, datepart="hour")) == 0
-            assert failures(typed, sequential_values("t", 2, datepart="hour")) == 3
+            assert failures(typed, sequential_values("t", 12, datepart="hour")) == 0
+            assert failures(typed, sequential_values("t", 1, datepart="day")) == 2
 
     def test_copies_and_nulls(self, table, rows):
         df = table("v int", 1, 2, 2, 2, 3, None, None)

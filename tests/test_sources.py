@@ -28,7 +28,7 @@ from tierkit.sources import (
     union_tables_matching,
     write_layer,
 )
-from tierkit.sources.layers import run_concurrently, table_location
+from tierkit.sources.layers import clean_versions, run_concurrently, table_location
 from tierkit.sources import extract
 from tierkit.sources.extract import bounds_query, read_options, split_column_query, table_list_query
 
@@ -121,23 +121,41 @@ class TestLayers:
         out = replace_table_as(spark.table(name).withColumn("id", F.col("id") * 10), name)
         assert rows(out) == [(20,), (30,)]
 
-    def test_refresh_drops_the_previous_folder_only(self, spark, layers, rows):
+    @pytest.mark.parametrize("change", [False, True])
+    def test_an_older_handle_still_reads(self, spark, layers, rows, change):
         name = f"{layers['gold']}.counts"
-        materialize_table(spark.range(1), f"{name}_more")
-        first = materialize_table(spark.range(2), name).inputFiles()
+        before = materialize_table(spark.range(2), name)
         folder = table_location(spark, name)
-        materialize_table(spark.range(3).withColumn("x", F.lit(1)), name)
+        new = spark.range(3).withColumn("x", F.lit(1)) if change else spark.range(3)
+        assert materialize_table(new, name).count() == 3 == spark.table(name).count()
         assert table_location(spark, name) != folder
-        assert not any(os.path.exists(f.removeprefix("file://")) for f in first)
-        assert rows(spark.table(name)) == [(0, 1), (1, 1), (2, 1)]
-        assert spark.table(f"{name}_more").count() == 1
+        assert rows(before) == [(0,), (1,)]
 
-    def test_failed_refresh_leaves_the_table(self, spark, layers, rows):
+    def test_versions_are_cleaned_in_a_step_of_its_own(self, spark, layers):
+        name = f"{layers['gold']}.counts"
+        materialize_table(spark.range(7), f"{name}_more")
+        for n in (1, 2, 3):
+            materialize_table(spark.range(n), name)
+        assert clean_versions(spark, name) == []
+        assert len(clean_versions(spark, name, older_than=0)) == 2
+        assert clean_versions(spark, name, older_than=0) == []
+        assert (spark.table(name).count(), spark.table(f"{name}_more").count()) == (3, 7)
+
+    def test_failed_refresh_leaves_the_table_and_no_folder(self, spark, layers, rows):
         name = f"{layers['gold']}.counts"
         materialize_table(spark.range(2), name)
+        home = os.path.dirname(table_location(spark, name)).removeprefix("file:")
+        folders = sorted(os.listdir(home))
         with pytest.raises((PySparkException, Py4JJavaError)):
             materialize_table(spark.range(1).select(F.raise_error(F.lit("no")).alias("id")), name)
         assert rows(spark.table(name)) == [(0,), (1,)]
+        assert sorted(os.listdir(home)) == folders
+
+    def test_external_table_moves_to_another_folder(self, spark, tmp_path, layers):
+        name = f"{layers['bronze']}.moved"
+        for n in (1, 2):
+            write_layer(spark.range(n), str(tmp_path / f"data{n}"))
+            assert external_table(spark, name, str(tmp_path / f"data{n}")).count() == n
 
     def test_view(self, spark):
         assert materialize_view(spark.range(3), f"v{uuid.uuid4().hex}").count() == 3
@@ -182,24 +200,23 @@ class TestSeeds:
 
 class TestCatalog:
     @pytest.fixture
-    def events(self, spark, layers):
+    def meters(self, spark, layers):
+        """Readings of three meters, each in a table of its own; column names differ in case only."""
         db = layers["silver"]
-        for day, schema in (("01", "user_id"), ("02", "user_id"), ("03", "USER_ID")):
-            first = int(day) * 2 - 1
-            df = spark.createDataFrame([(first, "play"), (first + 1, "pause")], f"{schema} bigint, event string")
-            materialize_table(df, f"{db}.data_events_201801{day}")
-        materialize_table(spark.range(1), f"{db}.other")
+        for name, column, values in (("gas", "m3", [7, 9]), ("heat", "M3", [2]), ("water", "m3", [5, 6, 8])):
+            materialize_table(spark.createDataFrame([(v,) for v in values], f"{column} int"), f"{db}.meter_{name}")
+        materialize_table(spark.range(1), f"{db}.invoice")
         return db
 
-    def test_pattern_and_prefix(self, spark, events):
-        by_pattern = relations_by_pattern(spark, events.upper(), "DATA_EVENTS_%", exclude="%02")
-        assert by_pattern == {f"{events}.data_events_201801{d}": "external" for d in ("01", "03")}
-        assert len(relations_by_prefix(spark, events, "data_events_")) == 3
-        assert relations_by_prefix(spark, events, "nothing") == {}
+    def test_pattern_and_prefix(self, spark, meters):
+        by_pattern = relations_by_pattern(spark, meters.upper(), "METER_%", exclude="%_heat")
+        assert by_pattern == {f"{meters}.meter_{n}": "external" for n in ("gas", "water")}
+        assert len(relations_by_prefix(spark, meters, "meter_")) == 3
+        assert relations_by_prefix(spark, meters, "nothing") == {}
 
-    def test_union_of_matches(self, spark, events, rows):
-        united = union_tables_matching(spark, events, "data_events_%", source_column=None)
-        assert rows(united) == [(i, "play" if i % 2 else "pause") for i in range(1, 7)]
+    def test_union_of_matches(self, spark, meters, rows):
+        united = union_tables_matching(spark, meters, "meter_%", source_column=None)
+        assert rows(united) == [(2,), (5,), (6,), (7,), (8,), (9,)]
 
 
 class TestExtract:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -16,19 +16,36 @@ class ChecksFailed(Exception):
     """At least one check ended in an error."""
 
 
+@dataclass(frozen=True)
+class Keyed:
+    """What a check counts by key: rows that share one, or rows whose key the parent lacks.
+
+    Keys are compared as text with NULL kept apart; ``skip_null`` leaves NULL keys out.
+    """
+
+    columns: Sequence[str]
+    skip_null: bool = True
+    condition: str | None = None
+    parent: DataFrame | None = None
+    parent_columns: Sequence[str] = ()
+    parent_condition: str | None = None
+
+
 @dataclass(frozen=True)
 class Check:
     """A named rule over one table.
 
     ``find`` returns the violations and ``fail_calc`` turns them into a number. Where that
-    number is a plain aggregate over the table, ``tally`` gives it directly; all tallies over
-    one table share a single scan. NULL comparisons are not violations unless said.
+    number is a plain aggregate over the table, ``tally`` gives it directly, or as a function of
+    the table; all tallies over one table share a single scan. Checks with ``keyed`` share one
+    more. NULL comparisons are not violations unless said.
     """
 
     name: str
     find: Callable[[DataFrame], DataFrame]
     fail_calc: str = "count(*)"
-    tally: Column | None = None
+    tally: Column | Callable[[DataFrame], Column] | None = None
+    keyed: Keyed | None = None
     where: str | None = None
     severity: str = "error"
     warn_if: str = "!= 0"
@@ -69,22 +86,75 @@ def _verdict(check: Check, count: str) -> Column:
 
 
 def run_checks(plan: Iterable[tuple[DataFrame, Check]]) -> DataFrame:
-    """One row per check: check, failures, should_warn, should_error, status."""
+    """One row per check: check, failures, should_warn, should_error, status.
+
+    A table is scanned once for all its tallies and once for all keys that any check needs of
+    it, whatever the number of checks; other checks read their own columns.
+    """
     plan = list(plan)
     scans: dict[tuple, tuple[DataFrame, list[Check]]] = {}
     counted: list[tuple[DataFrame, list[Check]]] = []
+    keyed = [(df, check) for df, check in plan if check.keyed is not None]
+    if keyed:
+        counted.append((_count_keys(keyed), [check for _, check in keyed]))
     for df, check in plan:
+        if check.keyed is not None:
+            continue
         if check.tally is None:
             counted.append((check.violations(df).agg(_as_count(F.expr(check.fail_calc), 0)), [check]))
         else:
             source = df if check.where is None else df.filter(check.where)
             scans.setdefault((id(df), check.where), (source, []))[1].append(check)
     for df, checks in scans.values():
-        counted.append((df.agg(*[_as_count(c.tally, i) for i, c in enumerate(checks)]), checks))
+        tallies = [c.tally(df) if callable(c.tally) else c.tally for c in checks]
+        counted.append((df.agg(*[_as_count(t, i) for i, t in enumerate(tallies)]), checks))
     rows = [df.select(F.inline(F.array(*[_verdict(c, f"n{i}") for i, c in enumerate(cs)]))) for df, cs in counted]
     return reduce(DataFrame.union, rows)
 
 
+def _count_keys(plan: list[tuple[DataFrame, Check]]) -> DataFrame:
+    """One row with the failures ``n0, n1, ...`` of all keyed checks.
+
+    Each table gives a row for each check and key in one scan, as child or as parent; one
+    aggregate, partial before its only shuffle, brings the sides of a key together.
+    """
+    sides: dict[int, tuple[DataFrame, list[Column]]] = {}
+
+    def add(df: DataFrame, number: int, columns, condition: Column | None, child: bool) -> None:
+        key = F.array(*[F.col(c).cast("string") for c in columns])
+        cell = F.struct(F.lit(number).alias("number"), key.alias("key"), F.lit(child).alias("child"))
+        sides.setdefault(id(df), (df, []))[1].append(cell if condition is None else F.when(condition, cell))
+
+    def filled(columns, *conditions: str | None) -> Column:
+        out = F.lit(True)
+        for c in columns:
+            out &= F.col(c).isNotNull()
+        for c in conditions:
+            out = out if c is None else out & F.expr(c)
+        return out
+
+    for number, (df, check) in enumerate(plan):
+        k = check.keyed
+        add(df, number, k.columns, filled(k.columns if k.skip_null else (), k.condition, check.where), True)
+        if k.parent is not None:
+            add(k.parent, number, k.parent_columns, filled(k.parent_columns, k.parent_condition), False)
+    cells = [
+        df.select(F.explode(F.array_compact(F.array(*rows))).alias("cell")).select("cell.*") for df, rows in sides.values()
+    ]
+    children = F.count_if("child")
+    per_key = reduce(DataFrame.union, cells).groupBy("number", "key").agg(
+        children.alias("n"), F.max(~F.col("child")).alias("known")
+    )
+
+    def failures(number: int, check: Check) -> Column:
+        mine = F.col("number") == number
+        if check.keyed.parent is None:
+            return F.count_if(mine & (F.col("n") > 1))
+        return F.sum(F.when(mine & ~F.col("known"), F.col("n")))
+
+    return per_key.agg(*[_as_count(failures(i, c), i) for i, (_, c) in enumerate(plan)])
+
+
 def _as_count(value: Column, i: int) -> Column:
     return F.coalesce(value.cast("bigint"), F.lit(0)).alias(f"n{i}")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierkit.checks.core import Check
+from tierkit.checks.core import Check, Keyed
 
 
 def unique(column: str) -> Check:
@@ -18,7 +18,7 @@ def unique(column: str) -> Check:
         counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("unique_field"))
         return counts.agg(F.count("*").alias("n_records")).filter("n_records > 1")
 
-    return Check(f"unique_{column}", find)
+    return Check(f"unique_{column}", find, keyed=Keyed([column]))
 
 
 def unique_combination(columns: Sequence[str]) -> Check:
@@ -27,7 +27,7 @@ def unique_combination(columns: Sequence[str]) -> Check:
     def find(df: DataFrame) -> DataFrame:
         return df.groupBy(*columns).agg(F.count("*").alias("n_records")).filter("n_records > 1")
 
-    return Check(f"unique_combination_{'_'.join(columns)}", find)
+    return Check(f"unique_combination_{'_'.join(columns)}", find, keyed=Keyed(columns, skip_null=False))
 
 
 def relationships(
@@ -49,7 +49,8 @@ def relationships(
         known = parent.select(F.col(field).alias("from_field")).distinct()
         return keys.agg(F.count("*").alias("n_rows")).join(known, "from_field", "left_anti")
 
-    return Check(f"relationships_{column}_{field}", find, fail_calc="sum(n_rows)")
+    keyed = Keyed([column], condition=from_condition, parent=to, parent_columns=[field], parent_condition=to_condition)
+    return Check(f"relationships_{column}_{field}", find, fail_calc="sum(n_rows)", keyed=keyed)
 
 
 def _group_check(
@@ -112,15 +113,24 @@ def recency(
 ) -> Check:
     """Groups whose latest ``field`` is older than ``interval`` dateparts before ``as_of`` (now)."""
 
-    def find(df: DataFrame) -> DataFrame:
+    def facts(df: DataFrame) -> tuple[Column, Column]:
         ntz = isinstance(df.schema[field].dataType, T.TimestampNTZType)
         moment_type = "timestamp_ntz" if ntz else "timestamp"
         now = F.localtimestamp() if as_of is None else F.lit(as_of)
         limit = F.timestamp_add(datepart.upper(), F.lit(-interval), now.cast(moment_type))
         compared = "date" if ignore_time_component else moment_type
-        latest = df.groupBy(*group_by).agg(F.max(field).cast(compared).alias("most_recent"))
-        aged = latest.withColumn("threshold", limit.cast(compared))
-        bad = F.col("most_recent") < F.col("threshold")
-        return aged.filter(bad | F.col("most_recent").isNull() if empty_fails else bad)
+        return F.max(field).cast(compared), limit.cast(compared)
+
+    def outdated(latest: Column, threshold: Column) -> Column:
+        bad = latest < threshold
+        return bad | latest.isNull() if empty_fails else bad
+
+    def find(df: DataFrame) -> DataFrame:
+        latest, threshold = facts(df)
+        aged = df.groupBy(*group_by).agg(latest.alias("most_recent")).withColumn("threshold", threshold)
+        return aged.filter(outdated(F.col("most_recent"), F.col("threshold")))
+
+    def tally(df: DataFrame) -> Column:
+        return F.when(outdated(*facts(df)), 1).otherwise(0)
 
-    return Check(f"recency_{field}", find)
+    return Check(f"recency_{field}", find, tally=None if group_by else tally)

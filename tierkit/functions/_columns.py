@@ -4,6 +4,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression that takes it whole, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def as_column(value) -> Column:
     """A string names a column, a Column stays, anything else becomes a literal."""
     if isinstance(value, Column):

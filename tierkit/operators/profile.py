@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierkit.functions._columns import quoted
 from tierkit.functions.text import slugify
 
 
@@ -18,8 +19,9 @@ def column_values(
     where: Column | str | None = None,
 ) -> DataFrame:
     """Distinct values with their count ``n_rows``, most frequent first, ties by value."""
-    counts = (df if where is None else df.filter(where)).groupBy(column).agg(F.count("*").alias("n_rows"))
-    ordered = counts.orderBy(*(order_by or [F.desc("n_rows"), F.asc_nulls_last(column)]))
+    value = F.col(quoted(column)).alias(column)
+    counts = (df if where is None else df.filter(where)).groupBy(value).agg(F.count("*").alias("n_rows"))
+    ordered = counts.orderBy(*(order_by or [F.desc("n_rows"), F.asc_nulls_last(quoted(column))]))
     return ordered if max_records is None else ordered.limit(max_records)
 
 
@@ -27,13 +29,15 @@ def collect_values(
     spark: SparkSession,
     source: DataFrame | str,
     column: str,
-    max_records: int,
+    max_records: int | None = None,
     default: list | None = None,
+    bound: int = 10_000,
     **options,
 ) -> list:
-    """The top values as a list, for a pivot header; ``source`` may name a table.
+    """All values as a list, for a pivot header, or the top ``max_records``; ``source`` may name a table.
 
-    ``max_records`` is required: it bounds what reaches the driver.
+    More than ``bound`` values raise: nothing is cut, and one value more than the bound is read
+    to find out.
     """
     if isinstance(source, str):
         if not spark.catalog.tableExists(source):
@@ -41,7 +45,10 @@ def collect_values(
                 raise ValueError(f"table {source} does not exist and no default is given")
             return default
         source = spark.table(source)
-    rows = column_values(source, column, max_records=max_records, **options).select(column).collect()
+    values = column_values(source, column, max_records=max_records, **options).select(F.col(quoted(column)))
+    rows = values.limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"{column} has more than {bound} values")
     return [r[0] for r in rows] or (default or [])
 
 

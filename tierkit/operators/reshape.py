@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierkit.functions._columns import quoted
 from tierkit.functions.text import blank_to_null, slugify
 
 
@@ -76,12 +77,14 @@ def unpivot(
         raise ValueError("no column left to unpivot")
 
     def cell(field: T.StructField) -> Column:
-        col = F.col(field.name)
+        col = F.col(quoted(field.name))
         if isinstance(field.dataType, T.BooleanType):
             col = col.cast("string")
         return col.cast(cast_to).alias(field.name)
 
-    return df.select(*ids, *map(cell, melted)).unpivot(ids, [f.name for f in melted], field_name, value_name)
+    ids = [quoted(c) for c in ids]
+    cells = [quoted(f.name) for f in melted]
+    return df.select(*ids, *map(cell, melted)).unpivot(ids, cells, field_name, value_name)
 
 
 def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
@@ -103,14 +106,27 @@ COMPARISONS: dict[str, Callable[[Column, Column], Column]] = {
     "<=": operator.le,
     ">": operator.gt,
     ">=": operator.ge,
+    "<=>": lambda column, value: column.eqNullSafe(value),
+    "is distinct from": lambda column, value: ~column.eqNullSafe(value),
+    "like": lambda column, value: F.like(column, value),
+    "not like": lambda column, value: ~F.like(column, value),
+    "ilike": lambda column, value: F.ilike(column, value),
+    "rlike": lambda column, value: F.rlike(column, value),
 }
 
 
+def _avg_distinct(column: Column) -> Column:
+    return F.sum_distinct(column) / F.count_distinct(column)
+
+
+DISTINCT_FORMS = {F.sum: F.sum_distinct, F.count: F.count_distinct, F.avg: _avg_distinct, F.mean: _avg_distinct}
+
+
 def pivot_columns(
     column: str,
     values: Sequence,
     agg: Callable[[Column], Column] = F.sum,
-    cmp: str = "=",
+    cmp: str | Callable[[Column, Column], Column] = "=",
     prefix: str = "",
     suffix: str = "",
     then_value=1,
@@ -121,16 +137,16 @@ def pivot_columns(
 ) -> list[Column]:
     """One aggregate per listed value, to put into any ``groupBy().agg()``.
 
-    ``distinct`` aggregates distinct cells and takes ``F.sum`` or ``F.count``.
+    ``cmp`` is an operator by its SQL name, or a function of column and value. ``distinct``
+    aggregates distinct cells: ``F.sum`` and ``F.count`` have a distinct form, the smallest and the
+    largest value need none, any other aggregate is given its distinct form as ``agg`` itself.
     """
+    compare = cmp if callable(cmp) else COMPARISONS[cmp.lower()]
     if distinct:
-        try:
-            agg = {F.sum: F.sum_distinct, F.count: F.count_distinct}[agg]
-        except KeyError:
-            raise ValueError("distinct works with F.sum or F.count") from None
+        agg = DISTINCT_FORMS.get(agg, agg)
 
     def cell(value) -> Column:
-        hit = COMPARISONS[cmp](F.col(column), F.lit(value))
+        hit = compare(F.col(column), F.lit(value))
         out = agg(F.when(hit, then_value).otherwise(else_value))
         name = f"{prefix}{value}{suffix}"
         return out.alias(slugify(name) if slug_names else name) if alias else out
@@ -164,7 +180,9 @@ def null_blanks(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     """Empty strings to NULL in the given columns, by default in every string column."""
     if columns is None:
         columns = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: blank_to_null(c) for c in columns})
+    wanted = set(columns)
+    cell = lambda c: blank_to_null(F.col(quoted(c))).alias(c) if c in wanted else F.col(quoted(c))
+    return df.select(*map(cell, df.columns))
 
 
 def group_by_first(df: DataFrame, n: int) -> GroupedData:

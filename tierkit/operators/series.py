@@ -9,8 +9,10 @@ DATE_PARTS = {"day", "week", "month", "quarter", "year"}
 TIME_PARTS = {"microsecond", "millisecond", "second", "minute", "hour"}
 
 
-def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
-    """generated_number = 1..upper_bound."""
+def generate_series(spark: SparkSession, upper_bound: int | None) -> DataFrame:
+    """generated_number = 1..upper_bound; no rows for None, the maximum of an empty table."""
+    if upper_bound is None:
+        return spark.range(0).withColumnRenamed("id", "generated_number")
     if upper_bound < 1:
         raise ValueError(f"upper bound must be positive, got {upper_bound}")
     return spark.range(1, upper_bound + 1).withColumnRenamed("id", "generated_number")
@@ -41,6 +43,9 @@ def date_spine(spark: SparkSession, datepart: str, start, end) -> DataFrame:
 
 
 def date_bounds(df: DataFrame, column: str):
-    """First day and the day after the last, to span a calendar over a table: one row is fetched."""
+    """First day and the day after the last, to span a calendar over a table.
+
+    One row is fetched while the query is built, by a scan of this one column.
+    """
     day = F.col(column).cast("date")
     return tuple(df.agg(F.min(day), F.date_add(F.max(day), 1)).first())

@@ -42,7 +42,7 @@ SOURCE_TABLES = (
     ("Sales", "Store"),
 )
 
-# Order status codes.
+# Fixed values, with the output column names of the models below: order status codes.
 ORDER_STATUS = {1: "In Process", 2: "Approved", 3: "Backordered", 4: "Rejected", 5: "Shipped", 6: "Cancelled"}
 
 
@@ -165,8 +165,8 @@ def dim_date(silver: Tables) -> DataFrame:
 def fact_sales(silver: Tables) -> DataFrame:
     """One row per order line. ``totaldue`` belongs to the order and repeats on its lines.
 
-    Keys of the order are hashed before the join, once per order; those of the line after it,
-    so the shuffle carries the natural keys only.
+    Keys of the order are hashed before the join, once per order, so its side of the shuffle
+    carries hashes as well; those of the line are hashed after it.
     """
     header = silver["silver_sales_salesorderheader"].select(
         *("salesorderid", "customerid", "shiptoaddressid", "totaldue"),

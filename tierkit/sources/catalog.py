@@ -25,16 +25,18 @@ def relations_by_pattern(
     Temporary views have no schema: they are named alone and match the schema pattern ``%``.
     """
     schema_like, table_like, hidden = _ilike(schema_pattern), _ilike(table_pattern), _ilike(exclude)
-    names = set()
+    kinds = {}
     for database in spark.catalog.listDatabases():
         if schema_like.fullmatch(database.name):
+            # every database lists the temporary views as well; they are one set
             for t in spark.sql(f"SHOW TABLES IN `{database.name}`").collect():
                 if table_like.fullmatch(t.tableName) and not hidden.fullmatch(t.tableName):
                     if not t.isTemporary:
-                        names.add(f"{database.name}.{t.tableName}")
+                        name = f"{database.name}.{t.tableName}"
+                        kinds[name] = spark.catalog.getTable(name).tableType
                     elif schema_pattern == "%":
-                        names.add(t.tableName)
-    kinds = {name: spark.catalog.getTable(name).tableType for name in sorted(names)}
+                        kinds[t.tableName] = "TEMPORARY"
+    kinds = dict(sorted(kinds.items()))
     return {name: TABLE_KINDS.get(kind, kind.lower()) for name, kind in kinds.items()}
 
 

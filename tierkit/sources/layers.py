@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import time
 import uuid
 from collections.abc import Callable, Iterable
@@ -36,11 +37,22 @@ def scan_parquet(spark: SparkSession, path: str, schema: str | None = None) -> D
 
 
 def external_table(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """Name a Parquet directory; the schema comes from its footers."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING PARQUET LOCATION '{path}'")
+    """Name a Parquet directory, or move the name there; the schema comes from its footers."""
+    _point(spark, table, path)
     return spark.table(table)
 
 
+def _point(spark: SparkSession, table: str, folder: str) -> None:
+    """Let ``table`` name ``folder``: one catalog change if the columns are those it has."""
+    if spark.catalog.tableExists(table):
+        if spark.table(table).schema == spark.read.parquet(folder).schema:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} USING PARQUET LOCATION '{folder}'")
+
+
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
@@ -55,28 +67,60 @@ def table_location(spark: SparkSession, table: str) -> str | None:
 
 
 def materialize_table(df: DataFrame, table: str) -> DataFrame:
-    """Write to a folder of its own, point the table there, then drop the previous folder.
+    """Write to a folder of its own, then point the table there.
 
-    A model may so read its own previous version, a failed write leaves the table as it was,
-    and nothing is renamed, which object stores do by copying.
+    A model may so read its own previous version, a failed write leaves the table as it was
+    and no folder behind, and nothing is renamed, which object stores do by copying. Earlier
+    versions stay for those who still read them until ``clean_versions`` removes them.
     """
     spark = df.sparkSession
+    folder = f"{_versions(spark, table)}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    try:
+        write_layer(df, folder)
+    except Exception:
+        with contextlib.suppress(Exception):  # the reason of the failure is what counts
+            delete_folder(spark, folder)
+        raise
+    _point(spark, table, folder)
+    return spark.table(table)
+
+
+def _versions(spark: SparkSession, table: str) -> str:
     database, _, name = table.rpartition(".")
     home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    versions = f"{home}/{name}__v_"
-    folder = f"{versions}{uuid.uuid4().hex}"
-    write_layer(df, folder)
-    previous = table_location(spark, table)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} USING PARQUET LOCATION '{folder}'")
-    if previous and previous.startswith(versions):
-        _delete_folder(spark, previous)
-    return spark.table(table)
+    return f"{home}/{name}__v_"
+
 
+def clean_versions(spark: SparkSession, table: str, older_than: float = 86_400.0) -> list[str]:
+    """Remove versions that a later one replaced ``older_than`` seconds ago; returns the folders removed.
 
-def _delete_folder(spark: SparkSession, folder: str) -> None:
+    A separate step: run it when no query that began before is still reading.
+    """
+    prefix = _versions(spark, table)
+    fs, parent = _file_system(spark, prefix.rpartition("/")[0])
+    names = sorted(s.getPath().getName() for s in fs.listStatus(parent))
+    own = [n for n in names if n.startswith(prefix.rpartition("/")[2])]
+    now = time.time_ns()
+    current = (table_location(spark, table) or "").rpartition("/")[2]
+    gone = []
+    for name, successor in zip(own, own[1:]):
+        written = int(successor.rpartition("__v_")[2].partition("_")[0])
+        if name != current and now - written >= older_than * 1e9:
+            gone.append(f"{parent}/{name}")
+            delete_folder(spark, gone[-1])
+    return gone
+
+
+def _file_system(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of any file system that Spark knows. Spark offers no call of its own for
+    this; it needs a classic session, like ``clean_versions``."""
+    fs, path = _file_system(spark, folder)
+    fs.delete(path, True)
 
 
 def replace_table_as(source: DataFrame, table: str, where: str | None = None) -> DataFrame:
