@@ -18,14 +18,16 @@ class ChecksFailed(Exception):
 
 @dataclass(frozen=True)
 class Keyed:
-    """What a check counts by key: rows that share one, or rows whose key the parent lacks.
+    """What a check counts by key: rows that share one, rows whose key the parent lacks, or with
+    ``distinct`` the keys themselves.
 
     Keys are compared as text with NULL kept apart; ``skip_null`` leaves NULL keys out.
     """
 
     columns: Sequence[str]
     skip_null: bool = True
-    condition: str | None = None
+    condition: str | Column | None = None
+    distinct: bool = False
     parent: DataFrame | None = None
     parent_columns: Sequence[str] = ()
     parent_condition: str | None = None
@@ -125,12 +127,12 @@ def _count_keys(plan: list[tuple[DataFrame, Check]]) -> DataFrame:
         cell = F.struct(F.lit(number).alias("number"), key.alias("key"), F.lit(child).alias("child"))
         sides.setdefault(id(df), (df, []))[1].append(cell if condition is None else F.when(condition, cell))
 
-    def filled(columns, *conditions: str | None) -> Column:
+    def filled(columns, *conditions: str | Column | None) -> Column:
         out = F.lit(True)
         for c in columns:
             out &= F.col(c).isNotNull()
         for c in conditions:
-            out = out if c is None else out & F.expr(c)
+            out = out if c is None else out & (F.expr(c) if isinstance(c, str) else c)
         return out
 
     for number, (df, check) in enumerate(plan):
@@ -148,6 +150,8 @@ def _count_keys(plan: list[tuple[DataFrame, Check]]) -> DataFrame:
 
     def failures(number: int, check: Check) -> Column:
         mine = F.col("number") == number
+        if check.keyed.distinct:
+            return F.count_if(mine)
         if check.keyed.parent is None:
             return F.count_if(mine & (F.col("n") > 1))
         return F.sum(F.when(mine & ~F.col("known"), F.col("n")))

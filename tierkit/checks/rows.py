@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierkit.checks.core import Check, row_check
+from tierkit.checks.core import Check, Keyed, row_check
 
 
 def not_null(column: str) -> Check:
@@ -46,7 +46,8 @@ def _value_check(name: str, column: str, bad: Column, tally: Column | None) -> C
     def find(df: DataFrame) -> DataFrame:
         return df.filter(bad).groupBy(F.col(column).alias("value_field")).agg(F.count("*").alias("n_records"))
 
-    return Check(name, find, tally=tally)
+    keyed = Keyed([column], condition=bad, distinct=True) if tally is None else None
+    return Check(name, find, tally=tally, keyed=keyed)
 
 
 def accepted_values(column: str, values: Sequence) -> Check:

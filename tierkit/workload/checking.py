@@ -213,7 +213,7 @@ def not_null_proportion(t: Tables) -> DataFrame:
 @query(
     "chk_recency",
     """
-    SELECT user_id, strftime(max(ts), '%Y-%m-%d') AS most_recent, '2024-01-29' AS threshold FROM events
+    SELECT user_id, CAST(max(ts) AS DATE) AS most_recent, DATE '2024-01-29' AS threshold FROM events
     WHERE event_type = 'purchase' GROUP BY 1 HAVING CAST(max(ts) AS DATE) < DATE '2024-01-29'
     """,
 )
@@ -340,8 +340,8 @@ def sequential_lines(t: Tables) -> DataFrame:
     WITH w AS (SELECT o_orderpriority, o_orderstatus, o_orderdate AS value,
                       lag(o_orderdate) OVER (PARTITION BY o_orderpriority, o_orderstatus ORDER BY o_orderdate) AS previous_value
                FROM orders)
-    SELECT o_orderpriority, o_orderstatus, strftime(value, '%Y-%m-%d') AS day,
-           strftime(previous_value, '%Y-%m-%d') AS previous_day,
+    SELECT o_orderpriority, o_orderstatus, CAST(value AS DATE) AS day,
+           CAST(previous_value AS DATE) AS previous_day,
            count(*) AS n_rows
     FROM w WHERE value <> previous_value + INTERVAL 1 DAY GROUP BY ALL
     """,
