@@ -4,12 +4,13 @@ A document is the set of its word shingles. ``TOKENS`` minwise tokens stand for
 tree branches every document by those tokens that a hash of the path so far selects, about
 ``1 / similarity`` of them a level, so two similar documents keep meeting in the same node
 with a known chance; independent trees bring the chance of missing a link below
-``1 - recall``. Nodes with one member end. Members of the others are compared with the
-node's leader, which is linear; where that leaves a node in several components, a small
-node is compared exhaustively and a large one branches again. So a dense group of copies,
-which no branching would ever part, costs as much as it has members. Candidates whose tokens
-agree too rarely are dropped at six standard deviations; every other candidate is
-confirmed on the full sets.
+``1 - recall``. Nodes with one member end. At the depths in ``STARS`` members are compared with
+their node's leader, which is linear, and nodes that are one component by then end, too: a
+dense group of copies, which no branching would ever part, so costs as much as it has
+members. Of the rest, small nodes are compared exhaustively and large ones branch again;
+what is still large at ``DEPTH`` is compared exhaustively in blocks. No pair is compared
+twice. Candidates whose tokens agree too rarely are dropped at ``DEVIATIONS`` standard
+deviations; every other candidate is confirmed on the full sets.
 
 Documents with equal sets are one class from the start, so a group of exact copies is one
 row in everything above, whatever its size.
@@ -35,9 +36,11 @@ from pyspark.sql import functions as F
 from tierkit.llm.shared import components, stored
 from tierkit.llm.words import Words, column, map_slices, mix, runs
 
-TOKENS = 64
+TOKENS = 128
 SMALL_NODE = 48
-DEPTH = 8
+DEPTH = 12
+STARS = (0, 0, 4, 8)
+DEVIATIONS = 3.5
 _ODD = (mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _SEAT = mix(np.arange(1001, 1001 + TOKENS, dtype=np.uint64))
 
@@ -118,9 +121,14 @@ def _branch(members: DataFrame, similarity: float) -> DataFrame:
     return members.mapInArrow(work, members.schema)
 
 
+def _least(similarity: float) -> float:
+    """Share of equal tokens that a similar pair misses only at ``DEVIATIONS`` standard deviations."""
+    return similarity - DEVIATIONS * math.sqrt(similarity * (1 - similarity) / TOKENS)
+
+
 def _candidates(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
     """Pairs whose sizes allow the similarity and whose tokens don't speak against it."""
-    least = similarity - 6 * math.sqrt(similarity * (1 - similarity) / TOKENS)
+    least = _least(similarity)
     side = lambda k: reps.select(F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col("tokens").alias(f"t_{k}"))
 
     def work(batches):
@@ -152,8 +160,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: flo
     return map_slices(both, work, "a long, b long", "text_a")
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of the nodes that are not yet one component, with their component and node size."""
+def _labelled(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """Members of the nodes that are not yet one component, with their component, the node's size
+    and its leader, another at each turn."""
     if labels is None:
         members = members.withColumn("label", F.col("rep"))
     else:
@@ -166,11 +175,10 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
             F.count("*").alias("size"),
             F.min("label").alias("low"),
             F.max("label").alias("high"),
-            F.min_by("rep", F.xxhash64("rep", "node")).alias("leader"),
-            F.min_by("label", F.xxhash64("rep", "node")).alias("leader_label"),
+            F.min(F.struct(F.xxhash64("rep", "node", F.lit(turn)), "rep", "label")).alias("leader"),
         )
         .filter("low <> high")
-        .drop("low", "high")
+        .select("node", "size", F.col("leader.rep").alias("leader"), F.col("leader.label").alias("leader_label"))
     )
     return members.join(open_nodes, "node")
 
@@ -181,30 +189,47 @@ def _star(members: DataFrame) -> DataFrame:
     )
 
 
-def _within(members: DataFrame) -> DataFrame:
-    """Pairs of different components in small nodes, each node at most ``SMALL_NODE`` members."""
-    own = F.collect_list(F.struct("rep", "label"))
-    pairs = F.expr(
-        "filter(flatten(transform(m, x -> transform(m, y -> struct(x.rep AS a, y.rep AS b, x.label <> y.label AS open)))), "
-        "p -> p.open AND p.a < p.b)"
-    )
-    nodes = members.groupBy("node").agg(own.alias("m"))
-    return nodes.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
-
-
-def _blocks(members: DataFrame) -> DataFrame:
-    """Pairs of different components in nodes that never got small: every pair of the node's
-    blocks is a group of its own, so no task holds a node."""
-    block = F.pmod(F.xxhash64("rep"), F.col("of"))
-    dealt = members.withColumn("of", F.ceil(F.col("size") / SMALL_NODE)).withColumn("block", block)
-    sides = F.transform(F.sequence(F.lit(0).cast("long"), F.col("of") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
-    dealt = dealt.select("node", "rep", "label", "block", F.explode(sides).alias("s")).select("node", "rep", "label", "block", "s.i", "s.j")
-    groups = dealt.groupBy("node", "i", "j").agg(F.collect_list(F.struct("rep", "label", "block")).alias("m"))
-    pairs = F.expr(
-        "filter(flatten(transform(m, x -> transform(m, y -> struct(x.rep AS a, y.rep AS b, "
-        "x.label <> y.label AND (i = j OR x.block <> y.block) AS open)))), p -> p.open AND p.a < p.b)"
+def _exhaustive(members: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs of different components in each group, by its members' tokens.
+
+    A group is a small node, or a pair of blocks of a node that never got small, so none has
+    more than ``2 * SMALL_NODE`` members by expectation and no task holds a node.
+    """
+    blocks = F.ceil(F.col("size") / SMALL_NODE)
+    block = F.pmod(F.xxhash64("rep"), blocks)
+    sides = F.transform(
+        F.sequence(F.lit(0).cast("long"), blocks - 1),
+        lambda k: F.struct(F.least(block, k).alias("i"), F.greatest(block, k).alias("j")),
     )
-    return groups.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+    dealt = members.select("node", "rep", "label", block.alias("block"), F.explode(sides).alias("s"))
+    full = dealt.select("node", "s.i", "s.j", "rep", "label", "block").join(reps, "rep")
+    groups = full.groupBy("node", "i", "j").agg(F.collect_list(F.struct("rep", "label", "block", "n", "tokens")).alias("m"))
+    least, percent = _least(similarity), int(round(similarity * 100))
+
+    def work(batches):
+        for part in batches:
+            m = part.column("m")
+            bounds = m.offsets.to_numpy()
+            flat = m.values
+            rep, label, block, n = (flat.field(c).to_numpy() for c in ("rep", "label", "block", "n"))
+            tokens = _tokens(flat.field("tokens"))
+            alone = np.array(part.column("i")) == np.array(part.column("j"))
+            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for g in range(part.num_rows):
+                own = np.arange(bounds[g], bounds[g + 1])
+                a, b = (own[x] for x in np.triu_indices(len(own), 1))
+                some = label[a] != label[b]
+                some &= 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+                some &= alone[g] | (block[a] != block[b])
+                a, b = a[some], b[some]
+                if len(a):
+                    near = (tokens[a] == tokens[b]).mean(axis=1) >= least
+                    left.append(rep[a[near]])
+                    right.append(rep[b[near]])
+            a, b = np.concatenate(left), np.concatenate(right)
+            yield pa.RecordBatch.from_pydict({"a": column(np.minimum(a, b)), "b": column(np.maximum(a, b))})
+
+    return groups.drop("node").mapInArrow(work, "a long, b long")
 
 
 def trees_for(recall: float, similarity: float, depth: int = 3) -> int:
@@ -237,28 +262,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(involved, "rep", "left_semi")
     texts = stored(texts.groupBy("rep").agg(F.min("text").alias("text")), "texts")
 
-    links, labels = [], None
+    links, labels, seen = [], None, []
 
     def compare(pairs: DataFrame) -> None:
         nonlocal labels
-        pairs = stored(_candidates(pairs.distinct(), reps, similarity), "pairs")
+        pairs = pairs.distinct()
+        for earlier in seen:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        seen.append(pairs)
         found = stored(_confirmed(pairs, texts, shingle, similarity), "found")
         if not found.isEmpty():
-            links.append(found)
-            labels = components(reduce(DataFrame.union, links))
+            labels = components(reduce(DataFrame.union, [found, *links]))
             links[:] = [labels.select(F.col("node").alias("a"), F.col("label").alias("b"))]
 
+    small = []
     for depth in range(DEPTH + 1):
-        still = stored(_labelled(members, labels), "open")
-        compare(_star(still))
-        still = stored(_labelled(still.select("node", "rep"), labels), "open")
+        for turn in range(STARS.count(depth)):
+            compare(_candidates(_star(_labelled(members, labels, turn)).distinct(), reps, similarity))
+        still = stored(_labelled(members, labels, depth), "open").select("node", "rep", "label", "size")
         large = still.filter(F.col("size") > SMALL_NODE)
-        last = large.isEmpty() or depth == DEPTH
-        compare(_within(still.filter(F.col("size") <= SMALL_NODE)).union(_blocks(large) if depth == DEPTH else spark.createDataFrame([], "a long, b long")))
-        if last:
+        if depth == DEPTH or large.isEmpty():
+            small.append(still)
             break
+        small.append(still.filter(F.col("size") <= SMALL_NODE))
         deeper = _branch(large.select("node", "rep").join(reps, "rep").select("node", "rep", "n", "tokens"), similarity)
         members = stored(deeper.select("node", "rep"), "members")
+    compare(_exhaustive(reduce(DataFrame.union, small), reps, similarity))
 
     sets = classes.select("set_a", "set_b", "rep")
     if labels is not None:
