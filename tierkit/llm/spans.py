@@ -190,11 +190,13 @@ def repeated_spans(
         found = found.filter("doc_id > first_doc")
     # a group is one document's pieces, so it is bounded by the length of a text
     in_text = Window.partitionBy("doc_id").orderBy("place")
+    again = F.col("place").eqNullSafe(F.lag("place").over(in_text))  # from rows that repeat a document
+    found = found.withColumn("again", again).filter("NOT again").drop("again")
     follows = F.col("place").eqNullSafe(F.lag(F.col("place") + F.col("edges")).over(in_text))
     for c in ("first_doc", "last_doc"):
         follows &= F.col(c).eqNullSafe(F.lag(c).over(in_text))
     number = F.sum("begins").over(in_text.rowsBetween(Window.unboundedPreceding, 0))
-    chained = found.distinct().withColumn("begins", F.when(follows, 0).otherwise(1)).withColumn("number", number)
+    chained = found.withColumn("begins", F.when(follows, 0).otherwise(1)).withColumn("number", number)
     spans = chained.groupBy("doc_id", "number").agg(
         F.min("place").alias("place"),
         F.sum("edges").alias("edges"),
