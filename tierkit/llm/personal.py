@@ -26,10 +26,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierkit.llm.words import Words, column, map_slices
+from tierkit.llm.shared import least_hashed
+from tierkit.llm.words import Words, column, map_slices, slices
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -325,7 +326,7 @@ def learn(docs: DataFrame) -> Field:
     """A field trained on a bounded sample: texts with a pattern match, and texts with other runs."""
 
     def label(batches):
-        for part in batches:
+        for part in slices(batches):
             texts = [t or "" for t in part.column("text").to_pylist()]
             w = Words(part.column("text"))
             kinds = [0] * len(texts)
@@ -334,11 +335,8 @@ def learn(docs: DataFrame) -> Field:
             kinds = [2 if k and patterns(t) else k for k, t in zip(kinds, texts)]
             yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.int32()), "text": pa.array(texts, pa.string())})
 
-    # the texts of least hash of each kind, up to a length: a task passes on that many at most
     marked = docs.select("text").filter("length(text) < 20000").mapInArrow(label, "kind int, text string")
-    first = Window.partitionBy("kind").orderBy(F.xxhash64("text", F.lit(4)), "text")
-    some = marked.filter("kind > 0").withColumn("_n", F.row_number().over(first))
-    rows = some.filter(F.col("_n") <= SAMPLE_TEXTS).orderBy("kind", "_n").select("kind", "text").collect()
+    rows = least_hashed(marked, SAMPLE_TEXTS, 4)
     runs = []
     for row in rows:
         text = row["text"]

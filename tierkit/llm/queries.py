@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import curriculum, decontaminate, language, near, personal, quality, secrets, shards, spans, suffix_tree
+from tierkit.llm import curriculum, decontaminate, language, near, oracles, personal, quality, secrets, shards, spans, suffix_tree
 from tierkit.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,12 +28,12 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-@query("op3_quality_rules")
+@query("op3_quality_rules", oracles.QUALITY)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(documents(spark, folder)).drop("class_distance", "word_distance")
 
 
-@query("op10_chosen_path")
+@query("op10_chosen_path", oracles.NEAR)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(documents(spark, folder), shingle=4)
 
@@ -43,7 +43,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
-@query("op8_curriculum")
+@query("op8_curriculum", oracles.CURRICULUM)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     planned = curriculum.plan(documents(spark, folder).select("doc_id", "source", "text"))
     return planned.select(
@@ -69,29 +69,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    "op5_de_bruijn",
-    r"""
-WITH words AS (
-    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
-), placed AS (
-    SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words
-), windows AS (
-    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS x FROM placed WHERE i + 12 <= len(w)
-), firsts AS (
-    SELECT x, min(doc_id) AS first_doc FROM windows GROUP BY x
-), gone AS (
-    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN firsts USING (x) WHERE doc_id > first_doc
-), kept AS (
-    SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS t FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
-), counted AS (
-    SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
-)
-SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
-    sha256(coalesce(t, '')) AS kept_sha256
-FROM words LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
-""",
-)
+@query("op5_de_bruijn", oracles.SPANS)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     kept = spans.remove_repeats(documents(spark, folder))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierkit.session import shared_dir
@@ -32,6 +32,24 @@ def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def least_hashed(marked: DataFrame, most: int, seed: int) -> list:
+    """Up to ``most`` distinct texts of each ``kind`` above 0 of ``marked(kind, text)``, those of
+    least hash, as rows in the order of kind and hash.
+
+    The kinds are counted first, so only about eight times as many rows pass the filter on the
+    hash, whatever the size of the table; copies are folded before they are shuffled.
+    """
+    marked = marked.filter("kind > 0")
+    chance = F.lit(0.0)
+    for row in marked.groupBy("kind").agg(F.count("*").alias("n")).collect():
+        chance = F.when(F.col("kind") == row["kind"], F.lit(8.0 * most / row["n"])).otherwise(chance)
+    number = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 40))
+    few = marked.filter(number < chance * (1 << 40)).distinct()
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(number, "text"))
+    few = few.withColumn("place", place).filter(F.col("place") <= most)
+    return few.orderBy("kind", "place").select("kind", "text").collect()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``label`` (the least node reachable) for every end of ``links(a, b)``.
 
