@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierkit.llm.shared import components, stored
-from tierkit.llm.words import Words, column, map_slices, mix, runs
+from tierkit.llm.words import Words, column, map_slices, mix, packed, runs, unpacked, unpacked_array
 
 TOKENS = 128
 SMALL_NODE = 48
@@ -146,7 +146,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: flo
     percent = int(round(similarity * 100))
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        sides = [shingle_sets(part.column(c), shingle) for c in ("text_a", "text_b")]
+        sides = [shingle_sets(unpacked_array(part.column(c)), shingle) for c in ("text_a", "text_b")]
         size_a, size_b = (np.bincount(doc, minlength=part.num_rows) for doc, _, _ in sides)
         doc, keys = (np.concatenate(x) for x in list(zip(*sides))[:2])
         order = np.lexsort((keys, doc))
@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     shared = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
     members = stored(level.join(shared, "node"), "members")
     involved = members.select("rep").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(involved, "rep", "left_semi")
+    texts = packed(docs.select(F.col("doc_id").cast("long").alias("rep"), "text")).join(involved, "rep", "left_semi")
     texts = stored(texts.groupBy("rep").agg(F.min("text").alias("text")), "texts")
 
     links, labels, seen = [], None, []
@@ -308,5 +308,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 def filter_documents(docs: DataFrame, **options) -> DataFrame:
     """One document of each group, with all its columns; rows without ``doc_id`` stay."""
     kept = near_duplicates(docs, **options).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return known.union(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    known = packed(docs).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return unpacked(known).union(docs.filter("doc_id IS NULL")).select(*docs.columns)

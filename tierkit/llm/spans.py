@@ -26,15 +26,13 @@ table gives no rows; other columns are not looked at.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierkit.llm.shared import stored
-from tierkit.llm.words import Lookup, Words, column, map_slices, mix
+from tierkit.llm.words import Lookup, Words, column, map_slices, mix, packed, unpacked_array
 
 WINDOW = 13
 ANCHOR = 5
@@ -220,12 +218,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, limit: int = ANCHOR_LI
     by_doc = later.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "start", "words")).alias("spans"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def pack(part: pa.RecordBatch) -> pa.RecordBatch:  # the join moves every text once
-        packed = [zlib.compress(t or b"", 4) for t in part.column("text").cast(pa.large_binary()).to_pylist()]
-        return pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "packed": pa.array(packed, pa.binary())})
-
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        w = Words(pa.array([zlib.decompress(p) for p in part.column("packed").to_pylist()], pa.large_binary()))
+        w = Words(unpacked_array(part.column("text")))
         spans = part.column("spans").fill_null([])
         row = np.repeat(np.arange(part.num_rows), spans.value_lengths().to_numpy())
         tag, start, words = (f.to_numpy(zero_copy_only=False).astype(np.int64) for f in spans.flatten().flatten())
@@ -248,5 +242,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, limit: int = ANCHOR_LI
             }
         )
 
-    both = map_slices(texts, pack, "doc_id long, packed binary").join(by_doc, "doc_id", "left")
-    return map_slices(both, work, "doc_id long, n_words long, n_removed long, kept binary", "packed")
+    both = packed(texts).join(by_doc, "doc_id", "left")
+    return map_slices(both, work, "doc_id long, n_words long, n_removed long, kept binary")

@@ -8,10 +8,12 @@ text, not the number of rows. Null texts count as empty.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 SLICE_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
@@ -139,7 +141,35 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             at = to
 
 
-def map_slices(df, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text"):
+def packed(df, column_name: str = "text"):
+    """``df`` with a text column compressed, for shuffles that move every text."""
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        texts = part.column(column_name).cast(pa.large_binary()).to_pylist()
+        small = pa.array([None if t is None else zlib.compress(t, 4) for t in texts], pa.binary())
+        return part.set_column(part.schema.get_field_index(column_name), column_name, small)
+
+    kinds = StructType([StructField(f.name, BinaryType() if f.name == column_name else f.dataType) for f in df.schema])
+    return map_slices(df, work, kinds, column_name)
+
+
+def unpacked_array(values: pa.Array) -> pa.Array:
+    texts = [None if v is None else zlib.decompress(v) for v in values.to_pylist()]
+    return pa.array(texts, pa.large_binary())
+
+
+def unpacked(df, column_name: str = "text"):
+    """The opposite of ``packed``."""
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        texts = unpacked_array(part.column(column_name)).cast(pa.large_string()).cast(pa.string())
+        return part.set_column(part.schema.get_field_index(column_name), column_name, texts)
+
+    kinds = StructType([StructField(f.name, StringType() if f.name == column_name else f.dataType) for f in df.schema])
+    return map_slices(df, work, kinds, column_name)
+
+
+def map_slices(df, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema, column: str = "text"):
     """``work`` over every slice of a DataFrame."""
 
     def run(batches):
