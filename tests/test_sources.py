@@ -30,7 +30,7 @@ from tierkit.sources import (
 )
 from tierkit.sources.layers import clean_versions, run_concurrently, table_location
 from tierkit.sources import extract
-from tierkit.sources.extract import bounds_query, read_options, split_column_query, table_list_query
+from tierkit.sources.extract import bounds_query, choose_column, read_options, split_column_query, table_list_query
 
 
 @pytest.fixture
@@ -235,8 +235,8 @@ class TestExtract:
             "fetchsize": "100000",
             "user": "reader",
             "password": "secret",
-            "dbtable": "Sales.Store",
-            "partitionColumn": "StoreID",
+            "dbtable": '"Sales"."Store"',
+            "partitionColumn": '"StoreID"',
             "lowerBound": "1",
             "upperBound": "900",
             "numPartitions": "8",
@@ -246,9 +246,38 @@ class TestExtract:
     def test_queries(self):
         assert "NOT IN ('sys', 'INFORMATION_SCHEMA')" in table_list_query()
         assert "TABLE_TYPE = 'BASE TABLE'" in table_list_query()
-        assert "ORDINAL_POSITION = 1" in split_column_query() and "'bigint'" in split_column_query()
-        assert bounds_query("Sales", "Store", "ID") == "SELECT MIN(ID) AS lower_bound, MAX(ID) AS upper_bound FROM Sales.Store"
+        assert "u.ORDINAL_POSITION = 1" in split_column_query() and "c.DATA_TYPE" in split_column_query()
+
+    @pytest.mark.parametrize(
+        "url, table, column",
+        [
+            ("jdbc:sqlserver://h;database=x", "[My Schema].[order]", "[a]]b]"),
+            ("jdbc:mysql://h/x", "`My Schema`.`order`", "`a]b`"),
+            ("jdbc:h2:mem", '"My Schema"."order"', '"a]b"'),
+        ],
+    )
+    def test_names_are_quoted(self, url, table, column):
+        source = JdbcSource(url, "x")
+        assert source.table("My Schema", "order") == table
+        assert bounds_query(source, "My Schema", "order", "a]b") == (
+            f"SELECT MIN({column}) AS lower_bound, MAX({column}) AS upper_bound FROM {table}"
+        )
 
+    def test_split_column(self):
+        assert choose_column([("note", "nvarchar", 0), ("id", "BIGINT", 1)]) == ("id", True)
+        assert choose_column([("code", "uniqueidentifier", 1)]) == ("code", False)
+        assert choose_column([("at", "datetime2", 0)]) == ("at", True)
+        assert choose_column([]) is None
+
+    def test_hash_split_takes_every_row_once(self):
+        dialect = JdbcSource("jdbc:sqlserver://h", "x").dialect
+        assert Split("code", None, None, 3).predicates(dialect) == [
+            "(ABS(CAST(CHECKSUM([code]) AS BIGINT)) % 3 = 0 OR [code] IS NULL)",
+            "ABS(CAST(CHECKSUM([code]) AS BIGINT)) % 3 = 1",
+            "ABS(CAST(CHECKSUM([code]) AS BIGINT)) % 3 = 2",
+        ]
+        assert extract.find_split(None, JdbcSource("jdbc:mysql://h/x", "x"), "s", "t", "c", False, 5) == Split("c", None, None, 5)
+        assert extract.find_split(None, JdbcSource("jdbc:h2:mem", "x"), "s", "t", "c", False, 5) is None
 
     def test_every_table_is_landed(self, spark, tmp_path, monkeypatch):
         """The database is stood in for by DataFrames; no server is reached."""
@@ -261,14 +290,14 @@ class TestExtract:
             return data[schema, table]
 
         monkeypatch.setattr(extract, "list_tables", lambda spark, source: listed)
-        keys = spark.createDataFrame([("HR", "Staff", "pay")], "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string")
+        keys = spark.createDataFrame([("HR", "Staff", "badge", "varbinary", 1), ("HR", "Staff", "pay", "decimal", 0)], "s string, t string, c string, k string, p int")
         monkeypatch.setattr(extract, "list_split_columns", lambda spark, source: keys)
-        monkeypatch.setattr(extract, "find_split", lambda spark, source, schema, table, column, n: Split(column, 0, 2, n))
+        monkeypatch.setattr(extract, "find_split", lambda spark, source, schema, table, column, ranges, n: Split(column, 0 if ranges else None, 2, n))
         monkeypatch.setattr(extract, "read_table", read_table)
         source = JdbcSource("jdbc:postgresql://db/shop", "shop")
         tables = extract.extract_database(spark, source, str(tmp_path), {"Sales.Store": "id"}, partitions=2)
         assert tables == [("HR", "Staff"), ("Sales", "Store")]
-        assert sorted(splits, key=str) == [("Staff", Split("pay", 0, 2, 2)), ("Store", Split("id", 0, 2, 2))]
+        assert sorted(splits, key=str) == [("Staff", Split("badge", None, 2, 2)), ("Store", Split("id", 0, 2, 2))]
         assert scan_parquet(spark, bronze_path(str(tmp_path), "shop", "HR", "Staff")).first().asDict() == {
             "badge": "AQ==",
             "pay": "1.50",

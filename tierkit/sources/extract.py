@@ -14,7 +14,32 @@ from tierkit.sources.layers import bronze_path, run_concurrently, write_layer
 SYSTEM_SCHEMAS = ("sys", "INFORMATION_SCHEMA")
 
 # Column types a table can be cut by into ranges.
-SPLIT_TYPES = ("int", "integer", "bigint", "smallint", "date", "datetime", "timestamp")
+RANGE_TYPES = (
+    *("tinyint", "smallint", "int", "integer", "bigint", "decimal", "numeric"),
+    *("date", "datetime", "datetime2", "smalldatetime", "timestamp"),
+)
+
+
+@dataclass(frozen=True)
+class Dialect:
+    """How a database quotes names, and the remainder of a column's hash by ``{n}``."""
+
+    open: str
+    close: str
+    remainder: str
+
+    def quote(self, name: str) -> str:
+        return f"{self.open}{name.replace(self.close, self.close * 2)}{self.close}"
+
+
+DIALECTS = {
+    "sqlserver": Dialect("[", "]", "ABS(CAST(CHECKSUM({column}) AS BIGINT)) % {n}"),
+    "mysql": Dialect("`", "`", "CRC32({column}) % {n}"),
+    "mariadb": Dialect("`", "`", "CRC32({column}) % {n}"),
+    "postgresql": Dialect('"', '"', "ABS(CAST(HASHTEXT(CAST({column} AS TEXT)) AS BIGINT)) % {n}"),
+    "oracle": Dialect('"', '"', "ORA_HASH({column}, {n} - 1)"),
+}
+STANDARD = Dialect('"', '"', "")
 
 
 @dataclass(frozen=True)
@@ -28,6 +53,10 @@ class JdbcSource:
     conf_prefix: str = "spark.tierkit.jdbc"
     extra: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def dialect(self) -> Dialect:
+        return DIALECTS.get(self.url.removeprefix("jdbc:").partition(":")[0], STANDARD)
+
     def options(self, spark: SparkSession) -> dict[str, str]:
         options = {"url": self.url, "fetchsize": str(self.fetch_size), **self.extra}
         if self.driver:
@@ -38,24 +67,35 @@ class JdbcSource:
                 options[key] = value
         return options
 
+    def table(self, schema: str, name: str) -> str:
+        return f"{self.dialect.quote(schema)}.{self.dialect.quote(name)}"
+
 
 @dataclass(frozen=True)
 class Split:
-    """How to cut one table into parallel reads: by a numeric or date column and its bounds."""
+    """How to cut one table into parallel reads: by ranges of a column between its bounds, or,
+    without bounds, by the hash of a column."""
 
     column: str
     lower: object
     upper: object
     partitions: int
 
-    def options(self) -> dict[str, str]:
+    def options(self, dialect: Dialect = STANDARD) -> dict[str, str]:
         return {
-            "partitionColumn": self.column,
+            "partitionColumn": dialect.quote(self.column),
             "lowerBound": str(self.lower),
             "upperBound": str(self.upper),
             "numPartitions": str(self.partitions),
         }
 
+    def predicates(self, dialect: Dialect) -> list[str]:
+        """One condition a partition; together they take every row once, those with NULL first."""
+        column = dialect.quote(self.column)
+        share = dialect.remainder.format(column=column, n=self.partitions)
+        first = f"({share} = 0 OR {column} IS NULL)"
+        return [first, *(f"{share} = {k}" for k in range(1, self.partitions))]
+
 
 def table_list_query(exclude_schemas: Sequence[str] = SYSTEM_SCHEMAS) -> str:
     """SQL that lists the base tables of a database, system schemas left out."""
@@ -67,28 +107,38 @@ def table_list_query(exclude_schemas: Sequence[str] = SYSTEM_SCHEMAS) -> str:
 
 
 def split_column_query() -> str:
-    """SQL that lists, per table, the leading primary-key column if it can be cut into ranges."""
-    kinds = ", ".join(f"'{t}'" for t in SPLIT_TYPES)
+    """SQL that lists the columns a table may be cut by, with their type: the first of its
+    primary key, and its first column for tables without one."""
     return (
-        "SELECT k.TABLE_SCHEMA, k.TABLE_NAME, k.COLUMN_NAME "
-        "FROM INFORMATION_SCHEMA.TABLE_CONSTRAINTS t "
-        "JOIN INFORMATION_SCHEMA.KEY_COLUMN_USAGE k "
-        "ON k.CONSTRAINT_SCHEMA = t.CONSTRAINT_SCHEMA AND k.CONSTRAINT_NAME = t.CONSTRAINT_NAME "
-        "JOIN INFORMATION_SCHEMA.COLUMNS c ON c.TABLE_SCHEMA = k.TABLE_SCHEMA "
-        "AND c.TABLE_NAME = k.TABLE_NAME AND c.COLUMN_NAME = k.COLUMN_NAME "
-        f"WHERE t.CONSTRAINT_TYPE = 'PRIMARY KEY' AND k.ORDINAL_POSITION = 1 AND c.DATA_TYPE IN ({kinds})"
+        "SELECT c.TABLE_SCHEMA, c.TABLE_NAME, c.COLUMN_NAME, c.DATA_TYPE, "
+        "CASE WHEN k.COLUMN_NAME IS NULL THEN 0 ELSE 1 END AS IS_KEY FROM INFORMATION_SCHEMA.COLUMNS c "
+        "LEFT JOIN (SELECT u.TABLE_SCHEMA, u.TABLE_NAME, u.COLUMN_NAME FROM INFORMATION_SCHEMA.TABLE_CONSTRAINTS t "
+        "JOIN INFORMATION_SCHEMA.KEY_COLUMN_USAGE u "
+        "ON u.CONSTRAINT_SCHEMA = t.CONSTRAINT_SCHEMA AND u.CONSTRAINT_NAME = t.CONSTRAINT_NAME "
+        "WHERE t.CONSTRAINT_TYPE = 'PRIMARY KEY' AND u.ORDINAL_POSITION = 1) k "
+        "ON k.TABLE_SCHEMA = c.TABLE_SCHEMA AND k.TABLE_NAME = c.TABLE_NAME AND k.COLUMN_NAME = c.COLUMN_NAME "
+        "WHERE k.COLUMN_NAME IS NOT NULL OR c.ORDINAL_POSITION = 1"
     )
 
 
-def bounds_query(schema: str, table: str, column: str) -> str:
-    return f"SELECT MIN({column}) AS lower_bound, MAX({column}) AS upper_bound FROM {schema}.{table}"
+def bounds_query(source: JdbcSource, schema: str, table: str, column: str) -> str:
+    name = source.dialect.quote(column)
+    return f"SELECT MIN({name}) AS lower_bound, MAX({name}) AS upper_bound FROM {source.table(schema, table)}"
 
 
 def read_options(
     source: JdbcSource, spark: SparkSession, schema: str, table: str, split: Split | None
 ) -> dict[str, str]:
-    options = {**source.options(spark), "dbtable": f"{schema}.{table}"}
-    return options if split is None else {**options, **split.options()}
+    options = {**source.options(spark), "dbtable": source.table(schema, table)}
+    return options if split is None or split.lower is None else {**options, **split.options(source.dialect)}
+
+
+def choose_column(columns: Sequence[tuple[str, str, int]]) -> tuple[str, bool] | None:
+    """The column to cut a table by, and whether by ranges, from ``name, type, is key``; the key first."""
+    if not columns:
+        return None
+    name, kind, _ = max(columns, key=lambda c: c[2])
+    return name, kind.lower() in RANGE_TYPES
 
 
 def list_tables(spark: SparkSession, source: JdbcSource) -> DataFrame:
@@ -100,10 +150,13 @@ def list_split_columns(spark: SparkSession, source: JdbcSource) -> DataFrame:
 
 
 def find_split(
-    spark: SparkSession, source: JdbcSource, schema: str, table: str, column: str, partitions: int
+    spark: SparkSession, source: JdbcSource, schema: str, table: str, column: str, ranges: bool, partitions: int
 ) -> Split | None:
-    """Bounds of the split column, asked of the database; None for an empty table."""
-    reader = spark.read.format("jdbc").options(**source.options(spark), query=bounds_query(schema, table, column))
+    """Bounds of the column, asked of the database, or a cut by its hash; None for an empty table,
+    and where the dialect has no hash."""
+    if not ranges:
+        return Split(column, None, None, partitions) if source.dialect.remainder else None
+    reader = spark.read.format("jdbc").options(**source.options(spark), query=bounds_query(source, schema, table, column))
     low, high = reader.load().first()
     return None if low is None else Split(column, low, high, partitions)
 
@@ -111,7 +164,11 @@ def find_split(
 def read_table(
     spark: SparkSession, source: JdbcSource, schema: str, table: str, split: Split | None = None
 ) -> DataFrame:
-    return spark.read.format("jdbc").options(**read_options(source, spark, schema, table, split)).load()
+    options = read_options(source, spark, schema, table, split)
+    if split is not None and split.lower is None:
+        name = options.pop("dbtable")
+        return spark.read.jdbc(options.pop("url"), name, predicates=split.predicates(source.dialect), properties=options)
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def extract_database(
@@ -119,19 +176,25 @@ def extract_database(
     source: JdbcSource,
     root: str,
     split_columns: dict[str, str] | None = None,
-    partitions: int = 32,
+    partitions: int | None = None,
     threads: int = 4,
 ) -> list[tuple[str, str]]:
     """Land every base table under ``root``; rows stream from database to Parquet on executors.
 
-    A table is read in parallel by its leading key column, or by the one ``split_columns`` names
-    for ``schema.table``. Returns the (schema, table) pairs written.
+    A table is read in parallel by ranges of its leading key column, or of the one that
+    ``split_columns`` names for ``schema.table``; by the hash of a column of another type. By default
+    there are as many parts as the session has cores. Returns the (schema, table) pairs written.
     """
-    columns = {f"{s}.{t}": c for s, t, c in list_split_columns(spark, source).collect()} | (split_columns or {})
+    partitions = partitions or spark.sparkContext.defaultParallelism
+    listed: dict[str, list[tuple[str, str, int]]] = {}
+    for s, t, column, kind, is_key in list_split_columns(spark, source).collect():
+        listed.setdefault(f"{s}.{t}", []).append((column, kind, is_key))
+    columns = {name: choose_column(found) for name, found in listed.items()}
+    columns |= {name: (column, True) for name, column in (split_columns or {}).items()}
 
     def land(schema: str, table: str) -> None:
-        column = columns.get(f"{schema}.{table}")
-        split = find_split(spark, source, schema, table, column, partitions) if column else None
+        chosen = columns.get(f"{schema}.{table}")
+        split = find_split(spark, source, schema, table, *chosen, partitions) if chosen else None
         rows = coerce_bronze(read_table(spark, source, schema, table, split))
         write_layer(rows, bronze_path(root, source.database, schema, table))
 

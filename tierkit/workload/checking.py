@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tierkit import checks as q
 from tierkit.functions import url_parameter
 from tierkit.operators import single_value
-from tierkit.workload.registry import Tables, query
+from tierkit.checks.core import store_failures
+from tierkit.sources import create_layers
+from tierkit.workload.registry import Tables, fresh_root, query
 
 
 @query("chk_not_null", "SELECT event_id, user_id FROM events WHERE nullif(event_type, 'error') IS NULL")
@@ -302,6 +304,55 @@ def ranges_global(t: Tables) -> DataFrame:
     return check.violations(spans)
 
 
+@query(
+    "chk_ranges_no_gaps",
+    _ranges_sql(
+        "SELECT o_custkey, epoch_us(o_orderdate) AS lower_bound, epoch_us(o_orderdate) + 86400000000 * 30 AS upper_bound "
+        "FROM orders",
+        "o_custkey",
+        "NOT (lower_bound < upper_bound AND coalesce(upper_bound = next_lower_bound, true))",
+    ),
+)
+def ranges_without_gaps(t: Tables) -> DataFrame:
+    """Customers whose orders do not follow at exactly thirty days."""
+    orders = t["orders"].withColumn("start", _micros("o_orderdate"))
+    spans = orders.withColumn("stop", F.col("start") + F.lit(86400000000 * 30))
+    return q.mutually_exclusive_ranges("start", "stop", ["o_custkey"], gaps="not_allowed").violations(spans)
+
+
+@query(
+    "chk_whole_table",
+    """
+    SELECT 'fresh' AS "check", CAST(max(ts) < TIMESTAMP '2024-01-30 00:00:00' AS BIGINT) AS failures FROM events
+    UNION ALL SELECT 'stale', CAST(max(ts) < TIMESTAMP '2030-12-30 00:00:00' AS BIGINT) FROM events
+    UNION ALL SELECT 'some_value', CAST(count(value) = 0 AS BIGINT) FROM events
+    UNION ALL SELECT 'some_refund', CAST(count(CASE WHEN event_type = 'refund' THEN value END) = 0 AS BIGINT) FROM events
+    """,
+)
+def whole_table(t: Tables) -> DataFrame:
+    """Recency and at least one value without groups: one scan tells all four."""
+    events = t["events"].withColumn("refund", F.when(F.col("event_type") == "refund", F.col("value")))
+    plan = [
+        (events, q.recency("ts", "day", 1, as_of="2024-01-31").named("fresh")),
+        (events, q.recency("ts", "day", 1, as_of="2030-12-31").named("stale")),
+        (events, q.at_least_one("value").named("some_value")),
+        (events, q.at_least_one("refund").named("some_refund")),
+    ]
+    return q.run_checks(plan).select("check", "failures")
+
+
+@query(
+    "chk_stored_failures",
+    "SELECT s_suppkey, s_acctbal FROM supplier WHERE NOT (s_acctbal >= 0)",
+)
+def stored_failures(t: Tables) -> DataFrame:
+    """Violations kept as a table, read back."""
+    root, tag = fresh_root(t)
+    table = f"{create_layers(t.spark, root, tag)['gold']}.failures_balance"
+    suppliers = t["supplier"].select("s_suppkey", "s_acctbal")
+    return store_failures(suppliers, q.expression_is_true("s_acctbal >= 0"), table)
+
+
 def _sequence_sql(source: str, group: str, bad: str) -> str:
     by = f"PARTITION BY {group}" if group else ""
     shown = f"{group}, " if group else ""

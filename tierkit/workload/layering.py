@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierkit.operators import union_tables
 from tierkit.sources import (
     coerce_bronze,
     create_layers,
@@ -12,6 +13,7 @@ from tierkit.sources import (
     materialize_view,
     promote_to_silver,
     read_seed,
+    relations_by_prefix,
     replace_table_as,
     sample_table,
     union_tables_matching,
@@ -157,3 +159,21 @@ def matching_events(t: Tables) -> DataFrame:
         t.spark, "%", f"{tag.upper()}events%", exclude="%error", source_column="source"
     )
     return united.withColumn("source", F.replace("source", F.lit(tag)))
+
+
+@query(
+    "relations_prefix",
+    """
+    SELECT 'lines_' || lower(l_returnflag) AS source, count(*) AS n_lines, max(l_quantity) AS most FROM lineitem
+    WHERE l_returnflag IN ('A', 'R') GROUP BY 1
+    """,
+)
+def lines_by_prefix(t: Tables) -> DataFrame:
+    """Views found by the beginning of their names, and united."""
+    _, tag = fresh_root(t)
+    for flag in ("A", "R", "N"):
+        rows = t["lineitem"].filter(F.col("l_returnflag") == flag).select("l_quantity")
+        materialize_view(rows, f"{tag}lines_{flag.lower()}")
+    found = relations_by_prefix(t.spark, "%", f"{tag}lines_", exclude="%_n")
+    united = union_tables({n.removeprefix(tag): t.spark.table(n) for n in found}, source_column="source")
+    return united.groupBy("source").agg(F.count("*").alias("n_lines"), F.max("l_quantity").alias("most"))

@@ -64,6 +64,17 @@ def union_exclude(t: Tables) -> DataFrame:
     return union_tables(_parties(t), exclude=["Balance", "nation"], source_column=None)
 
 
+@query(
+    "union_include",
+    """
+    SELECT 'customer' AS party, c_custkey AS id, c_acctbal AS balance FROM customer
+    UNION ALL SELECT 'supplier', s_suppkey, s_acctbal FROM supplier
+    """,
+)
+def union_include(t: Tables) -> DataFrame:
+    return union_tables(_parties(t), include=["ID", "balance"], source_column="party")
+
+
 @query(
     "unpivot_measures",
     """
