@@ -124,31 +124,30 @@ def fewer_rows_than(t: Tables) -> DataFrame:
 @query(
     "chk_equality",
     """
-    WITH a AS (SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'A'),
-         b AS (SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R')
-    SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
-    UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)
+    WITH a AS (SELECT o_orderkey AS orderkey FROM orders), b AS (SELECT l_orderkey AS orderkey FROM lineitem)
+    SELECT 'a_minus_b' AS which_diff, * FROM (SELECT orderkey FROM a EXCEPT SELECT orderkey FROM b)
+    UNION ALL SELECT 'b_minus_a', * FROM (SELECT orderkey FROM b EXCEPT SELECT orderkey FROM a)
     """,
 )
 def equality(t: Tables) -> DataFrame:
-    lines = t["lineitem"]
-    check = q.equality(lines.filter("l_returnflag = 'R'"), ["l_partkey", "l_suppkey"])
-    return check.violations(lines.filter("l_returnflag = 'A'"))
+    """Order numbers that only the orders, or only their lines, have."""
+    lines = t["lineitem"].withColumnRenamed("l_orderkey", "orderkey")
+    return q.equality(lines, ["orderkey"]).violations(t["orders"].withColumnRenamed("o_orderkey", "orderkey"))
 
 
 @query(
     "chk_equality_multiset",
     """
-    SELECT CASE WHEN count_a > count_b THEN 'a_minus_b' ELSE 'b_minus_a' END AS which_diff, * FROM (
-        SELECT l_partkey, count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS count_a,
-               count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS count_b
-        FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1) WHERE count_a <> count_b
+    WITH both_sides AS (SELECT o_custkey AS key, 1 AS a, 0 AS b FROM orders UNION ALL SELECT l_partkey, 0, 1 FROM lineitem)
+    SELECT CASE WHEN sum(a) > sum(b) THEN 'a_minus_b' ELSE 'b_minus_a' END AS which_diff, key,
+           CAST(sum(a) AS BIGINT) AS count_a, CAST(sum(b) AS BIGINT) AS count_b
+    FROM both_sides GROUP BY key HAVING sum(a) <> sum(b)
     """,
 )
 def equality_multiset(t: Tables) -> DataFrame:
-    lines = t["lineitem"]
-    check = q.equality(lines.filter("l_returnflag = 'R'"), ["l_partkey"], multiset=True)
-    return check.violations(lines.filter("l_returnflag = 'A'"))
+    """Numbers that do not come as often as customers of orders and as parts of lines."""
+    lines = t["lineitem"].withColumnRenamed("l_partkey", "key")
+    return q.equality(lines, ["key"], multiset=True).violations(t["orders"].withColumnRenamed("o_custkey", "key"))
 
 
 @query(
