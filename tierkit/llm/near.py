@@ -13,7 +13,8 @@ twice. Candidates whose tokens agree too rarely are dropped at ``DEVIATIONS`` st
 deviations; every other candidate is confirmed on the full sets.
 
 Documents with equal sets are one class from the start, so a group of exact copies is one
-row in everything above, whatever its size.
+row in everything above, whatever its size. The roots branch by whole tokens; below them, and
+for the estimate, one byte of each token is enough, which keeps the shuffles small.
 
 Defined results: A-Z count as a-z; a text with fewer words than a shingle has its whole word
 sequence as its only shingle; a null text, or one without words, has an empty set and is
@@ -66,7 +67,8 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, in
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, 128 bits that name the set, and its minwise tokens."""
+    """``doc_id``, ``n_shingles``, 128 bits that name the set, its minwise tokens, and their sketch of
+    one byte a token."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         doc, keys, rows = shingle_sets(part.column("text"), shingle)
@@ -87,24 +89,29 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                 "set_a": column(a),
                 "set_b": column(b),
                 "tokens": pa.array([t.tobytes() for t in tokens], pa.binary()),
+                "sketch": pa.array([t.tobytes() for t in tokens.astype(np.uint8)], pa.binary()),
             }
         )
 
     return map_slices(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
         work,
-        "doc_id long, n_shingles long, set_a long, set_b long, tokens binary",
+        "doc_id long, n_shingles long, set_a long, set_b long, tokens binary, sketch binary",
     )
 
 
 def _tokens(values: pa.Array) -> np.ndarray:
+    """Tokens, or their sketches, as rows of a matrix."""
     values = values.cast(pa.large_binary())
-    start = np.frombuffer(values.buffers()[1], np.int64)[values.offset]
-    return np.frombuffer(values.buffers()[2], np.uint32)[start // 4 :][: len(values) * TOKENS].reshape(-1, TOKENS)
+    bounds = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+    if bounds[0] == bounds[-1]:
+        return np.zeros((len(values), TOKENS), np.uint8)
+    data = np.frombuffer(values.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+    return data.view(np.uint8 if bounds[1] - bounds[0] == TOKENS else np.uint32).reshape(-1, TOKENS)
 
 
 def _branch(members: DataFrame, similarity: float) -> DataFrame:
-    """Children ``node, rep, n, tokens``: the tokens that the path's hash selects, for each member."""
+    """Children ``node, rep, tokens``: the tokens that the path's hash selects, for each member."""
     limit = np.uint64(min(int(2**64 / (similarity * TOKENS)), 2**64 - 1))
 
     def work(batches):
@@ -122,14 +129,15 @@ def _branch(members: DataFrame, similarity: float) -> DataFrame:
 
 
 def _least(similarity: float) -> float:
-    """Share of equal tokens that a similar pair misses only at ``DEVIATIONS`` standard deviations."""
-    return similarity - DEVIATIONS * math.sqrt(similarity * (1 - similarity) / TOKENS)
+    """Share of equal sketch bytes that a similar pair misses only at ``DEVIATIONS`` standard deviations."""
+    equal = similarity + (1 - similarity) / 256
+    return equal - DEVIATIONS * math.sqrt(equal * (1 - equal) / TOKENS)
 
 
 def _candidates(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
     """Pairs whose sizes allow the similarity and whose tokens don't speak against it."""
     least = _least(similarity)
-    side = lambda k: reps.select(F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col("tokens").alias(f"t_{k}"))
+    side = lambda k: reps.select(F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"t_{k}"))
 
     def work(batches):
         for part in batches:
@@ -203,7 +211,7 @@ def _exhaustive(members: DataFrame, reps: DataFrame, similarity: float) -> DataF
     )
     dealt = members.select("node", "rep", "label", block.alias("block"), F.explode(sides).alias("s"))
     full = dealt.select("node", "s.i", "s.j", "rep", "label", "block").join(reps, "rep")
-    groups = full.groupBy("node", "i", "j").agg(F.collect_list(F.struct("rep", "label", "block", "n", "tokens")).alias("m"))
+    groups = full.groupBy("node", "i", "j").agg(F.collect_list(F.struct("rep", "label", "block", "n", "sketch")).alias("m"))
     least, percent = _least(similarity), int(round(similarity * 100))
 
     def work(batches):
@@ -212,7 +220,7 @@ def _exhaustive(members: DataFrame, reps: DataFrame, similarity: float) -> DataF
             bounds = m.offsets.to_numpy()
             flat = m.values
             rep, label, block, n = (flat.field(c).to_numpy() for c in ("rep", "label", "block", "n"))
-            tokens = _tokens(flat.field("tokens"))
+            tokens = _tokens(flat.field("sketch"))
             alone = np.array(part.column("i")) == np.array(part.column("j"))
             left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for g in range(part.num_rows):
@@ -248,13 +256,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     classes = (
         signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("set_a", "set_b")
-        .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("tokens").alias("tokens"))
+        .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("tokens").alias("tokens"), F.min("sketch").alias("sketch"))
     )
     classes = stored(classes, "classes")
-    reps = classes.select("rep", "n", "tokens")
+    reps = classes.select("rep", "n", "sketch")
 
     roots = mix(np.arange(1, trees_for(recall, similarity) + 1, dtype=np.uint64)).view(np.int64).tolist()
-    trees = reps.select(F.explode(F.lit(roots)).alias("node"), "rep", "n", "tokens")
+    trees = classes.select(F.explode(F.lit(roots)).alias("node"), "rep", "tokens")
     level = _branch(trees, similarity).select("node", "rep")
     shared = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
     members = stored(level.join(shared, "node"), "members")
@@ -286,7 +294,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             small.append(still)
             break
         small.append(still.filter(F.col("size") <= SMALL_NODE))
-        deeper = _branch(large.select("node", "rep").join(reps, "rep").select("node", "rep", "n", "tokens"), similarity)
+        known = reps.select("rep", F.col("sketch").alias("tokens"))
+        deeper = _branch(large.select("node", "rep").join(known, "rep").select("node", "rep", "tokens"), similarity)
         members = stored(deeper.select("node", "rep"), "members")
     compare(_exhaustive(reduce(DataFrame.union, small), reps, similarity))
 
