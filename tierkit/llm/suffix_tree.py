@@ -200,12 +200,10 @@ def fit(training: DataFrame) -> Tree:
     frequent = (
         entries.groupBy("depth", "context").agg(F.sum("n").alias("all")).filter(F.col("all") >= CONTEXT_SHARE * total)
     )
-    rows = (
-        entries.join(frequent, ["depth", "context"], "left_semi")
-        .toPandas()
-        .sort_values(["depth", "context", "symbol"])
-    )
-    return Tree(*(rows[c].to_numpy(np.int64) for c in ("depth", "context", "symbol", "n")))
+    found = entries.join(frequent, ["depth", "context"], "left_semi").toArrow()
+    depth, context, symbol, n = (found.column(c).to_numpy().astype(np.int64) for c in ("depth", "context", "symbol", "n"))
+    order = np.lexsort((symbol, context, depth))
+    return Tree(depth[order], context[order], symbol[order], n[order])
 
 
 def score(docs: DataFrame, parts: int = 7) -> DataFrame:
@@ -216,11 +214,9 @@ def score(docs: DataFrame, parts: int = 7) -> DataFrame:
     tree = spark.sparkContext.broadcast(fit(training))
     counts = stored(word_counts(training), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    most = counts.filter(F.col("n") >= max(HEAD_SHARE * total, 1)).toPandas() if total else None
-    frequent = most.sort_values("word", key=lambda s: s.to_numpy().view(np.uint64)) if total else None
-    head = spark.sparkContext.broadcast(
-        (Lookup(frequent["word"].to_numpy().view(np.uint64)), frequent["n"].to_numpy()) if total else None
-    )
+    most = counts.filter(F.col("n") >= max(HEAD_SHARE * total, 1)).toArrow()
+    words, n = most.column("word").to_numpy().view(np.uint64), most.column("n").to_numpy()
+    head = spark.sparkContext.broadcast((Lookup(words), n[np.argsort(words)]) if total else None)
     scale = float(np.log10(total + distinct + 1))
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
