@@ -42,6 +42,7 @@ SMALL_NODE = 48
 DEPTH = 12
 STARS = (0, 0, 4, 8)
 DEVIATIONS = 3.5
+FEW_TEXTS = 200_000
 _ODD = (mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _SEAT = mix(np.arange(1001, 1001 + TOKENS, dtype=np.uint64))
 
@@ -163,6 +164,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: flo
         shared = np.bincount(doc[1:][twice], minlength=part.num_rows)
         return part.select(["a", "b"]).filter(pa.array(100 * shared >= percent * (size_a + size_b - shared)))
 
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "wanted")
+    if wanted.limit(FEW_TEXTS + 1).count() <= FEW_TEXTS:  # else the joins below move all texts
+        texts = texts.join(F.broadcast(wanted), "rep", "left_semi")
     side = lambda k: texts.select(F.col("rep").alias(k), F.col("text").alias(f"text_{k}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
     return map_slices(both, work, "a long, b long", "text_a")
