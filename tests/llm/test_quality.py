@@ -1,5 +1,6 @@
 """Quality rules against a word-by-word count, and the verdicts."""
 
+import random
 import re
 
 import numpy as np
@@ -50,6 +51,29 @@ def test_unlike_texts_go_and_clean_ones_stay(docs, prose):
     assert left.columns == frame.columns and {r["doc_id"] for r in left.collect()} == kept
 
 
+def test_languages_with_a_small_share_are_judged_by_their_own_words(docs, monkeypatch):
+    """One language holds over 99 % of the words; a second has a reference, a third too few words for one."""
+    rng = random.Random(4)
+
+    def other(stem, n=150):
+        return [stem + (rng.choice("abcdefghij") if rng.random() < 0.65 else f"r{rng.randrange(10**6)}") for _ in range(n)]
+
+    rows = [(i, " ".join(other("e", 2000)), "en", "s0") for i in range(250)]
+    rows += [(1000 + i, " ".join(other("q")), "qq", "s0") for i in range(25)]
+    rows += [(2000 + i, " ".join(other("z")), "zz", "s0") for i in range(3)]
+    rows += [(3000, " ".join(w + "***" for w in other("q")), "qq", "s0"), (3001, " ".join(other("q")), None, "s0")]
+    rows += [(3002, " ".join(other("z")), None, "s0"), (3003, "too short", "zz", "s0")]
+    frame = docs(*rows)
+    want = {i for i, *_ in rows} - {3000, 3002, 3003}
+    one = sorted(map(tuple, quality.judge(frame).collect()))
+    assert {r[0] for r in one if r[-1]} == want
+    assert {r["doc_id"] for r in quality.filter_documents(frame).collect()} == want
+    monkeypatch.setattr(quality, "BLOCK_LANGUAGES", 1)
+    assert sorted(map(tuple, quality.judge(frame).collect())) == one
+    left = quality.filter_documents(frame)
+    assert left.columns == frame.columns and {r["doc_id"] for r in left.collect()} == want
+
+
 def test_empty_table_and_no_language(docs):
     none = docs("x").filter("false")
     assert quality.judge(none).count() == 0 and quality.filter_documents(none).count() == 0

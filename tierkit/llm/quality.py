@@ -9,30 +9,39 @@ counts only for texts long enough to have a histogram worth comparing.
 References come from the corpus itself: per language, the class counts and the counts of the
 common words over all documents that pass the fixed rules. A word is common in a language
 when it makes up at least ``COMMON_SHARE`` of its words, so a language has at most
-1 / ``COMMON_SHARE`` of them; a language has a reference when it holds at least ``LEAST_SHARE``
-of all words, so there are at most 1 / ``LEAST_SHARE`` references. These two shares bound what
-is sent to the tasks, whatever the size of the corpus.
+1 / ``COMMON_SHARE`` of them; a language has a reference when it holds at least
+``REFERENCE_WORDS`` words, however little of the corpus that is. References go to the tasks in
+blocks of about ``BLOCK_LANGUAGES``, one pass over the documents a block, so what is sent has a
+fixed size and there is no limit on the number of languages.
 
 Defined results: a null or empty text has no words and fails the fixed rules; a null language
-adds to no reference but is compared like any other; repeated rows are judged one by one; an
+adds to no reference but is compared like any other; a document whose language has no
+reference is judged by the fixed rules alone; repeated rows are judged one by one; an
 empty table gives no rows; columns other than ``doc_id``, ``text`` and ``lang`` are not looked
 at, and ``filter_documents`` hands them through.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierkit.llm.shared import stored
 from tierkit.llm.words import Counter64, Lookup, Words, column, map_slices, mix, runs, slices
 
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 COMMON_SHARE = 0.001
-LEAST_SHARE = 0.01
+LEAST_SHARE = 0.01  # of the SQL twin only, which agrees while every language has this share
+REFERENCE_WORDS = 2000
+BLOCK_LANGUAGES = 256
+AT_ONCE = 16
 CLASS_LIMIT = 0.30
 WORD_LIMIT = 0.50
 LEAST_CLASS_CHARS = 200
@@ -53,6 +62,7 @@ BARE = np.uint64(1)
 _NONE = np.zeros(0, np.uint64)
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
+_CARRIED = ("_tierkit_class", "_tierkit_word", "_tierkit_near", "_tierkit_met")
 
 
 def _repeated_words(w: Words, hashes: np.ndarray) -> np.ndarray:
@@ -117,8 +127,9 @@ def _class_counts(w: Words) -> np.ndarray:
     return np.stack([lower, *rare], axis=1)
 
 
-def references(docs: DataFrame) -> dict:
-    """Class and common-word histograms of each language, learned from all passing documents."""
+def references(docs: DataFrame) -> Iterator[dict]:
+    """Class and common-word histograms of each language, learned from all passing documents, in
+    blocks of languages."""
 
     def count(batches):
         words, classes = {}, {}
@@ -147,34 +158,33 @@ def references(docs: DataFrame) -> dict:
         .agg(F.sum("n").alias("n"))
     )
     total = F.sum(F.when(F.col("kind") == "word", F.col("n")))
-    # one row a language and key is never collected: only what passes the two shares is
-    counted = counted.persist()
-    try:
-        totals = counted.groupBy("lang").agg(total.alias("total"))
-        everything = totals.agg(F.sum("total")).first()[0] or 0
-        large = totals.filter(F.col("total") >= LEAST_SHARE * everything).filter("total > 0")
-        rows = (
-            counted.join(large, "lang")
-            .filter((F.col("kind") == "class") | (F.col("n") >= COMMON_SHARE * F.col("total")) | (F.col("key") == int(BARE)))
-            .collect()
-        )
-    finally:
-        counted.unpersist()
-    found = {}
-    for r in rows:
-        ref = found.setdefault(r["lang"], {"total": r["total"], "words": {}, "class": np.zeros(len(CLASSES))})
-        if r["kind"] == "class":
-            ref["class"][r["key"]] = r["n"]
-        else:
-            ref["words"][r["key"]] = r["n"]
-    return {
-        lang: {
-            "class": ref["class"] / ref["class"].sum(),
-            "keys": (keys := np.array(sorted(ref["words"]), np.int64).view(np.uint64)),
-            "words": np.array([*(ref["words"][int(k)] for k in keys.view(np.int64))]) / ref["total"],
+    # one row a language and key is never collected: only the common words of a block are
+    counted = stored(counted, "counted")
+    large = counted.groupBy("lang").agg(total.alias("total")).filter(F.col("total") >= REFERENCE_WORDS)
+    common = counted.join(large, "lang").filter(
+        (F.col("kind") == "class") | (F.col("n") >= COMMON_SHARE * F.col("total")) | (F.col("key") == int(BARE))
+    )
+    common = stored(common, "common")
+    blocks = -(-common.select("lang").distinct().count() // BLOCK_LANGUAGES)
+    for block in range(blocks):
+        own = common.filter(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == block)
+        found = {}
+        for r in own.toLocalIterator():
+            ref = found.setdefault(r["lang"], {"total": r["total"], "words": {}, "class": np.zeros(len(CLASSES))})
+            if r["kind"] == "class":
+                ref["class"][r["key"]] = r["n"]
+            else:
+                ref["words"][r["key"]] = r["n"]
+        if not found:
+            continue
+        yield {
+            lang: {
+                "class": ref["class"] / ref["class"].sum(),
+                "keys": (keys := np.array(sorted(ref["words"]), np.int64).view(np.uint64)),
+                "words": np.array([*(ref["words"][int(k)] for k in keys.view(np.int64))]) / ref["total"],
+            }
+            for lang, ref in sorted(found.items())
         }
-        for lang, ref in sorted(found.items())
-    }
 
 
 def _counts(lang: str, keys: np.ndarray, counts: np.ndarray, kind: str = "word") -> pa.RecordBatch:
@@ -205,49 +215,95 @@ def _nearest(w: Words, hashes: np.ndarray, refs: dict) -> tuple[np.ndarray, np.n
     docs, kinds = len(w.n), _class_counts(w)
     chars, n = kinds.sum(axis=1), np.maximum(w.n, 1)
     best_class, best_word, near = np.ones(docs), np.ones(docs), np.zeros(docs, bool)
-    lookup = Lookup(np.unique(np.concatenate([ref["keys"] for ref in refs.values()])) if refs else _NONE)
-    at, place = lookup.find(_bins(w, hashes))
-    common = np.bincount(w.doc[at] * len(lookup.keys) + place, minlength=docs * len(lookup.keys))
-    common = common.reshape(docs, len(lookup.keys)) / n[:, None]
+    bins, every = _bins(w, hashes), list(refs.values())
     rest = lambda x: np.concatenate((x, 1 - x.sum(axis=-1, keepdims=True)), axis=-1)
-    for ref in refs.values():
-        by_class = divergence(kinds / np.maximum(chars, 1)[:, None], ref["class"])
-        by_word = divergence(rest(common[:, np.searchsorted(lookup.keys, ref["keys"])]), rest(ref["words"]))
-        near |= ((by_class <= CLASS_LIMIT) | (chars < LEAST_CLASS_CHARS)) & (
-            (by_word <= WORD_LIMIT) | (w.n < LEAST_COMMON_WORDS)
-        )
-        best_class, best_word = np.minimum(best_class, by_class), np.minimum(best_word, by_word)
-    return best_class, best_word, near | (not refs)
+    for first in range(0, len(every), AT_ONCE):
+        some = every[first : first + AT_ONCE]
+        lookup = Lookup(np.unique(np.concatenate([ref["keys"] for ref in some])))
+        at, place = lookup.find(bins)
+        common = np.bincount(w.doc[at] * len(lookup.keys) + place, minlength=docs * len(lookup.keys))
+        common = common.reshape(docs, len(lookup.keys)) / n[:, None]
+        for ref in some:
+            by_class = divergence(kinds / np.maximum(chars, 1)[:, None], ref["class"])
+            by_word = divergence(rest(common[:, np.searchsorted(lookup.keys, ref["keys"])]), rest(ref["words"]))
+            near |= ((by_class <= CLASS_LIMIT) | (chars < LEAST_CLASS_CHARS)) & (
+                (by_word <= WORD_LIMIT) | (w.n < LEAST_COMMON_WORDS)
+            )
+            best_class, best_word = np.minimum(best_class, by_class), np.minimum(best_word, by_word)
+    return best_class, best_word, near
+
+
+def _compared(part: pa.RecordBatch, w: Words, hashes: np.ndarray, refs: dict) -> list[np.ndarray]:
+    """``_nearest`` over this block and those before, and whether a document's own language was among them."""
+    values = [*_nearest(w, hashes, refs), pc.is_in(part.column("lang"), pa.array(list(refs), pa.string()))]
+    values[3] = values[3].to_numpy(zero_copy_only=False)
+    if _CARRIED[0] in part.schema.names:
+        before = [part.column(c).to_numpy(zero_copy_only=False) for c in _CARRIED]
+        join = (np.minimum, np.minimum, np.logical_or, np.logical_or)
+        values = [f(a, b) for f, a, b in zip(join, before, values)]
+    return values
+
+
+def _near(part: pa.RecordBatch, near: np.ndarray, met: np.ndarray, refs: dict) -> np.ndarray:
+    """The verdict on likeness, once all blocks are compared."""
+    named = part.column("lang").is_valid().to_numpy(zero_copy_only=False)
+    return near | (named & ~met) | (not refs)
+
+
+def _passes(docs: DataFrame, refs: Iterator[dict]):
+    """``docs`` compared with all blocks but the last, and the last one, sent to the tasks."""
+    shipped = [docs.sparkSession.sparkContext.broadcast(block) for block in refs]
+    shipped = shipped or [docs.sparkSession.sparkContext.broadcast({})]
+    for block in shipped[:-1]:
+        docs = _carrying(docs, block)
+    return docs, shipped[-1]
+
+
+def _carrying(docs: DataFrame, block) -> DataFrame:
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        w = Words(part.column("text"))
+        values = _compared(part, w, w.hash, block.value)
+        own = [c for c in part.schema.names if c not in _CARRIED]
+        return pa.RecordBatch.from_arrays([*(part.column(c) for c in own), *map(column, values)], [*own, *_CARRIED])
+
+    schema = docs.drop(*_CARRIED).schema
+    for name, kind in zip(_CARRIED, ("double", "double", "boolean", "boolean")):
+        schema = schema.add(name, kind)
+    return map_slices(docs, work, schema)
 
 
-def judge(docs: DataFrame, refs: dict | None = None) -> DataFrame:
+def judge(docs: DataFrame) -> DataFrame:
     """``doc_id``, surface counts, both distances and the verdict ``kept`` of every document."""
-    refs = references(docs) if refs is None else refs
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
+    docs, last = _passes(docs, references(docs))
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         w = Words(part.column("text"))
         hashes = w.hash
         out = _surface(w, hashes)
-        out["class_distance"], out["word_distance"], near = _nearest(w, hashes, refs)
-        out["kept"] = ~out["base_failed"] & near
+        out["class_distance"], out["word_distance"], near, met = _compared(part, w, hashes, last.value)
+        out["kept"] = ~out["base_failed"] & _near(part, near, met, last.value)
         return pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), **{k: column(v) for k, v in out.items()}})
 
     return map_slices(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
+        docs,
         work,
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "base_failed boolean, class_distance double, word_distance double, kept boolean",
     )
 
 
-def filter_documents(docs: DataFrame, refs: dict | None = None) -> DataFrame:
+def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns, without a shuffle."""
-    refs = references(docs) if refs is None else refs
+    schema = docs.schema
+    docs, last = _passes(docs, references(docs))
 
     def keep(batches):
         for part in slices(batches):
             w = Words(part.column("text"))
             hashes = w.hash
-            yield part.filter(pa.array(~_failed(w, hashes) & _nearest(w, hashes, refs)[2]))
+            near, met = _compared(part, w, hashes, last.value)[2:]
+            kept = part.filter(pa.array(~_failed(w, hashes) & _near(part, near, met, last.value)))
+            yield kept.select(schema.names)
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(keep, schema)
