@@ -64,6 +64,24 @@ def test_leaks(docs, prose, benchmark):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(r["doc_id"] for r in frame_of_rows.collect() if r["doc_id"] not in flagged)
 
 
+def test_short_items_are_found_at_every_allowed_distance(spark, docs, prose):
+    """Of items of 5 to 19 words no passage is missed, exact or with all edits that 0.8 allows."""
+    rng = random.Random(6)
+    items = [(i, " ".join(rng.choice(["the", "of", f"q{rng.randrange(300)}"]) for _ in range(5 + i % 15))) for i in range(90)]
+    rows = []
+    for i, item in items:
+        for edits in range(len(item.split()) // 5 + 1):
+            for turn in range(3):
+                w = item.split()
+                for at in rng.sample(range(len(w)), edits):
+                    kind = rng.random()
+                    w[at] = "" if kind < 0.3 else f"new{rng.randrange(99)}" if kind < 0.7 else f"{w[at]} more"
+                rows.append(" ".join([*prose(i, 9), *w, *prose(i + turn, 9)]))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.leaks(docs(*rows), frame).collect()}
+    assert got == brute(enumerate(rows), items)
+
+
 def test_blocks_find_the_same(docs, benchmark, monkeypatch):
     frame, items = benchmark
     rows = docs(*[f"before {t} after" for _, t in items[:10]])

@@ -6,7 +6,10 @@ the word it stands on, and a random bit of (step, word) decides whether it goes
 next, so that a small edit distance becomes a small Hamming distance. A walk starts at every
 word of the documents and at every word of the benchmark items; a table samples ``SAMPLES``
 steps of the walk as a key. ``WALKS`` independent walks with ``TABLES`` samplings each bring an
-item within the allowed distance to a common key with the recall that the tests measure. A
+item within the allowed distance to a common key with the recall that the tests measure. An
+item of fewer than ``WALKED`` words has too few walks inside it for that: it is cut into one
+piece more than it may have edits, so at least one piece occurs as it is in every passage within
+the distance, and the hashes of its pieces are its keys; none is missed. A
 common key aligns an item with a place in a document; the item-sized window there, widened
 by the allowed edits, is then compared with the item exactly.
 
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +44,8 @@ WALKS = 2
 TABLES = 6
 SAMPLES = 7
 STEPS = 16
-LEAST_WORDS = 8
+LEAST_WORDS = 5
+WALKED = 20
 BLOCK_WORDS = 50_000
 
 _LETTERS = LOWER.copy()
@@ -91,26 +96,41 @@ class Items:
         w = normalised(pa.array(texts, pa.string()))
         self.ids, self.words, self.first, self.n = ids, w.hash, w.first, w.n
         self.allowed = np.floor((1 - similarity) * w.n + 1e-9).astype(np.int64)
-        long = w.n >= LEAST_WORDS
+        long = w.n >= WALKED
         self.tables = []
         for _, keys, last in embed(self.words):
             own = np.flatnonzero(long[w.doc] & (last < w.first[1:][w.doc]))
             order = own[np.argsort(keys[own], kind="stable")]
             self.tables.append((keys[order], order, w.doc[order], Lookup(np.unique(keys[order]), 7)))
-        self.short = {}
-        for size in np.unique(w.n[~long & (w.n > 0)]).tolist():
+        self.pieces = {}
+        begins, sizes = self._pieces(~long & (w.n > 0))
+        for size in np.unique(sizes).tolist():
+            wanted = np.zeros(len(self.words), bool)
+            wanted[begins[sizes == size]] = True
             at, keys = w.windows(self.words, size)
-            whole = w.n[w.doc[at]] == size
-            order = at[whole][np.argsort(keys[whole], kind="stable")]
-            keys = np.sort(keys[whole])
-            self.short[size] = (keys, order, w.doc[order], Lookup(np.unique(keys), 7))
+            at, keys = at[wanted[at]], keys[wanted[at]]
+            order = np.argsort(keys, kind="stable")
+            at, keys = at[order], keys[order]
+            self.pieces[size] = (keys, at, w.doc[at], Lookup(np.unique(keys), 7))
+
+    def _pieces(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First word and size of the pieces of the chosen items."""
+        begins, sizes = [], []
+        for i in np.flatnonzero(chosen):
+            n = int(self.n[i])
+            cuts = min(int(self.allowed[i]) + 1, n) if n >= LEAST_WORDS else 1
+            edges = np.arange(cuts + 1) * n // cuts
+            begins.append(self.first[i] + edges[:-1])
+            sizes.append(np.diff(edges))
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *begins]), np.concatenate([none, *sizes])
 
     def aligned(self, w: Words, hashes: np.ndarray) -> np.ndarray:
         """Distinct (text, item, place in ``hashes`` where the item would begin)."""
         found = [np.zeros((0, 3), np.int64)]
-        short = [(table, *w.windows(hashes, size)) for size, table in self.short.items()]
+        pieces = ((table, *w.windows(hashes, size)) for size, table in self.pieces.items())
         walked = ((self.tables[t], np.arange(len(k)), k) for t, k, _ in embed(hashes))
-        for (table, places, items, lookup), at, keys in (*short, *walked):
+        for (table, places, items, lookup), at, keys in chain(pieces, walked):
             hit, place = lookup.find(keys)
             if not len(hit):
                 continue
