@@ -8,8 +8,10 @@ with a known chance; independent trees bring the chance of missing a link below
 their node's leader, which is linear, and nodes that are one component by then end, too: a
 dense group of copies, which no branching would ever part, so costs as much as it has
 members. Of the rest, small nodes are compared exhaustively and large ones branch again;
-what is still large at ``DEPTH`` is compared exhaustively in blocks. No pair is compared
-twice. Candidates whose tokens agree too rarely are dropped at ``DEVIATIONS`` standard
+what is still large at ``DEPTH`` is compared exhaustively in blocks. The trees are enough for
+nodes that end within ``SIZED`` levels; the members of larger ones get further trees, as many
+as the depth takes at which the last node ended, so that the chance to miss a link does
+not depend on the size of a node. No pair is compared twice. Candidates whose tokens agree too rarely are dropped at ``DEVIATIONS`` standard
 deviations; every other candidate is confirmed on the full sets.
 
 Documents with equal sets are one class from the start, so a group of exact copies is one
@@ -40,6 +42,7 @@ from tierkit.llm.words import Words, column, map_slices, mix, packed, runs, unpa
 TOKENS = 128
 SMALL_NODE = 48
 DEPTH = 12
+SIZED = 3
 STARS = (0, 0, 4, 8)
 DEVIATIONS = 3.5
 FEW_TEXTS = 200_000
@@ -244,12 +247,28 @@ def _exhaustive(members: DataFrame, reps: DataFrame, similarity: float) -> DataF
     return groups.drop("node").mapInArrow(work, "a long, b long")
 
 
-def trees_for(recall: float, similarity: float, depth: int = 3) -> int:
-    """Trees so that a pair at exactly ``similarity`` shares a node of ``depth`` in one of them."""
+def _meet(depth: int) -> float:
+    """Chance that a pair at exactly the similarity shares a node of ``depth`` in one tree."""
     meet = 1.0
     for _ in range(depth):
         meet = 1 - math.exp(-meet)
-    return math.ceil(math.log(1 - recall) / math.log(1 - meet))
+    return meet
+
+
+def trees_for(recall: float, similarity: float, depth: int = SIZED) -> int:
+    """Trees so that a pair at exactly ``similarity`` shares a node of ``depth`` in one of them."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - _meet(depth)))
+
+
+def more_trees(recall: float, similarity: float, depth: int) -> int:
+    """Further trees for pairs that the first ones brought to large nodes: with those the chance
+    to part in all trees, of ``SIZED`` levels or of ``depth``, is at most ``1 - recall``."""
+    first = trees_for(recall, similarity)
+    early, late = (1 - _meet(SIZED)) ** first, (1 - _meet(depth)) ** first
+    if late <= 1 - recall:
+        return 0
+    room = max(1 - recall - early, (1 - recall) / 100)  # what rounding up the first trees has left, if not nothing
+    return max(math.ceil(math.log(room / (late - early)) / math.log(1 - _meet(depth))), 0)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
@@ -265,11 +284,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     classes = stored(classes, "classes")
     reps = classes.select("rep", "n", "sketch")
 
-    roots = mix(np.arange(1, trees_for(recall, similarity) + 1, dtype=np.uint64)).view(np.int64).tolist()
-    trees = classes.select(F.explode(F.lit(roots)).alias("node"), "rep", "tokens")
-    level = _branch(trees, similarity).select("node", "rep")
-    shared = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
-    members = stored(level.join(shared, "node"), "members")
+    first = trees_for(recall, similarity)
+
+    def grown(of: DataFrame, numbers: range) -> DataFrame:
+        """``node, rep`` of the nodes of the first level with more than one member."""
+        roots = mix(np.array(numbers, np.uint64)).view(np.int64).tolist()
+        trees = of.select(F.explode(F.lit(roots)).alias("node"), "rep", "tokens")
+        level = _branch(trees, similarity).select("node", "rep")
+        shared = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
+        return stored(level.join(shared, "node"), "members")
+
+    members = grown(classes, range(1, first + 1))
     involved = members.select("rep").distinct()
     texts = packed(docs.select(F.col("doc_id").cast("long").alias("rep"), "text")).join(involved, "rep", "left_semi")
     texts = stored(texts.groupBy("rep").agg(F.min("text").alias("text")), "texts")
@@ -288,20 +313,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             labels = components(reduce(DataFrame.union, [found, *links]))
             links[:] = [labels.select(F.col("node").alias("a"), F.col("label").alias("b"))]
 
-    small = []
-    for depth in range(DEPTH + 1):
-        for turn in range(STARS.count(depth)):
-            compare(_candidates(_star(_labelled(members, labels, turn)).distinct(), reps, similarity))
-        still = stored(_labelled(members, labels, depth), "open").select("node", "rep", "label", "size")
-        large = still.filter(F.col("size") > SMALL_NODE)
-        if depth == DEPTH or large.isEmpty():
-            small.append(still)
-            break
-        small.append(still.filter(F.col("size") <= SMALL_NODE))
-        known = reps.select("rep", F.col("sketch").alias("tokens"))
-        deeper = _branch(large.select("node", "rep").join(known, "rep").select("node", "rep", "tokens"), similarity)
-        members = stored(deeper.select("node", "rep"), "members")
-    compare(_exhaustive(reduce(DataFrame.union, small), reps, similarity))
+    def descend(members: DataFrame, stars: tuple, most: int) -> tuple[int, DataFrame | None]:
+        """Compares the members of all nodes; gives the depth at which the last node ended, and the
+        members of those that branched beyond ``SIZED`` levels."""
+        small, deep = [], None
+        for depth in range(most + 1):
+            for turn in range(stars.count(depth)):
+                compare(_candidates(_star(_labelled(members, labels, turn)).distinct(), reps, similarity))
+            still = stored(_labelled(members, labels, depth), "open").select("node", "rep", "label", "size")
+            large = still.filter(F.col("size") > SMALL_NODE)
+            if depth == most or large.isEmpty():
+                small.append(still)
+                break
+            small.append(still.filter(F.col("size") <= SMALL_NODE))
+            if depth + 1 == SIZED:
+                deep = stored(large.select("rep").distinct(), "deep")
+            known = reps.select("rep", F.col("sketch").alias("tokens"))
+            deeper = _branch(large.select("node", "rep").join(known, "rep").select("node", "rep", "tokens"), similarity)
+            members = stored(deeper.select("node", "rep"), "members")
+        compare(_exhaustive(reduce(DataFrame.union, small), reps, similarity))
+        return depth, deep
+
+    # nodes of the first level are at depth 0
+    depth, deep = descend(members, STARS, DEPTH)
+    more = more_trees(recall, similarity, depth + 1) if deep is not None else 0
+    if more:
+        again = classes.join(deep, "rep", "left_semi")
+        descend(grown(again, range(first + 1, first + more + 1)), (), depth)
 
     sets = classes.select("set_a", "set_b", "rep")
     if labels is not None:
