@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import curriculum, decontaminate, language, near, oracles, personal, quality, secrets, shards, spans, suffix_tree
+from tierkit.llm import (
+    curriculum,
+    decontaminate,
+    language,
+    near,
+    neighbours,
+    oracles,
+    periodic,
+    personal,
+    quality,
+    secrets,
+    shards,
+    spans,
+    spelling,
+    suffix_tree,
+)
 from tierkit.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +115,36 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return personal.scan(documents(spark, folder)).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
     )
+
+
+@query("op11_nearest_votes")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    out = neighbours.fold(5) == 0
+    scored = neighbours.score(docs, neighbours.learn(docs, labels.filter(~out)))
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op12_spelling_chunks")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(spelling.vocabulary(documents(spark, folder), spoil=31))
+
+
+@query("op13_cover_runs")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.collapse_runs(periodic.with_cycles(documents(spark, folder)))
+    best = periodic.strongest(F.col("runs"))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    lines = F.concat_ws("", F.transform("runs", line))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
