@@ -1,0 +1,178 @@
+"""Joins by distance against the comparison of all rows with all."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierkit.operators import nearest, proximity, within_distance
+from tierkit.operators.proximity import HOT_CELL, _placed, _Tree, _within_bounds
+from tierkit.scratch import Scratch
+
+RADIUS = 3961
+
+
+def miles(a, b, c, d):
+    s = math.sin(math.radians(c - a) / 2) ** 2
+    s += math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+    return 2 * RADIUS * math.asin(math.sqrt(min(1, s)))
+
+
+def places(rng, n):
+    """A third in one town, some at the poles and on the date line, the rest all over the globe."""
+    out = []
+    for i in range(n):
+        r = rng.random()
+        if r < 0.35:
+            at = 48.1 + rng.random() * 0.01, 11.5 + rng.random() * 0.01
+        elif r < 0.45:
+            at = rng.choice([90.0, -90.0, 89.99, -89.9]), rng.uniform(-180, 180)
+        elif r < 0.6:
+            at = rng.uniform(-80, 80), rng.choice([180.0, -180.0, 179.99, -179.99])
+        else:
+            at = math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180)
+        out.append((i, *at))
+    return out
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    rng = random.Random(1)
+    a = places(rng, 120)
+    b = places(rng, 300) + [(1000 + i, 48.1, 11.5) for i in range(60)]
+    nowhere = [(9999, None, 1.0), (9998, 95.0, 1.0), (9997, float("nan"), 0.0), (9996, 0.0, float("inf"))]
+    frames = (spark.createDataFrame(rows + nowhere, f"{n} long, {n}_lat double, {n}_lon double") for rows, n in ((a, "a"), (b, "b")))
+    return a, b, *frames
+
+
+AT = {"left_at": ("a_lat", "a_lon"), "right_at": ("b_lat", "b_lon")}
+
+
+@pytest.mark.parametrize("radius", [0, 0.1, 50, 800, 6000, 13000])
+def test_within_distance(sides, radius):
+    a, b, left, right = sides
+    got = within_distance(left, right, radius, **AT, hot_cell=20).collect()
+    assert sorted((r["a"], r["b"]) for r in got) == [(i, j) for i, p, q in a for j, s, t in b if miles(p, q, s, t) <= radius]
+    assert all(r["distance"] == pytest.approx(miles(r["a_lat"], r["a_lon"], r["b_lat"], r["b_lon"])) for r in got)
+
+
+@pytest.mark.parametrize("k", [1, 4, 500])
+def test_nearest(sides, k):
+    a, b, left, right = sides
+    got = nearest(left, right, k, ["b"], **AT).collect()
+    want = []
+    for i, p, q in a:
+        order = sorted((round(miles(p, q, s, t), 6), j) for j, s, t in b)[:k]
+        want += [(i, n + 1, j) for n, (_, j) in enumerate(order)]
+    assert sorted((r["a"], r["rank"], r["b"]) for r in got) == want
+
+
+def test_units_and_radius(sides):
+    _, _, left, right = sides
+    in_miles = within_distance(left, right, 300, **AT).count()
+    assert in_miles == within_distance(left, right, 300 * 1.60934, **AT, unit="km").count() > 0
+    for bad in ({"radius": -1}, {"radius": 1, "unit": "nm"}, {"radius": float("nan")}):
+        with pytest.raises(ValueError):
+            within_distance(left, right, **bad, **AT)
+    with pytest.raises(ValueError):
+        nearest(left, right, 0, ["b"], **AT)
+
+
+def test_columns_of_both_sides(spark, sides):
+    """Names that the operators use inside are the user's own; a name on both sides is refused."""
+    inside = "lat lon x y z n part node l r low high held bound apart seat task code here".split()
+    left = spark.createDataFrame([(1, 0.0, 0.0, *range(len(inside)))], "`a.b` long, p double, q double, " + ", ".join(f"{c} long" for c in inside))
+    right = sides[3].withColumn("there", F.create_map(F.lit("k"), F.col("b")))
+    at = {"left_at": ("p", "q"), "right_at": ("b_lat", "b_lon")}
+    want = [*left.columns, *right.columns]
+    near = within_distance(left, right, 13000, **at)
+    assert near.columns == [*want, "distance"] and near.count() == 360
+    assert [near.first()[c] for c in inside] == list(range(len(inside)))
+    best = nearest(left, right, 2, ["b"], **at)
+    assert best.columns == [*want, "distance", "rank"] and best.count() == 2
+    with pytest.raises(ValueError, match="b_lat"):
+        within_distance(left.withColumnRenamed("p", "B_LAT"), right, 1, ("B_LAT", "q"), AT["right_at"])
+    with pytest.raises(ValueError, match="distance"):
+        within_distance(left.withColumnRenamed("x", "distance"), right, 1, **at)
+
+
+def test_empty_sides(sides):
+    _, _, left, right = sides
+    none = left.limit(0), right.limit(0)
+    assert within_distance(none[0], right, 10, **AT).isEmpty() and within_distance(left, none[1], 10, **AT).isEmpty()
+    assert nearest(none[0], right, 2, ["b"], **AT).isEmpty() and nearest(left, none[1], 2, ["b"], **AT).isEmpty()
+
+
+def test_a_crowded_cell_is_dealt_out(spark):
+    """A third of 30,000 rows in one cell: no group of the join's key holds more than a part of it."""
+    n, town = 30_000, 10_000
+    rows = spark.range(n).select(
+        F.col("id").alias("b"),
+        F.when(F.col("id") < town, F.lit(10.0)).otherwise((F.col("id") * 7919 % 17000) / 100 - 85).alias("b_lat"),
+        F.when(F.col("id") < town, F.lit(20.0)).otherwise((F.col("id") * 104729 % 36000) / 100 - 180).alias("b_lon"),
+    )
+    left = spark.createDataFrame([(1, 10.0, 20.0), (2, 10.0, 20.2), (3, -40.0, 3.0)], "a long, a_lat double, a_lon double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = within_distance(left, rows, 5, **AT, hot_cell=500)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        assert got.filter("a = 1 AND b < 10000").count() == town
+        tasks = got.filter("a = 1").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+        assert max(r["n"] for r in tasks) < town * 0.75  # four partitions: one task would have it all
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert HOT_CELL <= 10_000
+
+
+def test_blocks_hold_equal_numbers(spark):
+    """However crowded a place, a block has 32 points, and the boxes hold their points."""
+    points = spark.range(5000).select(
+        F.col("id"),
+        F.when(F.col("id") < 2000, 10 + F.col("id") * 1e-9).otherwise((F.col("id") * 7919 % 17000) / 100 - 85).alias("p"),
+        (F.col("id") % 360 - 180).cast("double").alias("q"),
+    )
+    with Scratch(spark) as scratch:
+        tree = _Tree(_placed(points, "there", "p", "q"), scratch)
+        sizes = [r["count"] for r in tree.points.groupBy("node").count().collect()]
+        assert max(sizes) == 32 and len(sizes) == math.ceil(5000 / 32)
+        assert [level.count() for level in tree.levels] == [157, 10]
+        for level in tree.levels:
+            assert level.agg(F.sum("n")).first()[0] == 5000
+        boxed = tree.points.join(tree.levels[0], "node").filter("x BETWEEN low_x AND high_x AND z BETWEEN low_z AND high_z")
+        assert boxed.count() == 5000
+
+
+def test_search_compares_few_blocks(spark):
+    """A third of 6,000 rows in one town: a row meets a few blocks of 32, not the other rows."""
+    places = spark.range(6000).select(
+        F.col("id").alias("a"),
+        F.when(F.col("id") % 3 == 0, 48 + (F.col("id") * 7919 % 1009) / 1e5).otherwise((F.col("id") * 7919 % 17000) / 100 - 85).alias("a_lat"),
+        F.when(F.col("id") % 3 == 0, 11 + (F.col("id") * 104729 % 997) / 1e5).otherwise((F.col("id") * 104729 % 36000) / 100 - 180).alias("a_lon"),
+    )
+    met = []
+
+    def noted(pairs, left, k):
+        met.append((left, _within_bounds(pairs, left, k)))
+        return met[-1][1]
+
+    with Scratch(spark) as scratch, pytest.MonkeyPatch.context() as patch:
+        patch.setattr(proximity, "_within_bounds", noted)
+        found = nearest(places, places.toDF("b", "b_lat", "b_lon"), 2, ["b"], **AT, scratch=scratch)
+        assert found.count() == 12_000
+        assert found.filter("rank = 1 AND distance > 0").isEmpty()
+        left, pairs = met[-1]
+        assert left == "number" and pairs.count() < 40 * 6000  # of 188 blocks
+
+
+def test_scratch_is_removed(spark, sides):
+    from pathlib import Path
+
+    _, _, left, right = sides
+    with Scratch(spark) as scratch:
+        assert nearest(left, right, 1, ["b"], **AT, scratch=scratch).count() == 120
+        assert Path(scratch.folder).exists()
+    assert not Path(scratch.folder).exists()

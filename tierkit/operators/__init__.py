@@ -9,6 +9,7 @@ from tierkit.operators.profile import (
     result_arrays,
     single_value,
 )
+from tierkit.operators.proximity import nearest, within_distance
 from tierkit.operators.reshape import (
     deduplicate,
     group_by_first,
@@ -32,6 +33,7 @@ __all__ = [
     "generate_series",
     "group_by_first",
     "intervals_between",
+    "nearest",
     "normalize_columns",
     "null_blanks",
     "pivot",
@@ -41,4 +43,5 @@ __all__ = [
     "star",
     "union_tables",
     "unpivot",
+    "within_distance",
 ]
