@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierkit.sources.layers import materialize_table
 
@@ -21,7 +22,8 @@ class Keyed:
     """What a check counts by key: rows that share one, rows whose key the parent lacks, or with
     ``distinct`` the keys themselves.
 
-    Keys are compared as text with NULL kept apart; ``skip_null`` leaves NULL keys out.
+    Up to two whole numbers are a key as they are. Other keys are compared as text with NULL kept
+    apart, by 128 bits of hash. ``skip_null`` leaves NULL keys out.
     """
 
     columns: Sequence[str]
@@ -118,14 +120,16 @@ def _count_keys(plan: list[tuple[DataFrame, Check]]) -> DataFrame:
     """One row with the failures ``n0, n1, ...`` of all keyed checks.
 
     Each table gives a row for each check and key in one scan, as child or as parent; one
-    aggregate, partial before its only shuffle, brings the sides of a key together.
+    aggregate, partial before its only shuffle, brings the sides of a key together. A key is two
+    64-bit numbers whatever its columns, so keys that hardly repeat move as little as can be.
     """
     sides: dict[int, tuple[DataFrame, list[Column]]] = {}
 
-    def add(df: DataFrame, number: int, columns, condition: Column | None, child: bool) -> None:
-        key = F.array(*[F.col(c).cast("string") for c in columns])
-        cell = F.struct(F.lit(number).alias("number"), key.alias("key"), F.lit(child).alias("child"))
-        sides.setdefault(id(df), (df, []))[1].append(cell if condition is None else F.when(condition, cell))
+    def add(df: DataFrame, number: int, columns, condition: Column, child: bool, whole: bool) -> None:
+        high, low = _key(columns, whole)
+        taken = F.when(condition, F.lit(number)).alias("number")
+        cell = F.struct(taken, high.alias("high"), low.alias("low"), F.lit(child).alias("child"))
+        sides.setdefault(id(df), (df, []))[1].append(cell)
 
     def filled(columns, *conditions: str | Column | None) -> Column:
         out = F.lit(True)
@@ -137,14 +141,14 @@ def _count_keys(plan: list[tuple[DataFrame, Check]]) -> DataFrame:
 
     for number, (df, check) in enumerate(plan):
         k = check.keyed
-        add(df, number, k.columns, filled(k.columns if k.skip_null else (), k.condition, check.where), True)
+        whole = _whole_numbers(df, k.columns) and (k.parent is None or _whole_numbers(k.parent, k.parent_columns))
+        add(df, number, k.columns, filled(k.columns if k.skip_null else (), k.condition, check.where), True, whole)
         if k.parent is not None:
-            add(k.parent, number, k.parent_columns, filled(k.parent_columns, k.parent_condition), False)
-    cells = [
-        df.select(F.explode(F.array_compact(F.array(*rows))).alias("cell")).select("cell.*") for df, rows in sides.values()
-    ]
+            add(k.parent, number, k.parent_columns, filled(k.parent_columns, k.parent_condition), False, whole)
+    # an array of plain structs is never built: the generator runs inside the compiled stage
+    cells = [df.select(F.inline(F.array(*rows))).filter("number IS NOT NULL") for df, rows in sides.values()]
     children = F.count_if("child")
-    per_key = reduce(DataFrame.union, cells).groupBy("number", "key").agg(
+    per_key = reduce(DataFrame.union, cells).groupBy("number", "high", "low").agg(
         children.alias("n"), F.max(~F.col("child")).alias("known")
     )
 
@@ -159,6 +163,20 @@ def _count_keys(plan: list[tuple[DataFrame, Check]]) -> DataFrame:
     return per_key.agg(*[_as_count(failures(i, c), i) for i, (_, c) in enumerate(plan)])
 
 
+def _whole_numbers(df: DataFrame, columns: Sequence[str]) -> bool:
+    kinds = [df.select(c).schema[0].dataType for c in columns]
+    return len(kinds) <= 2 and all(isinstance(k, T.IntegralType) for k in kinds)
+
+
+def _key(columns: Sequence[str], whole: bool) -> tuple[Column, Column]:
+    """A key as two 64-bit numbers; NULL differs from any text, also in several columns."""
+    if whole:
+        numbers = [F.col(c).cast("long") for c in columns]
+        return numbers[0], numbers[1] if len(numbers) == 2 else F.lit(0).cast("long")
+    parts = [p for c in columns for p in (F.col(c).cast("string"), F.col(c).isNull())]
+    return F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)
+
+
 def _as_count(value: Column, i: int) -> Column:
     return F.coalesce(value.cast("bigint"), F.lit(0)).alias(f"n{i}")
 
