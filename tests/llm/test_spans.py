@@ -44,11 +44,13 @@ def rows():
     return [*out, (None, texts[12]), (3, texts[3]), (20, texts[21])]
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
+@pytest.mark.parametrize("bits", [15, 27])
 @pytest.mark.parametrize("window", [5, 13])
-def test_removed_words(docs, rows, window, limit):
+def test_removed_words(docs, rows, window, bits, monkeypatch):
+    """With the usual bitmap, and with one so small that most of its bits are set."""
+    monkeypatch.setattr(spans, "BITMAP", 1 << bits)
     frame = docs(*rows, extra=("anchor", "spans", "kept"))
-    got = spans.remove_repeats(frame, window, limit)
+    got = spans.remove_repeats(frame, window)
     assert sorted(((r[0], r[1], r[2], bytes(r[3])) for r in got.collect()), key=str) == brute(rows, window)
 
 

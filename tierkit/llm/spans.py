@@ -14,8 +14,9 @@ then compact into one span with its source coordinates: document, first word, wo
 the first document that holds it.
 
 Hot anchors and edges are folded before the aggregates, and adaptive execution splits them
-in the joins. Up to ``ANCHOR_LIMIT`` anchors are sent to the tasks; beyond it they are joined to
-the documents by ``doc_id``.
+in the joins. The tasks get a bitmap of the shared anchors, 16 MB at every size: no anchor outside
+it is shared, and what passes it without being shared falls away in the joins. At sizes where
+most bits are set it only stops sparing rows.
 
 Defined results: null and empty texts have no words; texts shorter than a window keep all
 words; a window that only one document repeats is not repeated; a row with a null ``doc_id``
@@ -32,11 +33,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierkit.llm.shared import stored
-from tierkit.llm.words import Lookup, Words, column, map_slices, mix, packed, unpacked_array
+from tierkit.llm.words import Words, column, map_slices, mix, packed, unpacked_array
 
 WINDOW = 13
 ANCHOR = 5
-ANCHOR_LIMIT = 4_000_000
+BITMAP = 1 << 27
 
 
 def _sliding(values: np.ndarray, size: int, fold) -> np.ndarray:
@@ -93,29 +94,30 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
     return map_slices(docs, work, "doc_id long, anchor long")
 
 
-def _on_anchors(docs: DataFrame, anchors: DataFrame, window: int, limit: int, pieces, schema: str) -> DataFrame:
-    """``pieces(graph, chosen windows)`` over the windows on ``anchors``, with ``doc_id`` and ``place``.
+def _bitmap(anchors: DataFrame) -> np.ndarray:
+    """A bit for each remainder of an anchor by ``BITMAP``, in bytes, least bit first."""
+    cell = F.pmod("anchor", F.lit(BITMAP)) + 1  # the bitmap functions count from 1
+    parts = anchors.groupBy(F.bitmap_bucket_number(cell).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits")
+    )
+    out = np.zeros(BITMAP // 8, np.uint8)
+    for bucket, bits in parts.collect():  # as many as the bitmap has parts of 4 KB, at most
+        out[(bucket - 1) * len(bits) : bucket * len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def _on_anchors(docs: DataFrame, anchors: DataFrame, window: int, pieces, schema: str) -> DataFrame:
+    """``pieces(graph, chosen windows)`` over the windows on ``anchors`` and a few more, with ``doc_id`` and ``place``.
 
     ``place`` holds 31 bits that tell texts of one ``doc_id`` apart above 32 bits for the number of
     the first word.
     """
-    few = anchors.limit(limit + 1).count() <= limit
-    if few:
-        found = anchors.toArrow().column("anchor").to_numpy().view(np.uint64)
-        known = docs.sparkSession.sparkContext.broadcast(Lookup(found))
-    else:
-        own = _anchors(docs, window).join(anchors, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("own"))
-        docs = docs.join(own, "doc_id")
+    known = docs.sparkSession.sparkContext.broadcast(_bitmap(anchors))
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         g = Graph(part.column("text"), window)
-        if few:
-            chosen = known.value.find(g.anchor)[0]
-        else:
-            own = part.column("own")
-            number = np.repeat(np.arange(part.num_rows), own.value_lengths().to_numpy())
-            keys = mix(own.flatten().to_numpy().view(np.uint64)) ^ mix(number.astype(np.uint64))
-            chosen = np.flatnonzero(np.isin(mix(g.anchor) ^ mix(g.words.doc[g.at].astype(np.uint64)), keys))
+        cell = g.anchor & np.uint64(BITMAP - 1)
+        chosen = np.flatnonzero(known.value[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1)
         at, columns = pieces(g, chosen)
         doc = g.words.doc[at]
         tag = _tags(g.words)[doc] << np.uint64(32)
@@ -131,7 +133,7 @@ def _tags(w: Words) -> np.ndarray:
     return w.spans(w.bounds[:-1], w.bounds[1:]) >> np.uint64(33)
 
 
-def _paths(docs: DataFrame, anchors: DataFrame, window: int, limit: int) -> DataFrame:
+def _paths(docs: DataFrame, anchors: DataFrame, window: int) -> DataFrame:
     """``doc_id, anchor, path, edges, place``: the windows of a text on one anchor as one path."""
 
     def pieces(g: Graph, chosen: np.ndarray):
@@ -145,17 +147,18 @@ def _paths(docs: DataFrame, anchors: DataFrame, window: int, limit: int) -> Data
             "edges": n.astype(np.int32),
         }
 
-    return _on_anchors(docs, anchors, window, limit, pieces, "anchor long, path long, edges int")
+    return _on_anchors(docs, anchors, window, pieces, "anchor long, path long, edges int")
 
 
-def _edges(docs: DataFrame, anchors: DataFrame, window: int, limit: int) -> DataFrame:
-    """``doc_id, high, low, place`` of single windows."""
+def _edges(docs: DataFrame, anchors: DataFrame, window: int) -> DataFrame:
+    """``doc_id, high, low, place`` of the single windows on ``anchors``."""
 
     def pieces(g: Graph, chosen: np.ndarray):
         high, low = g.edges(chosen, window)
-        return g.at[chosen], {"high": high, "low": low}
+        return g.at[chosen], {"anchor": g.anchor[chosen], "high": high, "low": low}
 
-    return _on_anchors(docs, anchors, window, limit, pieces, "high long, low int")
+    found = _on_anchors(docs, anchors, window, pieces, "anchor long, high long, low int")
+    return found.join(anchors, "anchor", "left_semi").drop("anchor")
 
 
 def _held(df: DataFrame, *keys: str) -> DataFrame:
@@ -165,9 +168,7 @@ def _held(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(*documents, *paths).filter("first_doc < last_doc")
 
 
-def repeated_spans(
-    docs: DataFrame, window: int = WINDOW, later_only: bool = False, limit: int = ANCHOR_LIMIT
-) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, later_only: bool = False) -> DataFrame:
     """``doc_id, tag, start, words, first_doc, last_doc``: the nonbranching repeated paths, at each
     place where they occur; ``later_only`` leaves out the first document of each.
 
@@ -176,11 +177,11 @@ def repeated_spans(
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
     shared = stored(_held(_anchors(docs, window), "anchor").select("anchor"), "anchors")
-    paths = _paths(docs, shared, window, limit)
+    paths = _paths(docs, shared, window)
     held = stored(_held(paths, "anchor"), "paths")
     straight = paths.join(held.filter("low_path = high_path"), "anchor")
     branching = held.filter("low_path <> high_path").select("anchor")
-    edges = _edges(docs, branching, window, limit)
+    edges = _edges(docs, branching, window)
     single = edges.join(_held(edges, "high", "low"), ["high", "low"]).withColumn("edges", F.lit(1))
     columns = ("doc_id", "place", "edges", "first_doc", "last_doc")
     found = straight.select(*columns).union(single.select(*columns))
@@ -211,10 +212,10 @@ def repeated_spans(
     )
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, limit: int = ANCHOR_LIMIT) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` (binary: kept words joined by one space) of every row,
     without the words of windows that a document of smaller ``doc_id`` holds too."""
-    later = repeated_spans(docs, window, later_only=True, limit=limit)
+    later = repeated_spans(docs, window, later_only=True)
     by_doc = later.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "start", "words")).alias("spans"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
