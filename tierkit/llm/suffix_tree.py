@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierkit.llm.shared import held_out, stored
-from tierkit.llm.words import Counter64, Lookup, Words, column, map_slices, mix, runs, slices
+from tierkit.llm.words import Counter64, Lookup, Words, column, map_slices, mix, slices
 
 DEPTH = 6
 CONTEXT_SHARE = 5e-6
@@ -235,10 +235,13 @@ def score(docs: DataFrame, parts: int = 7) -> DataFrame:
             known += np.bincount(doc[at], minlength=rows)
         order = np.lexsort((keys[rest], doc[rest]))
         doc, keys = doc[rest][order], keys[rest][order]
-        start, _ = runs(doc.astype(np.uint64))
         texts = w.spans(w.bounds[:-1], w.bounds[1:])
-        size = np.bincount(doc, minlength=rows)
-        offsets = pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32))
+        # before the words a mark of the text, a word that hardly any text has
+        size = np.bincount(doc, minlength=rows) + 1
+        offsets = np.concatenate(([0], np.cumsum(size)))
+        listed = np.empty(offsets[-1], np.uint64)
+        listed[offsets[:-1]] = mix(texts)
+        listed[np.arange(len(keys)) + doc + 1] = keys
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": part.column("doc_id"),
@@ -247,24 +250,24 @@ def score(docs: DataFrame, parts: int = 7) -> DataFrame:
                 "known": column(known),
                 "base": column(sums),
                 "score": column(model),
-                "words": pa.ListArray.from_arrays(offsets, column(keys)),
+                "words": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), column(listed)),
             }
         )
 
     schema = "doc_id long, copy long, n_tokens long, known long, base double, score double, words array<long>"
     scored = map_slices(docs, work, schema)
-    main = scored.drop("words").groupBy("doc_id", "copy").agg(
-        F.count("*").alias("rows"),
-        *(F.min(c).alias(c) for c in ("n_tokens", "known", "base", "score")),
+    totals = ("n_tokens", "known", "base", "score")
+    listed = scored.select("doc_id", "copy", F.struct(*totals).alias("text"), F.posexplode("words").alias("at", "word"))
+    # the text's own figures travel once, with its mark, so one pass over the texts gives both
+    listed = listed.select("doc_id", "copy", "word", F.when(F.col("at") == 0, F.col("text")).alias("text"))
+    found = listed.join(counts, "word", "left").filter("text IS NOT NULL OR n IS NOT NULL")
+    rare = F.when(F.col("text").isNull(), F.log10(F.col("n") + 1))
+    both = found.groupBy("doc_id", "copy").agg(
+        F.count("text").alias("rows"),
+        *(F.min(f"text.{c}").alias(c) for c in totals),
+        F.count(rare).alias("rare_known"),
+        F.sum(rare).alias("rare_base"),
     )
-    rare = (
-        scored.select("doc_id", "copy", F.explode("words").alias("word"))
-        .join(counts, "word")
-        .groupBy("doc_id", "copy")
-        .agg(F.count("*").alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("rare_base"))
-        .select(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"), "rare_known", "rare_base")
-    )
-    both = main.join(rare, main["doc_id"].eqNullSafe(rare["_doc"]) & (main["copy"] == rare["_copy"]), "left")
     one = lambda c, kind: (F.coalesce(F.col(c), F.lit(0)) / F.col("rows")).cast(kind)
     return both.select(
         "doc_id",
