@@ -83,3 +83,22 @@ def test_reruns_agree(docs, prose):
     frame = docs(*[(i, " ".join(prose(i, 20)), "en", f"s{i % 3}") for i in range(50)])
     first = [r["doc_id"] for r in curriculum.mixed(frame).collect()]
     assert [r["doc_id"] for r in curriculum.mixed(frame.repartition(7)).collect()] == first
+
+
+INSIDE = "n_docs _place _of _rank _stretch _offset _begin _tie _sum _position row".split()
+
+
+def test_columns_of_any_name_are_handed_through(docs):
+    """The names used inside are the user's own; ``plan`` replaces those it adds, ``mixed`` none."""
+    rows = [(i, "w " * (1 + i % 7), "en", f"s{i % 3}") for i in range(60)]
+    frame = docs(*rows, extra=[*INSIDE, *curriculum.ADDED])
+    plain = docs(*rows)
+    planned = curriculum.plan(frame)
+    assert planned.columns == [*plain.columns, *INSIDE, *curriculum.ADDED]
+    some = ("doc_id", *curriculum.ADDED)
+    assert sorted(map(str, planned.select(*some).collect())) == sorted(map(str, curriculum.plan(plain).select(*some).collect()))
+    mixed = curriculum.mixed(frame)
+    assert mixed.columns == frame.columns
+    got = mixed.collect()
+    assert all(r[c] == 2 * r["n_chars"] for r in got for c in (*INSIDE, *curriculum.ADDED))
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in curriculum.mixed(plain).collect()]

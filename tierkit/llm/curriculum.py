@@ -20,8 +20,9 @@ are ordered inside their stretch.
 Defined results: null and empty texts have size 0, and are taken once if their place in the
 queue comes up, which adds nothing; a null source is a source of its own and sorts last; a
 null ``doc_id`` sorts first; rows equal in ``doc_id`` and text are queued as separate rows;
-if all sizes are 0 every target is 0 and nothing is taken; an empty table gives no rows;
-other columns are handed through by ``mixed``.
+if all sizes are 0 every target is 0 and nothing is taken; an empty table gives no rows; other
+columns, whatever their names, are handed through; only those named like a column that
+``plan`` adds are replaced there.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierkit.llm.shared import small_side
+from tierkit.llm.shared import hidden, shown, small_side
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -79,10 +80,19 @@ def _same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
+ADDED = ("_size", "_source_size", "_target", "_copies", "_positions")
+
+
 def plan(docs: DataFrame, tilts: Sequence[float] = TILTS) -> DataFrame:
     """All columns of ``docs`` with ``_size``, ``_source_size``, ``_target``, ``_copies`` and the
     ``_positions`` of the copies in the training order."""
-    sized = docs.withColumn("_size", words_in()).withColumn("_tie", F.xxhash64("text"))
+    return _planned(docs, tilts).select(*shown(docs.columns, ADDED), *ADDED)
+
+
+def _planned(docs: DataFrame, tilts: Sequence[float]) -> DataFrame:
+    """The ``hidden`` columns of each document with ``doc_id`` and the added columns."""
+    own = hidden(docs)
+    sized = docs.select(*own, "doc_id", "source", words_in().alias("_size"), F.xxhash64("text").alias("_tie"))
     goal = small_side(targets(sized.select("source", F.col("_size").alias("size"))).select(
         F.col("source").alias("_of"), F.col("source_size").alias("_source_size"), "n_docs",
         F.col("place").alias("_place"), F.col("target").alias("_target"),
@@ -120,12 +130,11 @@ def plan(docs: DataFrame, tilts: Sequence[float] = TILTS) -> DataFrame:
         return F.when(tilt == 0, done).otherwise((root - (1 - tilt)) / (2 * F.when(tilt != 0, tilt)))
 
     epochs = F.slice(F.lit(list(range(MOST_EPOCHS))), 1, F.col("_copies"))
-    return placed.withColumn("_copies", copies).withColumn("_positions", F.transform(epochs, position)).drop(
-        "_of", "n_docs", "_rank", "_stretch", "_offset", "_begin", "_place", "_tie"
-    )
+    placed = placed.withColumn("_copies", copies).withColumn("_positions", F.transform(epochs, position))
+    return placed.select(*[f"own{i}" for i in range(len(own))], "doc_id", *ADDED)
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(docs: DataFrame, tilts: Sequence[float] = TILTS) -> DataFrame:
     """The training sequence: every taken copy as a row of ``docs``, range-sorted by position."""
-    copies = plan(docs, **options).withColumn("_position", F.explode("_positions"))
-    return copies.orderBy("_position", "doc_id").select(*docs.columns)
+    copies = _planned(docs, tilts).withColumn("_position", F.explode("_positions"))
+    return copies.orderBy("_position", "doc_id").select(*shown(docs.columns))

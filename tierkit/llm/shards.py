@@ -13,8 +13,8 @@ else: their number follows the row count so that a piece keeps about ``PIECE_ROW
 
 Defined results: a null text has size 8, checksum 0, and the key of the empty text; a null
 ``doc_id`` is hashed like a value; repeated rows are records of their own; an empty table
-gives no rows; other columns are handed through by ``assign``, which adds ``_size``, ``_shard``
-and ``_slot``.
+gives no rows; other columns, whatever their names, are handed through; only those named like
+a column that is added are replaced.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierkit.llm.shared import hidden, shown
+
 SHARDS = 24
 RANGES = 64
 OVERFULL = 4
@@ -55,6 +57,12 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def place(records: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``keyed`` records with ``_shard`` and ``_slot``."""
+    placed = _placed(records.select(*hidden(records), "doc_id", "_size", "_crc", "_key"), shards)
+    return placed.select(*shown(records.columns, ("_shard", "_slot")), "_shard", "_slot")
+
+
+def _placed(records: DataFrame, shards: int) -> DataFrame:
+    """``records``, their own columns ``hidden``, with ``_shard`` and ``_slot``."""
     small = records.select("_key", "doc_id", "_size")
     rows, total = small.agg(F.count("*"), F.sum("_size")).first()
     wanted = max(shards * RANGES, rows // PIECE_ROWS)
@@ -82,6 +90,12 @@ def place(records: DataFrame, shards: int = SHARDS) -> DataFrame:
     return placed.withColumn("_slot", F.col("_offset") + number - 1).select(*records.columns, "_shard", "_slot")
 
 
-def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """All columns of ``docs`` with ``_size``, ``_shard`` and ``_slot``."""
-    return place(keyed(docs), shards).drop("_key", "_crc")
+def assign(
+    docs: DataFrame, shards: int = SHARDS, size: str | None = "_size", shard: str = "_shard", slot: str = "_slot"
+) -> DataFrame:
+    """All columns of ``docs`` with the record's size (None: not given), shard and slot under these names."""
+    records = keyed(docs.select(*hidden(docs), "doc_id", "text")).drop("text")
+    placed = _placed(records, shards)
+    names = {"_size": size, "_shard": shard, "_slot": slot}
+    added = {c: name for c, name in names.items() if name is not None}
+    return placed.select(*shown(docs.columns, added.values()), *(F.col(c).alias(n) for c, n in added.items()))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierkit.functions._columns import quoted
 from tierkit.session import shared_dir
 
 
@@ -19,6 +21,17 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hidden(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` under names that no operator uses inside."""
+    return [F.col(quoted(c)).alias(f"own{i}") for i, c in enumerate(df.columns)]
+
+
+def shown(columns: list[str], added: Iterable[str] = ()) -> list[Column]:
+    """The ``hidden`` columns under their own names, less those that ``added`` ones of the same name replace."""
+    taken = {a.lower() for a in added}
+    return [F.col(f"own{i}").alias(c) for i, c in enumerate(columns) if c.lower() not in taken]
+
+
 def held_out(parts: int, doc_id: str = "doc_id") -> Column:
     """Whether crc32 of the ``doc_id`` as text leaves 2 by ``parts``."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
