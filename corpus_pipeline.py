@@ -31,7 +31,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shards.assign(docs).drop("_size").withColumnsRenamed({"_shard": "shard", "_slot": "slot"})
+    """Adds ``shard`` and ``slot``, in place of columns of these names."""
+    return shards.assign(docs, size=None, shard="shard", slot="slot")
 
 
 STAGES = [
