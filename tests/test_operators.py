@@ -251,3 +251,8 @@ class TestProfile:
         assert normalize_columns(df).columns == ["_1st_one", "max_price_eur"]
         with pytest.raises(ValueError):
             normalize_columns(table("`a b` int, `a-b` int", (1, 2)))
+
+
+def test_deduplicate_keeps_a_column_named_rank(table, rows):
+    df = table("k int, _rank int, _RANK_ int", (1, 7, 3), (1, 5, 4), (2, 9, 5))
+    assert rows(deduplicate(df, ["k"], [F.asc("_rank")])) == [(1, 5, 4), (2, 9, 5)]

@@ -1,3 +1,4 @@
+import datetime
 import os
 import uuid
 
@@ -30,7 +31,16 @@ from tierkit.sources import (
 )
 from tierkit.sources.layers import clean_versions, run_concurrently, table_location
 from tierkit.sources import extract
-from tierkit.sources.extract import bounds_query, choose_column, read_options, split_column_query, table_list_query
+from tierkit.sources.extract import (
+    balanced,
+    bounds_query,
+    choose_column,
+    literal,
+    read_options,
+    split_column_query,
+    starts_query,
+    table_list_query,
+)
 
 
 @pytest.fixture
@@ -321,3 +331,35 @@ class TestSharedDir:
 
         with pytest.raises(ValueError):
             shared_dir(Session())
+
+
+class TestBalancedSplit:
+    SOURCE = JdbcSource("jdbc:mysql://db/shop", "shop")
+
+    def test_question_for_the_starts(self):
+        sql = starts_query(self.SOURCE, "sales", "order", "id", 4)
+        assert sql == (
+            "SELECT share, MIN(`id`) AS start_value FROM (SELECT `id`, NTILE(4) OVER (ORDER BY `id`) AS share "
+            "FROM `sales`.`order` WHERE `id` IS NOT NULL) s GROUP BY share"
+        )
+
+    @pytest.mark.parametrize("shares", [1, 3, 8])
+    def test_every_row_is_read_once(self, spark, shares):
+        """Keys with a wide gap, a third of the rows with one key, NULLs, and rows that came later."""
+        rows = spark.range(900).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 500 WHEN id < 450 THEN id ELSE id + 1000000000 END AS `a key`"
+        ).union(spark.sql("SELECT CAST(NULL AS BIGINT) UNION ALL SELECT -5L"))
+        known = rows.filter("`a key` >= 0").selectExpr("*", f"ntile({shares}) OVER (ORDER BY `a key`) AS share")
+        starts = [r[0] for r in known.groupBy("share").agg({"a key": "min"}).select("min(a key)").collect()]
+        split = balanced("a key", starts)
+        parts = [rows.filter(p).count() for p in split.predicates(self.SOURCE.dialect)]
+        assert sum(parts) == 902 and len(parts) == split.partitions <= shares
+        assert max(parts) < 302 + 2 * 900 / shares
+
+    def test_starts_as_sql(self):
+        day, moment = datetime.date(2024, 2, 29), datetime.datetime(2024, 2, 29, 1, 2, 3)
+        assert balanced("d", [moment, None]).predicates(self.SOURCE.dialect) == ["1 = 1"]
+        assert [literal(v) for v in (7, day, moment, "O'Neil")] == ["7", "'2024-02-29'", "'2024-02-29 01:02:03'", "'O''Neil'"]
+        first, last = balanced("d", [day, datetime.date(2024, 3, 1)]).predicates(self.SOURCE.dialect)
+        assert last == "`d` >= '2024-03-01'" and first.startswith("(`d` < '2024-02-29' OR `d` IS NULL OR")
+        assert balanced("d", []) is None

@@ -95,7 +95,10 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
     """
     order = [F.asc_nulls_last(o) if isinstance(o, str) else o for o in order_by]
     rank = F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    name = "_rank"
+    while name in (c.lower() for c in df.columns):  # a column of the table's own
+        name += "_"
+    return df.withColumn(name, rank).filter(F.col(name) == 1).drop(name)
 
 
 COMPARISONS: dict[str, Callable[[Column, Column], Column]] = {

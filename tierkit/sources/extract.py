@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -73,13 +74,14 @@ class JdbcSource:
 
 @dataclass(frozen=True)
 class Split:
-    """How to cut one table into parallel reads: by ranges of a column between its bounds, or,
-    without bounds, by the hash of a column."""
+    """How to cut one table into parallel reads: by equally wide ranges of a column between its
+    bounds, by the ranges that begin at ``starts``, or, without either, by the hash of a column."""
 
     column: str
     lower: object
     upper: object
     partitions: int
+    starts: tuple = ()
 
     def options(self, dialect: Dialect = STANDARD) -> dict[str, str]:
         return {
@@ -92,6 +94,12 @@ class Split:
     def predicates(self, dialect: Dialect) -> list[str]:
         """One condition a partition; together they take every row once, those with NULL first."""
         column = dialect.quote(self.column)
+        if self.starts:
+            marks = [literal(s) for s in self.starts]
+            ranges = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(marks, marks[1:])]
+            # rows that came after the question, below the first start, belong to the first part
+            below = f"{column} < {marks[0]} OR {column} IS NULL"
+            return [f"({below} OR {ranges[0]})" if ranges else "1 = 1", *ranges[1:], *([f"{column} >= {marks[-1]}"] if ranges else [])]
         share = dialect.remainder.format(column=column, n=self.partitions)
         first = f"({share} = 0 OR {column} IS NULL)"
         return [first, *(f"{share} = {k}" for k in range(1, self.partitions))]
@@ -126,6 +134,33 @@ def bounds_query(source: JdbcSource, schema: str, table: str, column: str) -> st
     return f"SELECT MIN({name}) AS lower_bound, MAX({name}) AS upper_bound FROM {source.table(schema, table)}"
 
 
+def literal(value: object) -> str:
+    """A value that the database gave, as SQL text."""
+    if isinstance(value, datetime.datetime):
+        return f"'{value.isoformat(sep=' ')}'"
+    if isinstance(value, datetime.date):
+        return f"'{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def starts_query(source: JdbcSource, schema: str, table: str, column: str, partitions: int) -> str:
+    """SQL for the least value of each of ``partitions`` equal shares of the rows, in order."""
+    name = source.dialect.quote(column)
+    return (
+        f"SELECT share, MIN({name}) AS start_value FROM (SELECT {name}, NTILE({partitions}) OVER (ORDER BY {name}) AS share "
+        f"FROM {source.table(schema, table)} WHERE {name} IS NOT NULL) s GROUP BY share"
+    )
+
+
+def balanced(column: str, starts: Sequence[object]) -> Split | None:
+    """A cut into ranges of about equal numbers of rows from the starts of equal shares; a value that
+    begins several shares has one range of its own and what follows it. None without starts."""
+    distinct = sorted({s for s in starts if s is not None})
+    return Split(column, None, None, len(distinct), tuple(distinct)) if distinct else None
+
+
 def read_options(
     source: JdbcSource, spark: SparkSession, schema: str, table: str, split: Split | None
 ) -> dict[str, str]:
@@ -161,6 +196,17 @@ def find_split(
     return None if low is None else Split(column, low, high, partitions)
 
 
+def find_balanced_split(
+    spark: SparkSession, source: JdbcSource, schema: str, table: str, column: str, ranges: bool, partitions: int
+) -> Split | None:
+    """Like ``find_split`` with ranges of equal numbers of rows, for which the database sorts the column once."""
+    if not ranges:
+        return find_split(spark, source, schema, table, column, ranges, partitions)
+    query = starts_query(source, schema, table, column, partitions)
+    rows = spark.read.format("jdbc").options(**source.options(spark), query=query).load().collect()
+    return balanced(column, [r["start_value"] for r in rows])
+
+
 def read_table(
     spark: SparkSession, source: JdbcSource, schema: str, table: str, split: Split | None = None
 ) -> DataFrame:
@@ -178,12 +224,14 @@ def extract_database(
     split_columns: dict[str, str] | None = None,
     partitions: int | None = None,
     threads: int = 4,
+    by_rows: bool = False,
 ) -> list[tuple[str, str]]:
     """Land every base table under ``root``; rows stream from database to Parquet on executors.
 
     A table is read in parallel by ranges of its leading key column, or of the one that
     ``split_columns`` names for ``schema.table``; by the hash of a column of another type. By default
-    there are as many parts as the session has cores. Returns the (schema, table) pairs written.
+    there are as many parts as the session has cores. Ranges are equally wide, or with ``by_rows``
+    hold equal numbers of rows, which keys with gaps need. Returns the (schema, table) pairs written.
     """
     partitions = partitions or spark.sparkContext.defaultParallelism
     listed: dict[str, list[tuple[str, str, int]]] = {}
@@ -194,7 +242,8 @@ def extract_database(
 
     def land(schema: str, table: str) -> None:
         chosen = columns.get(f"{schema}.{table}")
-        split = find_split(spark, source, schema, table, *chosen, partitions) if chosen else None
+        find = find_balanced_split if by_rows else find_split
+        split = find(spark, source, schema, table, *chosen, partitions) if chosen else None
         rows = coerce_bronze(read_table(spark, source, schema, table, split))
         write_layer(rows, bronze_path(root, source.database, schema, table))
 
