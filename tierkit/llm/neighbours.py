@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierkit.llm.shared import stored
 from tierkit.llm.words import Words, column, map_slices, mix
 
 LEARN = 2048
@@ -117,11 +118,15 @@ def _sampled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     more and as many below; ``n`` rows of all labelled texts stand behind each."""
     hashed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
     known = labels.filter("doc_id IS NOT NULL").join(hashed, "doc_id")
-    texts = known.groupBy("hash").agg(F.avg("label").alias("label"))
-    kind = F.col("label") >= 0.5
-    order = Window.partitionBy(kind).orderBy(F.xxhash64("hash", F.lit(11)), "hash")
-    few = texts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
+    texts = stored(known.groupBy("hash").agg(F.avg("label").alias("label")), "labelled")
+    kind, number = F.col("label") >= 0.5, F.pmod(F.xxhash64("hash", F.lit(11)), F.lit(1 << 40))
     sizes = texts.groupBy(kind.alias("kind")).agg(F.count("*").alias("of"))
+    # four times as many as wanted, and some more, lie below this bound but for chance
+    bound = F.lit(0)
+    for row in sizes.collect():  # two rows
+        bound = F.when(kind == row["kind"], F.lit(min((4 * most + 64) * (1 << 40) // row["of"], 1 << 40))).otherwise(bound)
+    order = Window.partitionBy(kind).orderBy(number, "hash")
+    few = texts.filter(number < bound).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
     few = few.join(F.broadcast(sizes), F.col("kind") == kind)  # two rows
     return few.select("hash", "label", (F.col("of") / F.least(F.col("of"), F.lit(most))).alias("n"))
 
