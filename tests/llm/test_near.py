@@ -57,7 +57,7 @@ def test_components(docs, prose, size):
 def test_chains_join_and_large_nodes_are_finished(docs, prose, monkeypatch):
     """A chain of drifting texts is one component, also when no node counts as small."""
     monkeypatch.setattr(near, "SMALL_NODE", 4)
-    monkeypatch.setattr(near, "DEPTH", 2)
+    monkeypatch.setattr(near, "BLOCK", 3)
     rng, words, rows = random.Random(1), prose(3, 200), []
     for _ in range(25):
         words = edited(words, 2, rng)
@@ -67,9 +67,9 @@ def test_chains_join_and_large_nodes_are_finished(docs, prose, monkeypatch):
 
 
 def test_pairs_inside_large_nodes_are_found(docs, monkeypatch):
-    """Pairs at 0.8 in a family at 0.77, whose nodes branch far beyond the depth of the first trees."""
+    """Pairs at 0.8 in a family at 0.77, whose nodes stay large at every level."""
     monkeypatch.setattr(near, "SMALL_NODE", 4)
-    monkeypatch.setattr(near, "DEPTH", 8)
+    monkeypatch.setattr(near, "BLOCK", 16)
     some = lambda stem, n: [f"{stem}x{j}" for j in range(n)]
     core, rows = some("core", 172), []
     for pair in range(80):
@@ -77,16 +77,40 @@ def test_pairs_inside_large_nodes_are_found(docs, monkeypatch):
         rows += [" ".join([*core, *own, *some(f"{side}{pair}", 22)]) for side in "ab"]
     got = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(docs(*rows), 1, recall=0.95).collect()}
     lost = [i for i in range(0, 160, 2) if (got[i], got[i + 1]) != (i, i)]
-    assert len(lost) <= 4  # 5 %; 23 before there were further trees
-
-
-def test_further_trees_keep_the_recall_at_every_depth():
-    first = near.trees_for(0.999, 0.8)
-    assert near.more_trees(0.999, 0.8, near.SIZED) == 0
-    for depth in range(near.SIZED + 1, near.DEPTH + 2):
-        part = 1 - near._meet(depth)
-        early = (1 - near._meet(near.SIZED)) ** first
-        assert part**first > 0.001 >= early + (part**first - early) * part ** near.more_trees(0.999, 0.8, depth)
+    assert len(lost) <= 4  # 5 %
+
+
+def test_a_family_below_the_similarity_costs_no_comparison(docs, monkeypatch):
+    """150 texts at 0.79 of each other, two of them linked: the shingles of their own rule out the rest."""
+    made, exhaustive = [], near._exhaustive
+    monkeypatch.setattr(near, "SMALL_NODE", 8)
+    monkeypatch.setattr(near, "_exhaustive", lambda *a: made.append(exhaustive(*a)) or made[-1])
+    core, rows = [f"core{j}" for j in range(154)], []
+    rows = [" ".join([*core, *(f"own{i}x{j}" for j in range(21))]) for i in range(150)]
+    rows.append(rows[3].replace("own3x7", "other"))
+    got = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(docs(*rows), 1).collect()}
+    assert got == {**{i: i for i in range(150)}, 150: 3}
+    assert made[0].distinct().count() <= 1
+
+
+def test_members_that_shingles_rule_out_have_no_link(docs, prose, spark):
+    rng = random.Random(8)
+    base = prose(4, 120)
+    rows = [" ".join(edited(base, rng.randrange(12), rng)[: rng.choice([95, 110, 120])]) for _ in range(60)]
+    sets = [shingles(t, 3) for t in rows]
+    texts = spark.createDataFrame(list(enumerate(rows)), "rep long, text string")
+    own = {r["rep"]: r["own"] for r in near._own_shingles(near.packed(texts), 3).collect()}
+    alone = [len([x for x in s if sum(x in t for t in sets) == 1]) for s in sets]
+    assert own == {i: n for i, n in enumerate(alone) if n}
+    members = spark.createDataFrame(
+        [(node, i, i, len(sets[i]), alone[i]) for node, ids in enumerate([range(60), range(0, 60, 2), [7], [4, 5]]) for i in ids],
+        "node long, rep long, label long, n long, own long",
+    )
+    kept = {(r["node"], r["rep"]) for r in near._possible(members, 0.8).collect()}
+    near_ids = {(i, j) for i in range(60) for j in range(60) if i != j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert near_ids and {(0, i) for i, _ in near_ids} <= kept
+    assert {(1, i) for i, j in near_ids if i % 2 == j % 2 == 0} <= kept
+    assert len({i for node, i in kept if node == 0}) < 60
 
 
 def test_rows_without_or_with_the_same_id(docs, prose):

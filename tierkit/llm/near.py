@@ -7,11 +7,16 @@ with a known chance; independent trees bring the chance of missing a link below
 ``1 - recall``. Nodes with one member end. At the depths in ``STARS`` members are compared with
 their node's leader, which is linear, and nodes that are one component by then end, too: a
 dense group of copies, which no branching would ever part, so costs as much as it has
-members. Of the rest, small nodes are compared exhaustively and large ones branch again;
-what is still large at ``DEPTH`` is compared exhaustively in blocks. The trees are enough for
-nodes that end within ``SIZED`` levels; the members of larger ones get further trees, as many
-as the depth takes at which the last node ended, so that the chance to miss a link does
-not depend on the size of a node. No pair is compared twice. Candidates whose tokens agree too rarely are dropped at ``DEVIATIONS`` standard
+members. Of the rest, large nodes branch ``LEVELS`` times in all, and the number of trees is
+sized for that depth, so the chance to miss a link does not depend on the size of a node. Then
+every node is compared exhaustively, but for pairs that can't be links: those of one
+component, and those that shingles of their own rule out. A shingle that only one member of
+all open nodes has is in none of the others, so a document of ``n`` shingles with ``own`` such
+ones shares ``n - own`` at most, and has no link beyond a size that follows from it. In a group
+of edited copies of one text that bound is the similarity itself: those nearer than the
+threshold are one component by the stars, and the others leave the node. A large node is dealt
+out as the members of its most frequent component against the rest, in blocks. No pair is
+compared twice. Candidates whose tokens agree too rarely are dropped at ``DEVIATIONS`` standard
 deviations; every other candidate is confirmed on the full sets.
 
 Documents with equal sets are one class from the start, so a group of exact copies is one
@@ -41,9 +46,9 @@ from tierkit.llm.words import Words, column, map_slices, mix, packed, runs, unpa
 
 TOKENS = 128
 SMALL_NODE = 48
-DEPTH = 12
-SIZED = 3
-STARS = (0, 0, 4, 8)
+BLOCK = 256
+LEVELS = 3
+STARS = (0, 0, 1, 2)
 DEVIATIONS = 3.5
 FEW_TEXTS = 200_000
 _ODD = (mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
@@ -204,21 +209,69 @@ def _star(members: DataFrame) -> DataFrame:
     )
 
 
-def _exhaustive(members: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
-    """Candidate pairs of different components in each group, by its members' tokens.
+def _own_shingles(texts: DataFrame, shingle: int) -> DataFrame:
+    """``rep, own``: the shingles of each text that no other of ``texts`` has; texts without one are left out."""
 
-    A group is a small node, or a pair of blocks of a node that never got small, so none has
-    more than ``2 * SMALL_NODE`` members by expectation and no task holds a node.
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        doc, keys, _ = shingle_sets(unpacked_array(part.column("text")), shingle)
+        return pa.RecordBatch.from_pydict({"rep": part.column("rep").take(pa.array(doc)), "key": column(keys)})
+
+    keys = map_slices(texts.select("rep", "text"), work, "rep long, key long")
+    once = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).filter("n = 1")
+    return once.groupBy("rep").agg(F.count("*").alias("own"))
+
+
+def _possible(members: DataFrame, similarity: float) -> DataFrame:
+    """The members of ``node, rep, label, n, own`` that a link inside their node may still have, in
+    nodes of several components.
+
+    Of two linked members the smaller one reaches its own size at least (``home``), so a member
+    that does not is kept only where a home is within its reach.
     """
-    blocks = F.ceil(F.col("size") / SMALL_NODE)
-    block = F.pmod(F.xxhash64("rep"), blocks)
-    sides = F.transform(
-        F.sequence(F.lit(0).cast("long"), blocks - 1),
-        lambda k: F.struct(F.least(block, k).alias("i"), F.greatest(block, k).alias("j")),
+    percent = int(round(similarity * 100))
+    # shared * (100 + percent) >= percent * (n + other) has to hold for n - own shared ones
+    members = members.withColumn("reach", F.floor((F.col("n") - F.col("own")) * (100 + percent) / percent) - F.col("n"))
+    home = F.col("reach") >= F.col("n")
+    homes = members.filter(home).groupBy("node").agg(F.min("n").alias("least"))
+    return members.join(homes, "node").filter(home | (F.col("reach") >= F.col("least"))).drop("reach", "least")
+
+
+def _sized(members: DataFrame) -> DataFrame:
+    """The members with their node's ``size``, and how many are of its most frequent component, ``top``."""
+    counts = members.groupBy("node", "label").agg(F.count("*").alias("same"))
+    nodes = counts.groupBy("node").agg(F.sum("same").alias("size"), F.max(F.struct("same", "label")).alias("most"))
+    nodes = nodes.filter(F.col("size") > F.col("most.same"))
+    nodes = nodes.select("node", "size", F.col("most.same").alias("same"), F.col("most.label").alias("most"))
+    return members.join(nodes, "node").withColumn("top", F.col("label") == F.col("most")).drop("most")
+
+
+def _exhaustive(members: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs of different components in each node, by its members' tokens.
+
+    A small node is one group. A large one is dealt out in blocks: the members of the most
+    frequent component against the others, and these among themselves, so no group has more
+    than ``2 * BLOCK`` members by expectation, no task holds a node, and a node with few other
+    members costs as much as it has members.
+    """
+    small = F.col("size") <= SMALL_NODE
+    tops, others = F.ceil(F.col("same") / BLOCK), F.ceil((F.col("size") - F.col("same")) / BLOCK)
+    block = F.pmod(F.xxhash64("rep"), F.when(small, 1).when(F.col("top"), tops).otherwise(others))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    group = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    sides = (
+        F.when(small, F.array(group(0, block, block)))
+        .when(F.col("top"), F.transform(upto(others), lambda k: group(1, block, k)))
+        .otherwise(
+            F.concat(
+                F.transform(upto(tops), lambda k: group(1, k, block)),
+                F.transform(upto(others), lambda k: group(2, F.least(block, k), F.greatest(block, k))),
+            )
+        )
     )
-    dealt = members.select("node", "rep", "label", block.alias("block"), F.explode(sides).alias("s"))
-    full = dealt.select("node", "s.i", "s.j", "rep", "label", "block").join(reps, "rep")
-    groups = full.groupBy("node", "i", "j").agg(F.collect_list(F.struct("rep", "label", "block", "n", "sketch")).alias("m"))
+    dealt = members.select("node", "rep", "label", "n", "own", "top", block.alias("block"), F.explode(sides).alias("s"))
+    full = dealt.select("node", "s.kind", "s.i", "s.j", "rep", "label", "n", "own", "top", "block").join(sketches, "rep")
+    row = F.struct("rep", "label", "n", "own", "top", "block", "sketch")
+    groups = full.groupBy("node", "kind", "i", "j").agg(F.collect_list(row).alias("m"))
     least, percent = _least(similarity), int(round(similarity * 100))
 
     def work(batches):
@@ -226,25 +279,34 @@ def _exhaustive(members: DataFrame, reps: DataFrame, similarity: float) -> DataF
             m = part.column("m")
             bounds = m.offsets.to_numpy()
             flat = m.values
-            rep, label, block, n = (flat.field(c).to_numpy() for c in ("rep", "label", "block", "n"))
+            rep, label, n, own, block = (flat.field(c).to_numpy() for c in ("rep", "label", "n", "own", "block"))
+            top = flat.field("top").to_numpy(zero_copy_only=False)
             tokens = _tokens(flat.field("sketch"))
-            alone = np.array(part.column("i")) == np.array(part.column("j"))
+            kind, alone = np.array(part.column("kind")), np.array(part.column("i")) == np.array(part.column("j"))
             left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for g in range(part.num_rows):
-                own = np.arange(bounds[g], bounds[g + 1])
-                a, b = (own[x] for x in np.triu_indices(len(own), 1))
+                mine = np.arange(bounds[g], bounds[g + 1])
+                if kind[g] == 1:
+                    one, two = mine[top[mine]], mine[~top[mine]]
+                    a, b = np.repeat(one, len(two)), np.tile(two, len(one))
+                else:
+                    a, b = (mine[x] for x in np.triu_indices(len(mine), 1))
                 some = label[a] != label[b]
+                if kind[g] == 2 and not alone[g]:
+                    some &= block[a] != block[b]
+                shared = np.minimum(n[a] - own[a], n[b] - own[b])
+                some &= 100 * shared >= percent * (n[a] + n[b] - shared)
                 some &= 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
-                some &= alone[g] | (block[a] != block[b])
                 a, b = a[some], b[some]
-                if len(a):
-                    near = (tokens[a] == tokens[b]).mean(axis=1) >= least
-                    left.append(rep[a[near]])
-                    right.append(rep[b[near]])
+                for at in range(0, len(a), 1 << 14):
+                    x, y = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
+                    near = (tokens[x] == tokens[y]).mean(axis=1) >= least
+                    left.append(rep[x[near]])
+                    right.append(rep[y[near]])
             a, b = np.concatenate(left), np.concatenate(right)
             yield pa.RecordBatch.from_pydict({"a": column(np.minimum(a, b)), "b": column(np.maximum(a, b))})
 
-    return groups.drop("node").mapInArrow(work, "a long, b long")
+    return groups.select("kind", "i", "j", "m").mapInArrow(work, "a long, b long")
 
 
 def _meet(depth: int) -> float:
@@ -255,22 +317,11 @@ def _meet(depth: int) -> float:
     return meet
 
 
-def trees_for(recall: float, similarity: float, depth: int = SIZED) -> int:
+def trees_for(recall: float, similarity: float, depth: int = LEVELS) -> int:
     """Trees so that a pair at exactly ``similarity`` shares a node of ``depth`` in one of them."""
     return math.ceil(math.log(1 - recall) / math.log(1 - _meet(depth)))
 
 
-def more_trees(recall: float, similarity: float, depth: int) -> int:
-    """Further trees for pairs that the first ones brought to large nodes: with those the chance
-    to part in all trees, of ``SIZED`` levels or of ``depth``, is at most ``1 - recall``."""
-    first = trees_for(recall, similarity)
-    early, late = (1 - _meet(SIZED)) ** first, (1 - _meet(depth)) ** first
-    if late <= 1 - recall:
-        return 0
-    room = max(1 - recall - early, (1 - recall) / 100)  # what rounding up the first trees has left, if not nothing
-    return max(math.ceil(math.log(room / (late - early)) / math.log(1 - _meet(depth))), 0)
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document: its component under links
     of at least ``similarity``, named by the least ``doc_id``, which is the one kept."""
@@ -284,17 +335,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     classes = stored(classes, "classes")
     reps = classes.select("rep", "n", "sketch")
 
-    first = trees_for(recall, similarity)
-
-    def grown(of: DataFrame, numbers: range) -> DataFrame:
-        """``node, rep`` of the nodes of the first level with more than one member."""
-        roots = mix(np.array(numbers, np.uint64)).view(np.int64).tolist()
-        trees = of.select(F.explode(F.lit(roots)).alias("node"), "rep", "tokens")
-        level = _branch(trees, similarity).select("node", "rep")
-        shared = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
-        return stored(level.join(shared, "node"), "members")
-
-    members = grown(classes, range(1, first + 1))
+    roots = mix(np.arange(1, trees_for(recall, similarity) + 1, dtype=np.uint64)).view(np.int64).tolist()
+    trees = classes.select(F.explode(F.lit(roots)).alias("node"), "rep", "tokens")
+    level = _branch(trees, similarity).select("node", "rep")
+    shared = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
+    members = stored(level.join(shared, "node"), "members")
     involved = members.select("rep").distinct()
     texts = packed(docs.select(F.col("doc_id").cast("long").alias("rep"), "text")).join(involved, "rep", "left_semi")
     texts = stored(texts.groupBy("rep").agg(F.min("text").alias("text")), "texts")
@@ -313,33 +358,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             labels = components(reduce(DataFrame.union, [found, *links]))
             links[:] = [labels.select(F.col("node").alias("a"), F.col("label").alias("b"))]
 
-    def descend(members: DataFrame, stars: tuple, most: int) -> tuple[int, DataFrame | None]:
-        """Compares the members of all nodes; gives the depth at which the last node ended, and the
-        members of those that branched beyond ``SIZED`` levels."""
-        small, deep = [], None
-        for depth in range(most + 1):
-            for turn in range(stars.count(depth)):
-                compare(_candidates(_star(_labelled(members, labels, turn)).distinct(), reps, similarity))
-            still = stored(_labelled(members, labels, depth), "open").select("node", "rep", "label", "size")
-            large = still.filter(F.col("size") > SMALL_NODE)
-            if depth == most or large.isEmpty():
-                small.append(still)
-                break
-            small.append(still.filter(F.col("size") <= SMALL_NODE))
-            if depth + 1 == SIZED:
-                deep = stored(large.select("rep").distinct(), "deep")
-            known = reps.select("rep", F.col("sketch").alias("tokens"))
-            deeper = _branch(large.select("node", "rep").join(known, "rep").select("node", "rep", "tokens"), similarity)
-            members = stored(deeper.select("node", "rep"), "members")
-        compare(_exhaustive(reduce(DataFrame.union, small), reps, similarity))
-        return depth, deep
-
-    # nodes of the first level are at depth 0
-    depth, deep = descend(members, STARS, DEPTH)
-    more = more_trees(recall, similarity, depth + 1) if deep is not None else 0
-    if more:
-        again = classes.join(deep, "rep", "left_semi")
-        descend(grown(again, range(first + 1, first + more + 1)), (), depth)
+    left = []
+    for depth in range(LEVELS):  # nodes of the first level are at depth 0
+        for turn in range(STARS.count(depth)):
+            compare(_candidates(_star(_labelled(members, labels, turn)).distinct(), reps, similarity))
+        still = stored(_labelled(members, labels, depth), "open").select("node", "rep", "size")
+        large = still.filter(F.col("size") > SMALL_NODE)
+        if depth + 1 == LEVELS or large.isEmpty():
+            left.append(still)
+            break
+        left.append(still.filter(F.col("size") <= SMALL_NODE))
+        known = reps.select("rep", F.col("sketch").alias("tokens"))
+        deeper = _branch(large.select("node", "rep").join(known, "rep").select("node", "rep", "tokens"), similarity)
+        members = stored(deeper.select("node", "rep"), "members")
+
+    # links found at a depth end nodes of the depths before, too
+    still = stored(_labelled(reduce(DataFrame.union, left).select("node", "rep"), labels, LEVELS).select("node", "rep", "label"), "left")
+    own = _own_shingles(texts.join(still.select("rep").distinct(), "rep", "left_semi"), shingle)
+    numbers = stored(reps.select("rep", "n").join(own, "rep", "left").fillna(0, ["own"]), "own")
+    possible = _possible(still.join(numbers, "rep"), similarity)
+    compare(_exhaustive(stored(_sized(possible), "possible"), reps.select("rep", "sketch"), similarity))
 
     sets = classes.select("set_a", "set_b", "rep")
     if labels is not None:
