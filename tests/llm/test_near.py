@@ -85,12 +85,12 @@ def test_a_family_below_the_similarity_costs_no_comparison(docs, monkeypatch):
     made, exhaustive = [], near._exhaustive
     monkeypatch.setattr(near, "SMALL_NODE", 8)
     monkeypatch.setattr(near, "_exhaustive", lambda *a: made.append(exhaustive(*a)) or made[-1])
-    core, rows = [f"core{j}" for j in range(154)], []
+    core = [f"core{j}" for j in range(154)]
     rows = [" ".join([*core, *(f"own{i}x{j}" for j in range(21))]) for i in range(150)]
     rows.append(rows[3].replace("own3x7", "other"))
     got = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(docs(*rows), 1).collect()}
     assert got == {**{i: i for i in range(150)}, 150: 3}
-    assert made[0].distinct().count() <= 1
+    assert len(made) == 2 and all(m.distinct().count() <= 1 for m in made)
 
 
 def test_members_that_shingles_rule_out_have_no_link(docs, prose, spark):
@@ -98,7 +98,7 @@ def test_members_that_shingles_rule_out_have_no_link(docs, prose, spark):
     base = prose(4, 120)
     rows = [" ".join(edited(base, rng.randrange(12), rng)[: rng.choice([95, 110, 120])]) for _ in range(60)]
     sets = [shingles(t, 3) for t in rows]
-    texts = spark.createDataFrame(list(enumerate(rows)), "rep long, text string")
+    texts = spark.createDataFrame([(i, i, len(sets[i]), t) for i, t in enumerate(rows)], "rep long, label long, n long, text string")
     own = {r["rep"]: r["own"] for r in near._own_shingles(near.packed(texts), 3).collect()}
     alone = [len([x for x in s if sum(x in t for t in sets) == 1]) for s in sets]
     assert own == {i: n for i, n in enumerate(alone) if n}
@@ -129,3 +129,14 @@ def test_empty_table(docs):
 
 def test_more_recall_takes_more_trees():
     assert near.trees_for(0.9, 0.8) < near.trees_for(0.999, 0.8)
+
+
+def test_pairs_that_meet_in_rare_shingles(docs, spark, monkeypatch):
+    """Rare shingles give their pairs; for all others they count as a document's own."""
+    monkeypatch.setattr(near, "RARE", 2)
+    rows = [(1, 1, "a b c d"), (2, 2, "a b c e"), (3, 3, "a b f e"), (4, 4, "a g"), (5, 4, "a g h")]
+    texts = spark.createDataFrame([(r, label, len(t.split()), t) for r, label, t in rows], "rep long, label long, n long, text string")
+    pairs, own = near._rare_shingles(near.packed(texts), 1)
+    # a and b are in more than two texts; c, e in two of different components; g in two of one
+    assert {tuple(r) for r in pairs.collect()} == {(1, 2), (2, 3)}
+    assert {tuple(r) for r in own.collect()} == {(1, 2), (2, 2), (3, 2), (4, 1), (5, 2)}

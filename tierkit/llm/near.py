@@ -10,9 +10,11 @@ dense group of copies, which no branching would ever part, so costs as much as i
 members. Of the rest, large nodes branch ``LEVELS`` times in all, and the number of trees is
 sized for that depth, so the chance to miss a link does not depend on the size of a node. Then
 every node is compared exhaustively, but for pairs that can't be links: those of one
-component, and those that shingles of their own rule out. A shingle that only one member of
-all open nodes has is in none of the others, so a document of ``n`` shingles with ``own`` such
-ones shares ``n - own`` at most, and has no link beyond a size that follows from it. In a group
+component, and those that their shingles rule out. A shingle that only one component of
+all open nodes has is shared by no such pair, so a document of ``n`` shingles with ``own`` such
+ones shares ``n - own`` at most, and has no link beyond a size that follows from it. Among the
+documents that this leaves, pairs that meet in a rare shingle (at most ``RARE`` of them have it)
+are made from those shingles; for all other pairs the rare ones count as ``own``, too. In a group
 of edited copies of one text that bound is the similarity itself: those nearer than the
 threshold are one component by the stars, and the others leave the node. A large node is dealt
 out as the members of its most frequent component against the rest, in blocks. No pair is
@@ -47,6 +49,7 @@ from tierkit.llm.words import Words, column, map_slices, mix, packed, runs, unpa
 TOKENS = 128
 SMALL_NODE = 48
 BLOCK = 256
+RARE = 24
 LEVELS = 3
 STARS = (0, 0, 1, 2)
 DEVIATIONS = 3.5
@@ -209,16 +212,41 @@ def _star(members: DataFrame) -> DataFrame:
     )
 
 
-def _own_shingles(texts: DataFrame, shingle: int) -> DataFrame:
-    """``rep, own``: the shingles of each text that no other of ``texts`` has; texts without one are left out."""
+def _postings(texts: DataFrame, shingle: int) -> DataFrame:
+    """``rep, label, key`` of the distinct shingles of ``texts``."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         doc, keys, _ = shingle_sets(unpacked_array(part.column("text")), shingle)
-        return pa.RecordBatch.from_pydict({"rep": part.column("rep").take(pa.array(doc)), "key": column(keys)})
+        rep, label = (part.column(c).take(pa.array(doc)) for c in ("rep", "label"))
+        return pa.RecordBatch.from_pydict({"rep": rep, "label": label, "key": column(keys)})
+
+    return map_slices(texts.select("rep", "label", "text"), work, "rep long, label long, key long")
 
-    keys = map_slices(texts.select("rep", "text"), work, "rep long, key long")
-    once = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).filter("n = 1")
-    return once.groupBy("rep").agg(F.count("*").alias("own"))
+
+def _own_shingles(texts: DataFrame, shingle: int) -> DataFrame:
+    """``rep, own``: the shingles of each of ``texts(rep, label, text)`` that no other component
+    has; those without one are left out."""
+    postings = _postings(texts, shingle)
+    shared = postings.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    # a component's shingle goes to all its members, so those are counted by what is left of them
+    lost = postings.join(shared.select("key"), "key").groupBy("rep").agg(F.count("*").alias("met"))
+    total = texts.select("rep", "n").join(lost, "rep", "left").fillna(0, ["met"])
+    return total.select("rep", (F.col("n") - F.col("met")).alias("own")).filter("own > 0")
+
+
+def _rare_shingles(texts: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of different components that meet in a shingle that at most ``RARE`` of
+    ``texts`` have, and ``rep, own``: shingles of that kind, or of one component."""
+    postings = stored(_postings(texts, shingle), "postings")
+    kinds = postings.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    common = kinds.filter((F.col("low") != F.col("high")) & (F.col("n") > RARE)).select("key")
+    met = postings.join(common, "key").groupBy("rep").agg(F.count("*").alias("met"))
+    own = texts.select("rep", "n").join(met, "rep", "left").fillna(0, ["met"])
+    rare = kinds.filter((F.col("low") != F.col("high")) & (F.col("n") <= RARE)).select("key")
+    rare = postings.join(rare, "key")
+    one, two = (rare.select("key", F.col("rep").alias(k), F.col("label").alias(f"of_{k}")) for k in "ab")
+    pairs = one.join(two, "key").filter("a < b AND of_a <> of_b").select("a", "b").distinct()
+    return pairs, own.select("rep", (F.col("n") - F.col("met")).alias("own"))
 
 
 def _possible(members: DataFrame, similarity: float) -> DataFrame:
@@ -245,8 +273,9 @@ def _sized(members: DataFrame) -> DataFrame:
     return members.join(nodes, "node").withColumn("top", F.col("label") == F.col("most")).drop("most")
 
 
-def _exhaustive(members: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """Candidate pairs of different components in each node, by its members' tokens.
+def _exhaustive(members: DataFrame, sketches: DataFrame, similarity: float, best: bool = False) -> DataFrame:
+    """Candidate pairs of different components in each node, by its members' tokens; with ``best``
+    only the likeliest of each member in each group, to join components before all are made.
 
     A small node is one group. A large one is dealt out in blocks: the members of the most
     frequent component against the others, and these among themselves, so no group has more
@@ -298,11 +327,18 @@ def _exhaustive(members: DataFrame, sketches: DataFrame, similarity: float) -> D
                 some &= 100 * shared >= percent * (n[a] + n[b] - shared)
                 some &= 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
                 a, b = a[some], b[some]
-                for at in range(0, len(a), 1 << 14):
-                    x, y = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
-                    near = (tokens[x] == tokens[y]).mean(axis=1) >= least
-                    left.append(rep[x[near]])
-                    right.append(rep[y[near]])
+                same = [
+                    (tokens[a[at : at + (1 << 14)]] == tokens[b[at : at + (1 << 14)]]).mean(axis=1) for at in range(0, len(a), 1 << 14)
+                ]
+                same = np.concatenate([np.zeros(0), *same])
+                a, b, same = a[same >= least], b[same >= least], same[same >= least]
+                if best and len(a):
+                    order = np.lexsort((-same, b))
+                    a, b = a[order], b[order]
+                    first = np.append(True, b[1:] != b[:-1])
+                    a, b = a[first], b[first]
+                left.append(rep[a])
+                right.append(rep[b])
             a, b = np.concatenate(left), np.concatenate(right)
             yield pa.RecordBatch.from_pydict({"a": column(np.minimum(a, b)), "b": column(np.maximum(a, b))})
 
@@ -374,10 +410,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
     # links found at a depth end nodes of the depths before, too
     still = stored(_labelled(reduce(DataFrame.union, left).select("node", "rep"), labels, LEVELS).select("node", "rep", "label"), "left")
-    own = _own_shingles(texts.join(still.select("rep").distinct(), "rep", "left_semi"), shingle)
-    numbers = stored(reps.select("rep", "n").join(own, "rep", "left").fillna(0, ["own"]), "own")
-    possible = _possible(still.join(numbers, "rep"), similarity)
-    compare(_exhaustive(stored(_sized(possible), "possible"), reps.select("rep", "sketch"), similarity))
+    def wanted(members: DataFrame) -> DataFrame:
+        return texts.join(members.select("rep", "label").distinct(), "rep").join(reps.select("rep", "n"), "rep")
+
+    def viable(members: DataFrame, numbers: DataFrame) -> DataFrame:
+        open_ones = _labelled(members.select("node", "rep"), labels, LEVELS).select("node", "rep", "label")
+        return _possible(open_ones.join(numbers, "rep"), similarity)
+
+    def numbers(own: DataFrame) -> DataFrame:
+        return stored(reps.select("rep", "n").join(own, "rep", "left").fillna(0, ["own"]), "own")
+
+    possible = stored(viable(still, numbers(_own_shingles(wanted(still), shingle))), "possible")
+    meeting, own = _rare_shingles(wanted(possible), shingle)
+    compare(_candidates(meeting, reps, similarity))
+    own = numbers(own)
+    for best in (True, False):
+        sized = stored(_sized(viable(possible, own)), "sized")
+        compare(_exhaustive(sized, reps.select("rep", "sketch"), similarity, best))
 
     sets = classes.select("set_a", "set_b", "rep")
     if labels is not None:
