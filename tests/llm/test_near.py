@@ -140,3 +140,21 @@ def test_pairs_that_meet_in_rare_shingles(docs, spark, monkeypatch):
     # a and b are in more than two texts; c, e in two of different components; g in two of one
     assert {tuple(r) for r in pairs.collect()} == {(1, 2), (2, 3)}
     assert {tuple(r) for r in own.collect()} == {(1, 2), (2, 2), (3, 2), (4, 1), (5, 2)}
+
+
+def test_probe_keeps_members_of_links_and_drops_those_of_none(spark):
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = words(60)
+    rows, linked = [], []
+    for k in range(40):  # pairs at the threshold, and texts that only share a passage
+        base = words(100)
+        other = [w if i >= 11 else f"x{k}_{i}" for i, w in enumerate(base)]
+        linked += [len(rows), len(rows) + 1]
+        rows += [" ".join(base), " ".join(other), " ".join(passage + words(140))]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    classes = near.signatures(docs, 1).withColumnRenamed("doc_id", "rep")
+    members = classes.selectExpr("1L AS node", "rep", "rep AS label")
+    left = {r["rep"] for r in near._probed(members, classes, 0.8).collect()}
+    assert left == set(linked)
+    assert near._probed(members.limit(0), classes, 0.8).count() == 0

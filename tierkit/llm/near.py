@@ -10,7 +10,10 @@ dense group of copies, which no branching would ever part, so costs as much as i
 members. Of the rest, large nodes branch ``LEVELS`` times in all, and the number of trees is
 sized for that depth, so the chance to miss a link does not depend on the size of a node. Then
 every node is compared exhaustively, but for pairs that can't be links: those of one
-component, and those that their shingles rule out. A shingle that only one component of
+component, and those that their tokens or shingles rule out. ``PROBE`` of its tokens tell first
+whether half of a document is found in other components at all; a link at the threshold passes
+that but for ``PROBE_DEVIATIONS`` standard deviations, and only the shingles of what is
+left are shuffled. A shingle that only one component of
 all open nodes has is shared by no such pair, so a document of ``n`` shingles with ``own`` such
 ones shares ``n - own`` at most, and has no link beyond a size that follows from it. Among the
 documents that this leaves, pairs that meet in a rare shingle (at most ``RARE`` of them have it)
@@ -53,6 +56,8 @@ RARE = 24
 LEVELS = 3
 STARS = (0, 0, 1, 2)
 DEVIATIONS = 3.5
+PROBE = 32
+PROBE_DEVIATIONS = 4.5
 FEW_TEXTS = 200_000
 _ODD = (mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _SEAT = mix(np.arange(1001, 1001 + TOKENS, dtype=np.uint64))
@@ -223,17 +228,42 @@ def _postings(texts: DataFrame, shingle: int) -> DataFrame:
     return map_slices(texts.select("rep", "label", "text"), work, "rep long, label long, key long")
 
 
-def _own_shingles(texts: DataFrame, shingle: int) -> DataFrame:
-    """``rep, own``: the shingles of each of ``texts(rep, label, text)`` that no other component
-    has; those without one are left out."""
-    postings = _postings(texts, shingle)
+def _own(postings: DataFrame, totals: DataFrame) -> DataFrame:
+    """``rep, own``: how many of the ``n`` keys of each of ``totals(rep, n)`` no other component has;
+    those without one are left out."""
     shared = postings.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    # a component's shingle goes to all its members, so those are counted by what is left of them
+    # a component's key goes to all its members, so those are counted by what is left of them
     lost = postings.join(shared.select("key"), "key").groupBy("rep").agg(F.count("*").alias("met"))
-    total = texts.select("rep", "n").join(lost, "rep", "left").fillna(0, ["met"])
+    total = totals.select("rep", "n").join(lost, "rep", "left").fillna(0, ["met"])
     return total.select("rep", (F.col("n") - F.col("met")).alias("own")).filter("own > 0")
 
 
+def _own_shingles(texts: DataFrame, shingle: int) -> DataFrame:
+    """``rep, own``: the shingles of each of ``texts(rep, label, n, text)`` that no other component has."""
+    return _own(_postings(texts, shingle), texts)
+
+
+def _probed(members: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The members of ``node, rep, label`` whose first tokens are common enough in other components."""
+    error = math.sqrt(similarity * (1 - similarity) / PROBE)
+    spare = PROBE - math.ceil(PROBE * (similarity - PROBE_DEVIATIONS * error))
+    seat = np.arange(PROBE, dtype=np.int64) << 32
+
+    def work(batches):
+        for part in batches:
+            data = b"".join(part.column("tokens").to_pylist())
+            tokens = (np.frombuffer(data, np.uint32) if data else np.zeros(0, np.uint32)).reshape(-1, PROBE)
+            of = pa.array(np.repeat(np.arange(part.num_rows), PROBE))
+            keys = pa.array((tokens.astype(np.int64) | seat).ravel())
+            yield pa.RecordBatch.from_arrays([part.column("rep").take(of), part.column("label").take(of), keys], ["rep", "label", "key"])
+
+    first = classes.select("rep", F.substring("tokens", 1, 4 * PROBE).alias("tokens"))
+    wanted = members.select("rep", "label").distinct().join(first, "rep")
+    postings = wanted.mapInArrow(work, "rep long, label long, key long")
+    out = _own(postings, wanted.select("rep", F.lit(PROBE).alias("n"))).filter(F.col("own") > spare)
+    return members.join(out.select("rep"), "rep", "left_anti").select("node", "rep", "label")
+
+
 def _rare_shingles(texts: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
     """Pairs ``a, b`` of different components that meet in a shingle that at most ``RARE`` of
     ``texts`` have, and ``rep, own``: shingles of that kind, or of one component."""
@@ -410,6 +440,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
     # links found at a depth end nodes of the depths before, too
     still = stored(_labelled(reduce(DataFrame.union, left).select("node", "rep"), labels, LEVELS).select("node", "rep", "label"), "left")
+    still = stored(_probed(still, classes, similarity), "probed")
+
     def wanted(members: DataFrame) -> DataFrame:
         return texts.join(members.select("rep", "label").distinct(), "rep").join(reps.select("rep", "n"), "rep")
 
