@@ -54,7 +54,7 @@ SMALL_NODE = 48
 BLOCK = 256
 RARE = 24
 LEVELS = 3
-STARS = (0, 0, 1, 2)
+STARS = (0, 0, 1)
 DEVIATIONS = 3.5
 PROBE = 32
 PROBE_DEVIATIONS = 4.5
@@ -275,7 +275,7 @@ def _rare_shingles(texts: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame
     rare = kinds.filter((F.col("low") != F.col("high")) & (F.col("n") <= RARE)).select("key")
     rare = postings.join(rare, "key")
     one, two = (rare.select("key", F.col("rep").alias(k), F.col("label").alias(f"of_{k}")) for k in "ab")
-    pairs = one.join(two, "key").filter("a < b AND of_a <> of_b").select("a", "b").distinct()
+    pairs = one.join(two, "key").filter("a < b AND of_a <> of_b").select("a", "b")
     return pairs, own.select("rep", (F.col("n") - F.col("met")).alias("own"))
 
 
@@ -412,12 +412,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
     links, labels, seen = [], None, []
 
-    def compare(pairs: DataFrame) -> None:
+    def compare(pairs: DataFrame, estimate: bool = True) -> None:
         nonlocal labels
         pairs = pairs.distinct()
-        for earlier in seen:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
+        if seen:
+            pairs = pairs.join(reduce(DataFrame.union, seen), ["a", "b"], "left_anti")
+        pairs = stored(_candidates(pairs, reps, similarity) if estimate else pairs, "pairs")
         seen.append(pairs)
         found = stored(_confirmed(pairs, texts, shingle, similarity), "found")
         if not found.isEmpty():
@@ -427,7 +427,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     left = []
     for depth in range(LEVELS):  # nodes of the first level are at depth 0
         for turn in range(STARS.count(depth)):
-            compare(_candidates(_star(_labelled(members, labels, turn)).distinct(), reps, similarity))
+            compare(_star(_labelled(members, labels, turn)))
         still = stored(_labelled(members, labels, depth), "open").select("node", "rep", "size")
         large = still.filter(F.col("size") > SMALL_NODE)
         if depth + 1 == LEVELS or large.isEmpty():
@@ -454,11 +454,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
     possible = stored(viable(still, numbers(_own_shingles(wanted(still), shingle))), "possible")
     meeting, own = _rare_shingles(wanted(possible), shingle)
-    compare(_candidates(meeting, reps, similarity))
+    compare(meeting)
     own = numbers(own)
     for best in (True, False):
         sized = stored(_sized(viable(possible, own)), "sized")
-        compare(_exhaustive(sized, reps.select("rep", "sketch"), similarity, best))
+        compare(_exhaustive(sized, reps.select("rep", "sketch"), similarity, best), estimate=False)
 
     sets = classes.select("set_a", "set_b", "rep")
     if labels is not None:
