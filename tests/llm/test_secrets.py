@@ -96,3 +96,54 @@ def test_viterbi_is_the_best_of_all_labellings(learned):
 def test_nothing_to_learn_from(docs):
     assert not secrets.learn(docs("plain words only")).trained
     assert secrets.scan(docs("x").filter("false")).count() == 0
+
+
+def test_every_word_may_be_a_secret(docs):
+    """A short word without a digit, by its neighbour alone."""
+    field = secrets.Field()
+    field.emit[secrets._INDEX["name_before"], 1], field.emit[secrets._INDEX["bias"], 1] = 9, -5
+    field.emit[:, 2], field.trained = -5, True
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(docs("my pass abcd é", "no more", "pwd é", "key"), field).collect()}
+    assert got == {0: "crf:8:12", 1: "", 2: "crf:4:5", 3: ""}
+
+
+def test_shapes_of_many_words_are_those_of_each():
+    rng = random.Random(5)
+    marks = "aZ09éÄ٣²ßſKf.=:@+-_\"'`,;$\0\U0001F600ñ中"
+    words = ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 24))) for _ in range(4000)]
+    words += ["".join(rng.choice("0123.") for _ in range(rng.randrange(1, 8))) for _ in range(300)]
+    words += ["x" * 90, "...", "=", "my_pwd=abc", "PaſsWord", "toKen:", "auth", "word,", "é.", "1.2.3.", "deadBEEF", "a" * 64]
+    got = secrets.shapes(words)
+    assert [bytes(r) for r in got] == [secrets.shape(x) for x in words]
+
+
+def value(field, features, labels):
+    ends = [0, *labels]
+    score = features.scores(field.emit)
+    return sum(score[i, y] for i, y in enumerate(labels)) + sum(field.move[a, b] for a, b in zip(ends, [*labels, 0]))
+
+
+def test_scan_is_the_best_labelling_of_whole_texts(docs):
+    """Words that a bound rules out change nothing, whatever the field."""
+    rng = random.Random(3)
+    parts = ["key", "a=", "the", "ab12cd34", "x", "Zq9_zz7788aa", "é,", "{", "words", "a" * 30, "12345678"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(40)]
+    for seed in range(4):
+        noise = np.random.default_rng(seed)
+        field = secrets.Field()
+        field.emit, field.trained = noise.normal(0, 1.5, field.emit.shape), True
+        field.move = noise.normal(0, 2, (3, 3))
+        field.move[0, 2] = -1e4
+        for d, row in enumerate(sorted(secrets.scan(docs(*texts), field).collect())):
+            w = Words(pa.array([texts[d]]))
+            assert row["doc_id"] == d
+            features = secrets.Features(w)
+            labels = field.decode(features.rows(np.arange(len(w.start)))) if len(w.start) else []
+            assert np.allclose(features.scores(field.emit), features.rows(np.arange(len(w.start))) @ field.emit, atol=1e-4)
+            some = field.open_words(features.scores(field.emit), w.doc)
+            assert {i for i, y in enumerate(labels) if y} <= set(some.tolist())
+            pieced = [0] * len(labels)
+            for run in secrets._cut(w, some):
+                for i, y in zip(run, field.best(features.scores(field.emit)[run])):
+                    pieced[i] = y
+            assert value(field, features, pieced) == pytest.approx(value(field, features, labels))
