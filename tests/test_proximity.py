@@ -176,3 +176,19 @@ def test_scratch_is_removed(spark, sides):
         assert nearest(left, right, 1, ["b"], **AT, scratch=scratch).count() == 120
         assert Path(scratch.folder).exists()
     assert not Path(scratch.folder).exists()
+
+
+def test_join_of_small_tables_keeps_its_tasks(spark):
+    """Few bytes with many pairs are not joined in one task."""
+    places = spark.range(4000).select(
+        F.col("id").alias("a"),
+        ((F.col("id") * 7919 % 16001) / 100 - 80).alias("a_lat"),
+        ((F.col("id") * 104729 % 36001) / 100 - 180).alias("a_lon"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = within_distance(places, places.toDF("b", "b_lat", "b_lon"), 500, **AT)
+        tasks = near.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))

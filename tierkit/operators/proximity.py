@@ -63,23 +63,25 @@ def within_distance(
 ) -> DataFrame:
     """Every pair of rows at most ``radius`` apart, with their ``distance``.
 
-    Space is cut into cubes of twice the radius. A right row lies in one; the ball around a left row
-    touches eight at most, so pairs meet in one join on equal cells. Pass the smaller table as
-    ``left``. A cell with more than ``hot_cell`` right rows is dealt out evenly: its right rows go to
-    one part each, the left rows that touch it to all, so no task holds a crowded cell.
+    Space is cut into cubes of half the radius. A right row lies in one; a left row is sent to those
+    that the ball around it touches, some forty, so pairs meet in one join on equal cells, and every second
+    pair that meets is near. Pass the smaller table as ``left``. A cell with more than ``hot_cell`` right
+    rows is dealt out evenly: its right rows go to one part each, the left rows that touch it to all, so
+    no task holds a crowded cell. The join has as many tasks as ``spark.sql.shuffle.partitions`` says,
+    since its work grows with the pairs and not with the bytes that it reads.
     """
     _joined(left, right, distance)
     globe = _unit(unit)
     if not radius >= 0:
         raise ValueError(f"radius must not be negative, got {radius!r}")
     reach = 2 * math.sin(min(radius / globe, math.pi) / 2) + SLACK
-    side = 2 * reach
+    side = reach / 2
 
     def cell(at: Column) -> Column:
         return F.floor((at + 1) / side)
 
     there = _placed(right, "there", *right_at)
-    there = there.select("there", *(F.col(c).alias(f"{c}_to") for c in ("lat", "lon")), *(cell(F.col(a)).alias(a) for a in AXES))
+    there = there.select("there", *(F.col(c).alias(f"{c}_to") for c in ("lat", "lon", *AXES)), *(cell(F.col(a)).alias(a) for a in AXES))
     crowded = there.groupBy(*AXES).agg(F.count("*").alias("n")).filter(F.col("n") > hot_cell)
     crowded = crowded.select(*AXES, F.ceil(F.col("n") / hot_cell).alias("parts"))
     # rows in one place are told apart by what can be hashed
@@ -87,15 +89,26 @@ def within_distance(
     part = F.pmod(F.xxhash64("lat_to", "lon_to", *hashed), F.coalesce("parts", F.lit(1)))
     there = there.join(crowded, list(AXES), "left").withColumn("part", part).drop("parts")
 
-    here = _placed(left, "here", *left_at)
+    here = _placed(left, "here", *left_at).withColumnsRenamed({a: f"{a}_at" for a in AXES})
+    gap = F.lit(0.0)
     for a in AXES:
-        touched = F.sequence(cell(F.col(a) - reach), cell(F.col(a) + reach))
-        here = here.withColumn(a, F.explode(touched))
+        at = F.col(f"{a}_at")
+        here = here.withColumn(a, F.explode(F.sequence(cell(at - reach), cell(at + reach))))
+        low = F.col(a) * side - 1
+        off = F.greatest(low - at, at - low - side, F.lit(0.0))
+        gap += off * off
+        # cells beyond the ball; rounding is far below the slack
+        here = here.filter(gap <= (reach + SLACK) ** 2)
     here = here.join(crowded, list(AXES), "left")
-    here = here.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1)))
+    here = here.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
 
-    pairs = here.join(there, [*AXES, "part"])
-    pairs = pairs.withColumn("apart", haversine_distance("lat", "lon", "lat_to", "lon_to", unit)).filter(F.col("apart") <= radius)
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    here, there = (side.repartition(tasks, *AXES, "part") for side in (here, there))
+    chord = sum(((F.col(f"{a}_at") - F.col(f"{a}_to")) * (F.col(f"{a}_at") - F.col(f"{a}_to")) for a in AXES), F.lit(0.0))
+    apart = haversine_distance("lat", "lon", "lat_to", "lon_to", unit)
+    # the chord spares most pairs that are not near the distance itself
+    pairs = here.join(there, [*AXES, "part"]).filter(chord <= (reach + SLACK) ** 2)
+    pairs = pairs.withColumn("apart", apart).filter(F.col("apart") <= radius)
     return pairs.select("here.*", "there.*", F.col("apart").alias(distance))
 
 
