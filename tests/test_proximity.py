@@ -168,6 +168,26 @@ def test_search_compares_few_blocks(spark):
         assert left == "number" and pairs.count() < 40 * 6000  # of 188 blocks
 
 
+def test_few_rows_are_ranked(spark):
+    """Of the rows of the blocks that are left, only those about as near as the k nearest are ranked."""
+    places = spark.range(6000).select(
+        F.col("id").alias("a"),
+        F.when(F.col("id") % 3 == 0, 48 + (F.col("id") * 7919 % 1009) / 1e5).otherwise((F.col("id") * 7919 % 17000) / 100 - 85).alias("a_lat"),
+        F.when(F.col("id") % 3 == 0, 11 + (F.col("id") * 104729 % 997) / 1e5).otherwise((F.col("id") * 104729 % 36000) / 100 - 180).alias("a_lon"),
+    )
+    ranked, reach = [], proximity._in_reach
+
+    def noted(*args):
+        ranked.append(reach(*args))
+        return ranked[-1]
+
+    with Scratch(spark) as scratch, pytest.MonkeyPatch.context() as patch:
+        patch.setattr(proximity, "_in_reach", noted)
+        found = nearest(places, places.toDF("b", "b_lat", "b_lon"), 3, ["b"], **AT, scratch=scratch)
+        assert found.count() == 18_000
+        assert 18_000 <= ranked[0].count() < 60 * 6000  # a row is left with several blocks of 32
+
+
 def test_scratch_is_removed(spark, sides):
     from pathlib import Path
 

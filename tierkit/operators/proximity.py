@@ -11,7 +11,7 @@ don't appear. Columns of both sides are handed through; no two may have the same
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -176,15 +176,43 @@ def _chords() -> tuple[Column, Column]:
 
 
 def _within_bounds(pairs: DataFrame, left: str, k: int) -> DataFrame:
-    """Pairs that may hold one of the ``k`` nearest: the boxes that surely hold ``k`` bound the rest."""
+    """Pairs that may hold one of the ``k`` nearest: the boxes that surely hold ``k`` bound the rest, and so
+    does ``cap``, a bound known before, if there is one; what that rules out is not shuffled."""
     low, high = _chords()
+    pairs = pairs.withColumns({"low": low, "high": high}).filter(F.col("cap").isNull() | (F.col("low") <= F.col("cap") + SLACK))
     of_left = Window.partitionBy(left)
     held = F.sum("r_n").over(of_left.orderBy("high", "r_node").rowsBetween(Window.unboundedPreceding, 0))
-    pairs = pairs.withColumns({"low": low, "high": high}).withColumn("held", held)
-    bound = F.min(F.when(F.col("held") >= k, F.col("high"))).over(of_left)
+    pairs = pairs.withColumn("held", held)
+    bound = F.least(F.min(F.when(F.col("held") >= k, F.col("high"))).over(of_left), "cap")
     return pairs.withColumn("bound", bound).filter(F.col("bound").isNull() | (F.col("low") <= F.col("bound") + SLACK))
 
 
+def _in_reach(pairs: DataFrame, near: _Tree, far: _Tree, k: int) -> DataFrame:
+    """``lat, lon, lat_to, lon_to, there``: pairs of rows that may be among the ``k`` nearest, from pairs
+    ``l, r`` of blocks; ``first`` are the right blocks that surely hold ``k`` for the left one."""
+
+    def chord(one: Callable[[str], Column], two: Callable[[str], Column]) -> Column:
+        return F.sqrt(sum(((one(a) - two(a)) * (one(a) - two(a)) for a in AXES), F.lit(0.0)))
+
+    here = near.points.select(F.col("node").alias("l"), "number", "lat", "lon", *AXES)
+    places = far.points.select(F.col("node").alias("r"), F.struct(*AXES).alias("place"))
+    firsts = pairs.filter("first").join(places, "r").groupBy("l").agg(F.collect_list("place").alias("places"))
+    chords = F.transform("places", lambda place: chord(F.col, place.getField))
+    here = here.join(firsts, "l").withColumn("cap", F.get(F.sort_array(chords), F.lit(k - 1))).drop("places")
+
+    # each row is a box of its own against the blocks that its block has left
+    own = [F.col(a).alias(f"l_{name}_{a}") for a in AXES for name in ("low", "high")]
+    found = pairs.select("l", "r").join(here.select("l", "number", "lat", "lon", "cap", *own), "l").drop("l")
+    found = found.join(far.children(0, "r"), F.col("r") == F.col("r_node"))
+    place = [F.col(f"l_low_{a}").alias(f"{a}_at") for a in AXES]
+    found = _within_bounds(found, "number", k).select("lat", "lon", "r", "bound", *place)
+    there = [F.col(c).alias(f"{c}_to") for c in ("lat", "lon", *AXES)]
+    found = found.join(far.points.select(F.col("node").alias("r"), "there", *there), "r")
+    apart = chord(lambda a: F.col(f"{a}_at"), lambda a: F.col(f"{a}_to"))
+    # before the ranking, whose sort would else hold every row of every block
+    return found.filter(F.col("bound").isNull() | (apart <= F.col("bound") + SLACK))
+
+
 def nearest(
     left: DataFrame,
     right: DataFrame,
@@ -204,8 +232,9 @@ def nearest(
     Both sides become trees of boxes, in blocks of equal numbers however crowded a place is. Pairs
     of boxes are opened level by level: the right boxes of a left box that surely hold ``k`` rows
     bound its distance, and what begins beyond the bound goes. In the end a row is a box itself, and
-    meets the rows of the few blocks that it has left. Left rows in one place are looked up once, and of right rows in one
-    place the first ``k`` are enough. Tables of the search are kept in ``scratch``; without one they
+    meets the rows of the few blocks that it has left. The right rows that surely are ``k`` for its
+    block cap its distance beforehand, and only rows within that are ranked, hardly more than ``k``. Left
+    rows in one place are looked up once, and of right rows in one place the first ``k`` are enough. Tables of the search are kept in ``scratch``; without one they
     stay until the process ends.
     """
     _joined(left, right, distance, rank)
@@ -222,26 +251,23 @@ def nearest(
     spots = here.select("lat", "lon", *AXES).dropDuplicates(["lat", "lon"])
     near, far = _Tree(spots, scratch), _Tree(there, scratch)
 
-    pairs = left.sparkSession.range(1).select(*[F.lit(-1).cast("long").alias(s) for s in ("l", "r")])
+    pairs = left.sparkSession.range(1).select(*[F.lit(-1).cast("long").alias(s) for s in ("l", "r")], F.lit(None).cast("double").alias("cap"))
     for height in reversed(range(max(len(near.levels), len(far.levels)))):
         opened = {"l": near.children(height, "l"), "r": far.children(height, "r")}
         for side, nodes in opened.items():
             if nodes is not None:
                 pairs = pairs.join(nodes, F.col(side) == F.col(f"{side}_parent")).drop(side)
-        if None not in opened.values():
-            pairs = _within_bounds(pairs, "l_node", k)
         # the root of a lower tree waits for its turn
         ends = [F.col(s if nodes is None else f"{s}_node").alias(s) for s, nodes in opened.items()]
-        pairs = scratch.store(pairs.select(*ends))
+        if None not in opened.values():
+            # the bound of a box holds for those inside it
+            pairs = _within_bounds(pairs, "l_node", k).withColumn("cap", F.col("bound"))
+            ends.append((F.col("held") - F.col("r_n") < k).alias("first"))
+        pairs = scratch.store(pairs.select(*ends, "cap"))
 
-    # each row is a box of its own against the blocks that its block has left
-    own = [F.col(a).alias(f"l_{name}_{a}") for a in AXES for name in ("low", "high")]
-    found = pairs.join(near.points.select(F.col("node").alias("l"), "number", "lat", "lon", *own), "l").drop("l")
-    found = found.join(far.children(0, "r"), F.col("r") == F.col("r_node"))
-    found = _within_bounds(found, "number", k).select("lat", "lon", "r")
-    there = far.points.select(F.col("node").alias("r"), "there", F.col("lat").alias("lat_to"), F.col("lon").alias("lon_to"))
+    found = _in_reach(pairs, near, far, k)
     apart = haversine_distance("lat", "lon", "lat_to", "lon_to", unit)
-    found = found.join(there, "r").select("lat", "lon", "there", apart.alias("apart"))
+    found = found.select("lat", "lon", "there", apart.alias("apart"))
     order = Window.partitionBy("lat", "lon").orderBy(F.round("apart", 6), *ties)
     found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     rows = here.select("here", "lat", "lon").join(found, ["lat", "lon"])
