@@ -3,14 +3,16 @@
 import datetime
 import hashlib
 import uuid
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tierkit.checks import ChecksFailed, run_checks
 from tierkit.functions.keys import NULL_MARK
-from tierkit.plans import run_daily, sales_star
-from tierkit.sources import bronze_path, write_layer
+from tierkit.plans import retail_star, run_daily, sales_star
+from tierkit.sources import bronze_path, create_layers, materialize_table, write_layer
 
 
 def md5(*parts):
@@ -172,3 +174,29 @@ def test_totaldue_repeats_on_lines(silver):
     over_lines = sales_star.fact_sales(silver).agg(F.sum("totaldue")).first()[0]
     over_orders = silver["silver_sales_salesorderheader"].agg(F.sum("totaldue")).first()[0]
     assert (over_lines, over_orders) == (62.0, 53.0)
+
+
+def test_only_given_columns_are_shuffled(spark):
+    """The join of the retail fact moves no hash and no product of columns."""
+    orders = spark.createDataFrame(
+        [(1, 7, "O", datetime.datetime(2022, 5, 30), 9.0)],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_totalprice double",
+    )
+    lines = spark.createDataFrame(
+        [(1, 2, 3, 4, 1.5, 2.0)],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double",
+    )
+    fact = retail_star.fact_sales({"orders": orders, "lineitem": lines})
+    row = fact.first()
+    assert (row.customer_id_wid, row.order_status_id_wid, row.order_date_id_wid) == (md5("7"), md5("O"), md5("2022-05-30"))
+    assert (row.sales_id_wid, row.revenue) == (md5("1", "2"), 3.0)
+    above, _, below = fact._jdf.queryExecution().optimizedPlan().toString().partition("Join Inner")
+    assert "md5" in above and "md5" not in below and " * " not in below
+
+
+def test_tables_are_compressed_with_zstd(spark, tmp_path):
+    layers = create_layers(spark, str(tmp_path), f"z{uuid.uuid4().hex[:8]}_")
+    materialize_table(spark.range(5), f"{layers['gold']}.numbers")
+    files = [pq.ParquetFile(f) for f in Path(tmp_path).rglob("*.parquet")]
+    groups = [f.metadata.row_group(g) for f in files for g in range(f.num_row_groups)]
+    assert groups and {g.column(0).compression for g in groups} == {"ZSTD"}

@@ -25,9 +25,9 @@ def create_layers(spark: SparkSession, root: str, prefix: str = "") -> dict[str,
     return names
 
 
-def write_layer(df: DataFrame, path: str) -> None:
+def write_layer(df: DataFrame, path: str, compression: str = "snappy") -> None:
     """Full refresh of one table directory; an empty table keeps its schema."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -71,12 +71,13 @@ def materialize_table(df: DataFrame, table: str) -> DataFrame:
 
     A model may so read its own previous version, a failed write leaves the table as it was
     and no folder behind, and nothing is renamed, which object stores do by copying. Earlier
-    versions stay for those who still read them until ``clean_versions`` removes them.
+    versions stay for those who still read them until ``clean_versions`` removes them. Tables are
+    compressed with zstd, which halves the hexadecimal text of surrogate keys; snappy leaves it as it is.
     """
     spark = df.sparkSession
     folder = f"{_versions(spark, table)}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     try:
-        write_layer(df, folder)
+        write_layer(df, folder, "zstd")
     except Exception:
         with contextlib.suppress(Exception):  # the reason of the failure is what counts
             delete_folder(spark, folder)
