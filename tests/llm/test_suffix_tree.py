@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -84,6 +85,26 @@ def test_longer_contexts_help(docs, prose, monkeypatch):
     assert full.scores(backwards).sum() < full.scores(Words(pa.array(texts[:20]))).sum()
 
 
+def test_tree_is_built_in_little_memory():
+    """The driver holds the distributions and the scores, and of all else a few rows at a time."""
+    rng = np.random.default_rng(3)
+    text = rng.integers(97, 137, 60_000)
+    entries = []
+    for d in range(suffix_tree.DEPTH + 1):
+        runs = np.zeros(len(text) - d, np.int64)
+        for j in range(d + 1):
+            runs = (runs << suffix_tree.BITS) | text[j : j + len(runs)]
+        runs, n = np.unique(runs, return_counts=True)
+        entries.append((np.full(len(runs), d), runs >> suffix_tree.BITS, runs & 511, n))
+    columns = [np.concatenate(x) for x in zip(*entries)]
+    tracemalloc.start()
+    tree = suffix_tree.Tree(*columns)
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(tree.score) > 50_000
+    assert peak < 2.5 * kept
+
+
 def test_empty_tables(docs):
     assert suffix_tree.score(docs("x").filter("false")).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)

@@ -40,6 +40,8 @@ HEAD_SHARE = 1e-5
 END, START, BITS = 256, 257, 9
 END_TOKEN = int(mix(np.full(1, 0xE0D, np.uint64)).view(np.int64)[0])
 LANE = 2048
+#: Rows of a block while the tree is built, in the driver
+ROWS = 1024
 
 
 def symbols(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -112,23 +114,29 @@ class Tree:
             codes, which = np.unique(context[own], return_inverse=True)
             if d == 0:
                 codes, which = np.zeros(1, np.int64), np.zeros(own.sum(), np.int64)
-            counts = np.zeros((len(codes), width), np.float32)
-            counts[which, place[own]] = n[own]
-            total = counts.sum(axis=1, keepdims=True)
-            if d == 0:
-                prior = np.full((1, width), 1.0 / 257, np.float32)
-                prior[0, np.searchsorted(self.used, START)] = 0
-                p = (counts + 257 * prior) / (total + 257)
-                keep = np.ones(1, bool)
-            else:
+            # a block of rows at a time: only the distributions themselves are held whole
+            p, keep = np.empty((len(codes), width)), np.ones(len(codes), bool)
+            rows = np.argsort(which, kind="stable")
+            which, seat, times = which[rows], place[own][rows], n[own][rows]
+            for at in range(0, len(codes), ROWS):
+                to = min(at + ROWS, len(codes))
+                mine = slice(*np.searchsorted(which, [at, to]))
+                counts = np.zeros((to - at, width), np.float32)
+                counts[which[mine] - at, seat[mine]] = times[mine]
+                total = counts.sum(axis=1, keepdims=True)
+                if d == 0:
+                    prior = np.full((1, width), 1.0 / 257, np.float32)
+                    prior[0, np.searchsorted(self.used, START)] = 0
+                    p[at:to] = (counts + 257 * prior) / (total + 257)
+                    continue
                 above = levels[-1]
-                parent = np.searchsorted(above[0], codes & ((1 << BITS * (d - 1)) - 1))
+                parent = np.searchsorted(above[0], codes[at:to] & ((1 << BITS * (d - 1)) - 1))
                 base = above[1][np.minimum(parent, len(above[0]) - 1)]
                 kinds = np.float32(PRIOR) * (counts > 0).sum(axis=1, keepdims=True)
-                p = (counts + kinds * base) / (total + kinds)
+                some = p[at:to] = (counts + kinds * base) / (total + kinds)
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    bits = np.where(p > 0, p * np.log2(p / base), 0)
-                keep = bits[:, :-1].sum(axis=1) >= DIVERGENCE
+                    bits = np.where(some > 0, some * np.log2(some / base), 0)
+                keep[at:to] = bits[:, :-1].sum(axis=1) >= DIVERGENCE
             levels.append((codes, p))
             retained.append(keep)
         # every state needs its suffix and its prefix
@@ -139,18 +147,22 @@ class Tree:
                 retained[d - 1][at[above[at] == wanted]] = True
         states = [codes[keep] for (codes, _), keep in zip(levels, retained)]
         first = np.concatenate(([0], np.cumsum([len(s) for s in states])))
-        self.score = np.concatenate([p[k] for (_, p), k in zip(levels, retained)])
+        self.score = np.empty((first[-1], width))
+        for d, keep in enumerate(retained):
+            self.score[first[d] : first[d + 1]] = levels[d][1][keep]
+            levels[d] = None  # else all distributions are held beside the scores
         np.log10(np.maximum(self.score, 1e-30, out=self.score), out=self.score)
         self.next = np.zeros(self.score.shape, np.int32)
         for d in range(DEPTH + 1):
-            moved = (states[d][:, None] << BITS) | np.append(self.used, 511)
-            out = np.zeros(moved.shape, np.int32)
-            for e in range(1, min(d + 1, DEPTH) + 1):
-                wanted = moved & ((1 << BITS * e) - 1)
-                if len(states[e]):
-                    at = np.minimum(np.searchsorted(states[e], wanted), len(states[e]) - 1)
-                    out = np.where(states[e][at] == wanted, first[e] + at, out).astype(np.int32)
-            self.next[first[d] : first[d + 1]] = out
+            for at in range(0, len(states[d]), ROWS):
+                moved = (states[d][at : at + ROWS, None] << BITS) | np.append(self.used, 511)
+                out = self.next[first[d] + at : first[d] + at + len(moved)]
+                for e in range(1, min(d + 1, DEPTH) + 1):
+                    wanted = moved & ((1 << BITS * e) - 1)
+                    if len(states[e]):
+                        to = np.minimum(np.searchsorted(states[e], wanted), len(states[e]) - 1)
+                        hit = states[e][to] == wanted
+                        out[hit] = (first[e] + to)[hit]
         self.column = np.full(512, width - 1, np.int32)
         self.column[self.used] = np.arange(width - 1)
         self.width = width
@@ -202,8 +214,10 @@ def fit(training: DataFrame) -> Tree:
     )
     found = entries.join(frequent, ["depth", "context"], "left_semi").toArrow()
     depth, context, symbol, n = (found.column(c).to_numpy().astype(np.int64) for c in ("depth", "context", "symbol", "n"))
+    del found
     order = np.lexsort((symbol, context, depth))
-    return Tree(depth[order], context[order], symbol[order], n[order])
+    depth, context, symbol, n = (x[order] for x in (depth, context, symbol, n))
+    return Tree(depth, context, symbol, n)
 
 
 def score(docs: DataFrame, parts: int = 7) -> DataFrame:
