@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierkit.llm.shared import components, stored
+from tierkit.llm.shared import components, stored, temporary
 from tierkit.llm.words import Words, column, map_slices, mix, packed, runs, unpacked, unpacked_array
 
 TOKENS = 128
@@ -166,6 +166,17 @@ def _candidates(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFra
     return both.select("a", "b", "t_a", "t_b").mapInArrow(work, "a long, b long")
 
 
+def _texts_of(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``members(rep, ...)``, one a ``rep``, with their ``text``, the least of those with that
+    ``rep``; only texts of members move between tasks, unless there are too many to send their ids."""
+    members = stored(members, "wanted")
+    wanted = members.select("rep")
+    if wanted.limit(FEW_TEXTS + 1).count() <= FEW_TEXTS:
+        wanted = F.broadcast(wanted)
+    texts = texts.join(wanted, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text"))
+    return texts.join(members, "rep") if len(members.columns) > 1 else texts
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     percent = int(round(similarity * 100))
@@ -180,9 +191,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: flo
         shared = np.bincount(doc[1:][twice], minlength=part.num_rows)
         return part.select(["a", "b"]).filter(pa.array(100 * shared >= percent * (size_a + size_b - shared)))
 
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "wanted")
-    if wanted.limit(FEW_TEXTS + 1).count() <= FEW_TEXTS:  # else the joins below move all texts
-        texts = texts.join(F.broadcast(wanted), "rep", "left_semi")
+    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), texts)
     side = lambda k: texts.select(F.col("rep").alias(k), F.col("text").alias(f"text_{k}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
     return map_slices(both, work, "a long, b long", "text_a")
@@ -391,14 +400,21 @@ def trees_for(recall: float, similarity: float, depth: int = LEVELS) -> int:
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document: its component under links
     of at least ``similarity``, named by the least ``doc_id``, which is the one kept."""
-    spark = docs.sparkSession
-    signed = stored(signatures(docs, shingle), "sets")
-    classes = (
-        signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy("set_a", "set_b")
-        .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("tokens").alias("tokens"), F.min("sketch").alias("sketch"))
-    )
-    classes = stored(classes, "classes")
+    with temporary(docs.sparkSession) as kept:
+        return kept(_near_duplicates(docs, shingle, similarity, recall), "near")
+
+
+def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: float) -> DataFrame:
+    """``near_duplicates`` as a plan over tables that were stored for it."""
+    with temporary(docs.sparkSession) as kept:
+        signed = stored(signatures(docs, shingle), "sets")
+        classes = (
+            signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+            .groupBy("set_a", "set_b")
+            .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("tokens").alias("tokens"), F.min("sketch").alias("sketch"))
+        )
+        classes = kept(classes, "classes")
+        signed = kept(signed.select("doc_id", "n_shingles", "set_a", "set_b"), "names")  # tokens are the classes' now
     reps = classes.select("rep", "n", "sketch")
 
     roots = mix(np.arange(1, trees_for(recall, similarity) + 1, dtype=np.uint64)).view(np.int64).tolist()
@@ -406,9 +422,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     level = _branch(trees, similarity).select("node", "rep")
     shared = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
     members = stored(level.join(shared, "node"), "members")
-    involved = members.select("rep").distinct()
-    texts = packed(docs.select(F.col("doc_id").cast("long").alias("rep"), "text")).join(involved, "rep", "left_semi")
-    texts = stored(texts.groupBy("rep").agg(F.min("text").alias("text")), "texts")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").filter("rep IS NOT NULL AND text IS NOT NULL")
+    texts = stored(packed(texts), "texts")
 
     links, labels, seen = [], None, []
 
@@ -443,7 +458,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     still = stored(_probed(still, classes, similarity), "probed")
 
     def wanted(members: DataFrame) -> DataFrame:
-        return texts.join(members.select("rep", "label").distinct(), "rep").join(reps.select("rep", "n"), "rep")
+        return _texts_of(members.select("rep", "label").distinct(), texts).join(reps.select("rep", "n"), "rep")
 
     def viable(members: DataFrame, numbers: DataFrame) -> DataFrame:
         open_ones = _labelled(members.select("node", "rep"), labels, LEVELS).select("node", "rep", "label")
@@ -468,8 +483,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     sets = sets.select("set_a", "set_b", F.coalesce("label", "rep").alias("component_id"))
     known = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))
     return (
-        signed.select("doc_id", "n_shingles", "set_a", "set_b")
-        .join(sets, ["set_a", "set_b"], "left")
+        signed.join(sets, ["set_a", "set_b"], "left")
         .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(known).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
