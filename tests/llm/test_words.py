@@ -1,13 +1,14 @@
 """Words and hashes inside Arrow batches."""
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tierkit.llm.words import Counter64, Lookup, Words, slices
+from tierkit.llm.words import SLICE_BYTES, Counter64, Lookup, Words, slices, unpacked_slices
 
 texts = st.lists(st.none() | st.text("aAéß# \t\n\x0b\x0c\r\x1c\x85 €.", max_size=30), max_size=6)
 
@@ -73,3 +74,15 @@ def test_lookup_finds_exactly_its_keys():
     keys = np.unique(np.random.default_rng(0).integers(0, 2**63, 500).astype(np.uint64))
     at, place = Lookup(keys[::2]).find(keys)
     assert at.tolist() == list(range(0, len(keys), 2)) and (keys[::2][place] == keys[at]).all()
+
+
+def test_slices_follow_the_unpacked_bytes():
+    """Texts of one word again and again, a thousandth when packed, don't meet in one slice."""
+    texts = [b"again " * 50_000, None, b"", *[b"again " * 50_000] * 20, b"end"]
+    small = pa.array([None if t is None else zlib.compress(t, 4) for t in texts], pa.binary())
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": small})
+    parts = list(unpacked_slices([batch.slice(0, 0), batch], "text"))
+    assert [t for _, (own,) in parts for t in own.to_pylist()] == texts
+    assert [i for part, _ in parts for i in part.column("id").to_pylist()] == list(range(len(texts)))
+    assert all(sum(len(t or b"") for t in own.to_pylist()[:-1]) < SLICE_BYTES for _, (own,) in parts)
+    assert len(parts) == 6

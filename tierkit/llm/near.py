@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierkit.llm.shared import components, stored, temporary
-from tierkit.llm.words import Words, column, map_slices, mix, packed, runs, unpacked, unpacked_array
+from tierkit.llm.words import Words, column, map_slices, mix, packed, runs, unpacked, unpacked_slices
 
 TOKENS = 128
 SMALL_NODE = 48
@@ -181,20 +181,21 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: flo
     """The pairs whose full sets are similar enough."""
     percent = int(round(similarity * 100))
 
-    def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        sides = [shingle_sets(unpacked_array(part.column(c)), shingle) for c in ("text_a", "text_b")]
-        size_a, size_b = (np.bincount(doc, minlength=part.num_rows) for doc, _, _ in sides)
-        doc, keys = (np.concatenate(x) for x in list(zip(*sides))[:2])
-        order = np.lexsort((keys, doc))
-        doc, keys = doc[order], keys[order]
-        twice = (doc[1:] == doc[:-1]) & (keys[1:] == keys[:-1])
-        shared = np.bincount(doc[1:][twice], minlength=part.num_rows)
-        return part.select(["a", "b"]).filter(pa.array(100 * shared >= percent * (size_a + size_b - shared)))
+    def work(batches):
+        for part, both in unpacked_slices(batches, "text_a", "text_b"):
+            sides = [shingle_sets(texts, shingle) for texts in both]
+            size_a, size_b = (np.bincount(doc, minlength=part.num_rows) for doc, _, _ in sides)
+            doc, keys = (np.concatenate(x) for x in list(zip(*sides))[:2])
+            order = np.lexsort((keys, doc))
+            doc, keys = doc[order], keys[order]
+            twice = (doc[1:] == doc[:-1]) & (keys[1:] == keys[:-1])
+            shared = np.bincount(doc[1:][twice], minlength=part.num_rows)
+            yield part.select(["a", "b"]).filter(pa.array(100 * shared >= percent * (size_a + size_b - shared)))
 
     texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), texts)
     side = lambda k: texts.select(F.col("rep").alias(k), F.col("text").alias(f"text_{k}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    return map_slices(both, work, "a long, b long", "text_a")
+    return both.mapInArrow(work, "a long, b long")
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
@@ -229,12 +230,13 @@ def _star(members: DataFrame) -> DataFrame:
 def _postings(texts: DataFrame, shingle: int) -> DataFrame:
     """``rep, label, key`` of the distinct shingles of ``texts``."""
 
-    def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        doc, keys, _ = shingle_sets(unpacked_array(part.column("text")), shingle)
-        rep, label = (part.column(c).take(pa.array(doc)) for c in ("rep", "label"))
-        return pa.RecordBatch.from_pydict({"rep": rep, "label": label, "key": column(keys)})
+    def work(batches):
+        for part, (own,) in unpacked_slices(batches, "text"):
+            doc, keys, _ = shingle_sets(own, shingle)
+            rep, label = (part.column(c).take(pa.array(doc)) for c in ("rep", "label"))
+            yield pa.RecordBatch.from_pydict({"rep": rep, "label": label, "key": column(keys)})
 
-    return map_slices(texts.select("rep", "label", "text"), work, "rep long, label long, key long")
+    return texts.select("rep", "label", "text").mapInArrow(work, "rep long, label long, key long")
 
 
 def _own(postings: DataFrame, totals: DataFrame) -> DataFrame:
@@ -436,7 +438,7 @@ def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: f
         seen.append(pairs)
         found = stored(_confirmed(pairs, texts, shingle, similarity), "found")
         if not found.isEmpty():
-            labels = components(reduce(DataFrame.union, [found, *links]))
+            labels = stored(components(reduce(DataFrame.union, [found, *links])), "labels")
             links[:] = [labels.select(F.col("node").alias("a"), F.col("label").alias("b"))]
 
     left = []
