@@ -39,6 +39,7 @@ are not looked at and are handed through.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -403,12 +404,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     """``doc_id, n_shingles, component_id, kept`` of every document: its component under links
     of at least ``similarity``, named by the least ``doc_id``, which is the one kept."""
     with temporary(docs.sparkSession) as kept:
-        return kept(_near_duplicates(docs, shingle, similarity, recall), "near")
+        return kept(_near_duplicates(docs, shingle, similarity, recall, kept), "near")
 
 
-def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: float) -> DataFrame:
-    """``near_duplicates`` as a plan over tables that were stored for it."""
-    with temporary(docs.sparkSession) as kept:
+def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: float, kept: Callable[..., DataFrame]) -> DataFrame:
+    """``near_duplicates`` as a plan over tables that were stored for it; those that its exhaustive
+    comparisons read are ``kept``, so these stay readable."""
+    with temporary(docs.sparkSession) as handed:
         signed = stored(signatures(docs, shingle), "sets")
         classes = (
             signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -416,7 +418,7 @@ def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: f
             .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("tokens").alias("tokens"), F.min("sketch").alias("sketch"))
         )
         classes = kept(classes, "classes")
-        signed = kept(signed.select("doc_id", "n_shingles", "set_a", "set_b"), "names")  # tokens are the classes' now
+        signed = handed(signed.select("doc_id", "n_shingles", "set_a", "set_b"), "names")  # tokens are the classes' now
     reps = classes.select("rep", "n", "sketch")
 
     roots = mix(np.arange(1, trees_for(recall, similarity) + 1, dtype=np.uint64)).view(np.int64).tolist()
@@ -474,7 +476,7 @@ def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: f
     compare(meeting)
     own = numbers(own)
     for best in (True, False):
-        sized = stored(_sized(viable(possible, own)), "sized")
+        sized = kept(_sized(viable(possible, own)), "sized")
         compare(_exhaustive(sized, reps.select("rep", "sketch"), similarity, best), estimate=False)
 
     sets = classes.select("set_a", "set_b", "rep")
