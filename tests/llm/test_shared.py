@@ -55,3 +55,29 @@ def test_near_duplicates_removes_its_large_tables(spark, docs, prose, monkeypatc
     assert {n.partition("-")[0] for n in tables(spark) - start} == {"near", "classes", "sized"}
     assert sorted(tuple(r) for r in found.select("doc_id", "component_id").collect()) == [(0, 0), (1, 0), (2, 2)]
     assert "Exchange" in plans["members"] and "Exchange" not in plans["texts"]
+
+
+def test_near_duplicates_write_few_files(spark, docs, prose, tmp_path, monkeypatch):
+    """Of 64 shuffle partitions, which nothing merges, every stored table gets 10 files at most."""
+    monkeypatch.setattr(shared, "delete_folder", lambda *a: None)
+    monkeypatch.setattr(shared, "_tables", lambda spark: str(tmp_path))
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = [" ".join([*prose(g, 60), *prose(100 + i, i)]) for g in range(3) for i in range(0, 40, 2)]
+        got = near.near_duplicates(docs(*rows), 2).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len({r["component_id"] for r in got}) < len(rows)
+    files = [p.parent for p in tmp_path.rglob("part-*.parquet")]
+    assert len({p.name.split("-")[0] for p in files} & {"sets", "classes", "pairs", "found", "links", "near"}) == 6
+    assert max(files.count(p) for p in files) <= 10
+
+
+def test_stars_of_repeated_and_turned_links(spark):
+    links = [(1, 2), (2, 1), (2, 2), (2, 3), (2, 3), (9, 3), (None, 3), (5, 6), (7, 7)]
+    got = sorted(tuple(r) for r in shared.stars(spark.createDataFrame(links, "a long, b long")).collect())
+    assert got == [(2, 1), (3, 1), (6, 5), (9, 1)]

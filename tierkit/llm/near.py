@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierkit.llm.shared import components, stored, temporary
+from tierkit.llm.shared import few_files, stars, stored, temporary
 from tierkit.llm.words import Words, column, map_slices, mix, packed, runs, unpacked, unpacked_slices
 
 TOKENS = 128
@@ -167,12 +167,15 @@ def _candidates(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFra
     return both.select("a", "b", "t_a", "t_b").mapInArrow(work, "a long, b long")
 
 
+def _step(df: DataFrame, name: str) -> DataFrame:
+    return stored(few_files(df), name)
+
+
 def _texts_of(members: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of ``members(rep, ...)``, one a ``rep``, with their ``text``, the least of those with that
     ``rep``; only texts of members move between tasks, unless there are too many to send their ids."""
-    members = stored(members, "wanted")
     wanted = members.select("rep")
-    if wanted.limit(FEW_TEXTS + 1).count() <= FEW_TEXTS:
+    if wanted.count() <= FEW_TEXTS:
         wanted = F.broadcast(wanted)
     texts = texts.join(wanted, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text"))
     return texts.join(members, "rep") if len(members.columns) > 1 else texts
@@ -279,7 +282,7 @@ def _probed(members: DataFrame, classes: DataFrame, similarity: float) -> DataFr
 def _rare_shingles(texts: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
     """Pairs ``a, b`` of different components that meet in a shingle that at most ``RARE`` of
     ``texts`` have, and ``rep, own``: shingles of that kind, or of one component."""
-    postings = stored(_postings(texts, shingle), "postings")
+    postings = _step(_postings(texts, shingle), "postings")
     kinds = postings.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
     common = kinds.filter((F.col("low") != F.col("high")) & (F.col("n") > RARE)).select("key")
     met = postings.join(common, "key").groupBy("rep").agg(F.count("*").alias("met"))
@@ -404,30 +407,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     """``doc_id, n_shingles, component_id, kept`` of every document: its component under links
     of at least ``similarity``, named by the least ``doc_id``, which is the one kept."""
     with temporary(docs.sparkSession) as kept:
-        return kept(_near_duplicates(docs, shingle, similarity, recall, kept), "near")
+        return kept(few_files(_near_duplicates(docs, shingle, similarity, recall, kept)), "near")
 
 
 def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: float, kept: Callable[..., DataFrame]) -> DataFrame:
     """``near_duplicates`` as a plan over tables that were stored for it; those that its exhaustive
     comparisons read are ``kept``, so these stay readable."""
     with temporary(docs.sparkSession) as handed:
-        signed = stored(signatures(docs, shingle), "sets")
+        signed = _step(signatures(docs, shingle), "sets")
         classes = (
             signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
             .groupBy("set_a", "set_b")
             .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("tokens").alias("tokens"), F.min("sketch").alias("sketch"))
         )
-        classes = kept(classes, "classes")
-        signed = handed(signed.select("doc_id", "n_shingles", "set_a", "set_b"), "names")  # tokens are the classes' now
+        classes = kept(few_files(classes), "classes")
+        signed = handed(few_files(signed.select("doc_id", "n_shingles", "set_a", "set_b")), "names")  # tokens are the classes' now
     reps = classes.select("rep", "n", "sketch")
 
     roots = mix(np.arange(1, trees_for(recall, similarity) + 1, dtype=np.uint64)).view(np.int64).tolist()
     trees = classes.select(F.explode(F.lit(roots)).alias("node"), "rep", "tokens")
     level = _branch(trees, similarity).select("node", "rep")
     shared = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
-    members = stored(level.join(shared, "node"), "members")
+    members = _step(level.join(shared, "node"), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").filter("rep IS NOT NULL AND text IS NOT NULL")
-    texts = stored(packed(texts), "texts")
+    texts = _step(packed(texts), "texts")
 
     links, labels, seen = [], None, []
 
@@ -436,18 +439,18 @@ def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: f
         pairs = pairs.distinct()
         if seen:
             pairs = pairs.join(reduce(DataFrame.union, seen), ["a", "b"], "left_anti")
-        pairs = stored(_candidates(pairs, reps, similarity) if estimate else pairs, "pairs")
+        pairs = _step(_candidates(pairs, reps, similarity) if estimate else pairs, "pairs")
         seen.append(pairs)
-        found = stored(_confirmed(pairs, texts, shingle, similarity), "found")
+        found = _step(_confirmed(pairs, texts, shingle, similarity), "found")
         if not found.isEmpty():
-            labels = stored(components(reduce(DataFrame.union, [found, *links])), "labels")
-            links[:] = [labels.select(F.col("node").alias("a"), F.col("label").alias("b"))]
+            links[:] = [stars(reduce(DataFrame.union, [found, *links]))]
+            labels = links[0].select(F.col("a").alias("node"), F.col("b").alias("label"))
 
     left = []
     for depth in range(LEVELS):  # nodes of the first level are at depth 0
         for turn in range(STARS.count(depth)):
             compare(_star(_labelled(members, labels, turn)))
-        still = stored(_labelled(members, labels, depth), "open").select("node", "rep", "size")
+        still = _step(_labelled(members, labels, depth), "open").select("node", "rep", "size")
         large = still.filter(F.col("size") > SMALL_NODE)
         if depth + 1 == LEVELS or large.isEmpty():
             left.append(still)
@@ -455,11 +458,11 @@ def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: f
         left.append(still.filter(F.col("size") <= SMALL_NODE))
         known = reps.select("rep", F.col("sketch").alias("tokens"))
         deeper = _branch(large.select("node", "rep").join(known, "rep").select("node", "rep", "tokens"), similarity)
-        members = stored(deeper.select("node", "rep"), "members")
+        members = _step(deeper.select("node", "rep"), "members")
 
     # links found at a depth end nodes of the depths before, too
-    still = stored(_labelled(reduce(DataFrame.union, left).select("node", "rep"), labels, LEVELS).select("node", "rep", "label"), "left")
-    still = stored(_probed(still, classes, similarity), "probed")
+    still = _step(_labelled(reduce(DataFrame.union, left).select("node", "rep"), labels, LEVELS).select("node", "rep", "label"), "left")
+    still = _step(_probed(still, classes, similarity), "probed")
 
     def wanted(members: DataFrame) -> DataFrame:
         return _texts_of(members.select("rep", "label").distinct(), texts).join(reps.select("rep", "n"), "rep")
@@ -469,14 +472,14 @@ def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: f
         return _possible(open_ones.join(numbers, "rep"), similarity)
 
     def numbers(own: DataFrame) -> DataFrame:
-        return stored(reps.select("rep", "n").join(own, "rep", "left").fillna(0, ["own"]), "own")
+        return _step(reps.select("rep", "n").join(own, "rep", "left").fillna(0, ["own"]), "own")
 
-    possible = stored(viable(still, numbers(_own_shingles(wanted(still), shingle))), "possible")
+    possible = _step(viable(still, numbers(_own_shingles(wanted(still), shingle))), "possible")
     meeting, own = _rare_shingles(wanted(possible), shingle)
     compare(meeting)
     own = numbers(own)
     for best in (True, False):
-        sized = kept(_sized(viable(possible, own)), "sized")
+        sized = kept(few_files(_sized(viable(possible, own))), "sized")
         compare(_exhaustive(sized, reps.select("rep", "sketch"), similarity, best), estimate=False)
 
     sets = classes.select("set_a", "set_b", "rep")
