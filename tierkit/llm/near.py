@@ -168,6 +168,7 @@ def _candidates(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFra
 
 
 def _step(df: DataFrame, name: str) -> DataFrame:
+    """``stored`` for what comes from a shuffle; a task for each split of the input stays with ``stored``."""
     return stored(few_files(df), name)
 
 
@@ -414,7 +415,7 @@ def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: f
     """``near_duplicates`` as a plan over tables that were stored for it; those that its exhaustive
     comparisons read are ``kept``, so these stay readable."""
     with temporary(docs.sparkSession) as handed:
-        signed = _step(signatures(docs, shingle), "sets")
+        signed = stored(signatures(docs, shingle), "sets")
         classes = (
             signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
             .groupBy("set_a", "set_b")
@@ -430,7 +431,7 @@ def _near_duplicates(docs: DataFrame, shingle: int, similarity: float, recall: f
     shared = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1").select("node")
     members = _step(level.join(shared, "node"), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").filter("rep IS NOT NULL AND text IS NOT NULL")
-    texts = _step(packed(texts), "texts")
+    texts = stored(packed(texts), "texts")
 
     links, labels, seen = [], None, []
 
